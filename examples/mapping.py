@@ -47,7 +47,7 @@ CALLS = {
     "number_of_alarms": "CASE WHEN l_partkey % 3 = 0 THEN NULL ELSE CAST(1 + l_partkey % 5 AS INTEGER) END",
     "unit_type": "l_linestatus",
     "fire_prevention_district": "CASE WHEN l_suppkey % 21 = 0 THEN ' ' ELSE '' || (l_suppkey % 7) END",
-    "rowid": "l_partkey || '-' || l_suppkey || '-' || CAST(l_extendedprice * 100 AS BIGINT) "
+    "rowid": "l_partkey || '-' || l_suppkey || '-' || CAST(floor(l_extendedprice * 100) AS BIGINT) "
              "|| '-' || CAST(l_shipdate AS DATE)",
     "ingested_ts": "TIMESTAMP '2024-01-01 00:00:00' + (l_suppkey % 3) * INTERVAL '1' DAY",
 }
@@ -76,7 +76,7 @@ INCIDENTS = {
     "ems_personnel": "CASE WHEN o_custkey % 6 = 0 THEN NULL ELSE CAST(o_custkey % 13 AS INTEGER) END",
     "other_units": "CAST(o_orderkey % 2 AS INTEGER)",
     "other_personnel": "CAST(o_orderkey % 5 AS INTEGER)",
-    "estimated_property_loss": "CASE WHEN o_custkey % 3 = 0 THEN NULL ELSE CAST(o_totalprice AS BIGINT) END",
+    "estimated_property_loss": "CASE WHEN o_custkey % 3 = 0 THEN NULL ELSE CAST(floor(o_totalprice) AS BIGINT) END",
     "estimated_contents_loss": "CASE WHEN o_custkey % 4 = 0 THEN NULL ELSE o_custkey * 10 END",
     "fire_fatalities": "CASE WHEN o_orderkey % 50 = 0 THEN 1 ELSE NULL END",
     "fire_injuries": "o_orderkey % 3",
@@ -86,6 +86,15 @@ INCIDENTS = {
                          "ELSE o_orderpriority END",
 }
 
+# Calls that pass the silver gate: received and dispatched is always known, and nothing but
+# the received time and the row id ranks the rows of a call.
+GATED_CALLS = {
+    **CALLS,
+    "received_ts": _RECEIVED,
+    "dispatch_ts": f"{_RECEIVED} + (l_suppkey % 300 - 20) * INTERVAL '1' SECOND",
+    "ingested_ts": "TIMESTAMP '2024-01-01 00:00:00'",
+}
+
 _LONGS = ("call_number", "incident_number", "fire_fatalities", "fire_injuries",
           "civilian_fatalities", "civilian_injuries")
 
@@ -106,8 +115,8 @@ def _ntz(columns: list[str]) -> list[str]:
     return [c.replace("TIMESTAMP '", "TIMESTAMP_NTZ '") for c in columns]
 
 
-def raw_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "lineitem").selectExpr(*_ntz(_expressions(CALLS)))
+def raw_calls(spark: SparkSession, sf_dir: str, columns: dict[str, str] = CALLS) -> DataFrame:
+    return table(spark, sf_dir, "lineitem").selectExpr(*_ntz(_expressions(columns)))
 
 
 def calls(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -123,15 +132,18 @@ def _duration(start: str, end: str) -> str:
     return f"CASE WHEN {seconds} >= 0 THEN {seconds} END"
 
 
-RAW_CALLS_CTE = f"raw_calls AS (SELECT {', '.join(_expressions(CALLS))} FROM lineitem)"
-LATEST_CALLS_CTE = f"""{RAW_CALLS_CTE},
+def latest_calls_cte(columns: dict[str, str] = CALLS) -> str:
+    return f"""raw_calls AS (SELECT {', '.join(_expressions(columns))} FROM lineitem),
 latest_calls AS (
   SELECT * FROM raw_calls
   QUALIFY row_number() OVER (
     PARTITION BY call_number
     ORDER BY coalesce(received_ts, TIMESTAMP '1900-01-01') DESC,
              coalesce(ingested_ts, TIMESTAMP '1900-01-01') DESC, rowid DESC NULLS LAST) = 1)"""
-SILVER_CTE = f"""{LATEST_CALLS_CTE},
+
+
+def silver_cte(columns: dict[str, str] = CALLS) -> str:
+    return f"""{latest_calls_cte(columns)},
 calls AS (
   SELECT *, {_duration('received_ts', 'on_scene_ts')} AS response_time_sec,
          {_duration('received_ts', 'dispatch_ts')} AS dispatch_delay_sec,
@@ -139,11 +151,15 @@ calls AS (
   FROM latest_calls),
 incidents AS (SELECT {', '.join(_expressions(INCIDENTS))} FROM orders)"""
 
+
+LATEST_CALLS_CTE = latest_calls_cte()
+SILVER_CTE = silver_cte()
+
 _KEY = " || '|' || ".join(f"coalesce(CAST({c} AS VARCHAR), '')" for c in gold.LOCATION_COLUMNS)
 _FACT_SOURCE = ", ".join(
     c for c in gold.FACT_COLUMNS if c not in ("date_id", "location_id", "incident_type_id")
 )
-GOLD_CTE = f"""{SILVER_CTE},
+_STAR_CTE = f"""
 joined AS (
   SELECT c.call_number, c.incident_number, c.received_ts, c.dispatch_ts, c.response_ts,
          c.on_scene_ts, i.close_ts, c.response_time_sec, c.dispatch_delay_sec, c.travel_time_sec,
@@ -206,6 +222,13 @@ star AS (
   JOIN dim_location l USING (location_id))"""
 
 
+def gold_cte(columns: dict[str, str] = CALLS) -> str:
+    return f"{silver_cte(columns)},{_STAR_CTE}"
+
+
+GOLD_CTE = gold_cte()
+
+
 @dataclass(frozen=True)
 class Query:
     """A Spark query and the same query in SQL; without SQL only its rows are checked."""

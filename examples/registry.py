@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from examples import scalars
+from examples import ingest, scalars, silver_reports, star
 from examples.mapping import Query
 
-_MODULES = (scalars,)
+_MODULES = (star, scalars, silver_reports, ingest)
 
 
 def all_queries() -> dict[str, Query]:

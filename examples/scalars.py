@@ -420,8 +420,9 @@ SELECT o_orderkey, o_orderstatus AS status, o_totalprice AS price FROM orders
 WHERE o_orderkey % 4 > 0 AND o_custkey % 5 > 0"""),
     "numeric_clean": Query(numeric_clean, f"""
 WITH t AS (SELECT o_orderkey, {_TEXT_NUMBER} AS raw FROM orders)
-SELECT o_orderkey, greatest(coalesce(try_cast(raw AS DOUBLE), 0), 0) AS at_least_zero,
-       least(greatest(round(coalesce(try_cast(raw AS DOUBLE), 3), 0), 0), 10) AS in_range
+SELECT o_orderkey, CASE WHEN try_cast(raw AS DOUBLE) > 0 THEN try_cast(raw AS DOUBLE) ELSE 0 END AS at_least_zero,
+       CASE WHEN round(coalesce(try_cast(raw AS DOUBLE), 3)) > 0
+            THEN least(round(coalesce(try_cast(raw AS DOUBLE), 3)), 10) ELSE 0 END AS in_range
 FROM t"""),
     "schema_evolution_union": Query(schema_evolution_union, """
 SELECT o_orderkey, o_orderstatus, CAST(NULL AS VARCHAR) AS o_orderpriority FROM orders WHERE o_orderkey % 2 = 0

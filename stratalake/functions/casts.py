@@ -69,5 +69,6 @@ def bounded_number(value: Column, fill: float, low: float = 0.0, high: float | N
     number = F.coalesce(to_double(value), F.lit(float(fill)))
     if digits is not None:
         number = F.round(number, digits)
-    number = F.greatest(number, F.lit(float(low)))
+    # A comparison, so that a negative zero also becomes the lower bound.
+    number = F.when(number > low, number).otherwise(F.lit(float(low)))
     return number if high is None else F.least(number, F.lit(float(high)))

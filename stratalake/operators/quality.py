@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -23,26 +23,26 @@ class GateError(ValueError):
 
 @dataclass(frozen=True)
 class Rule:
-    """A named aggregate that must be zero."""
+    """A named aggregate that must be zero, made when a session is there."""
 
     name: str
-    violations: Column
+    violations: Callable[[], Column]
 
 
 def not_null(column: str) -> Rule:
-    return Rule(f"{column} is null", count_where(F.col(column).isNull()))
+    return Rule(f"{column} is null", lambda: count_where(F.col(column).isNull()))
 
 
 def not_negative(column: str) -> Rule:
-    return Rule(f"{column} is negative", count_where(F.col(column) < 0))
+    return Rule(f"{column} is negative", lambda: count_where(F.col(column) < 0))
 
 
 def positive(column: str) -> Rule:
-    return Rule(f"{column} is not positive", count_where(F.col(column) <= 0))
+    return Rule(f"{column} is not positive", lambda: count_where(F.col(column) <= 0))
 
 
 def not_empty() -> Rule:
-    return Rule("table is empty", is_empty_flag().cast("bigint"))
+    return Rule("table is empty", lambda: is_empty_flag().cast("bigint"))
 
 
 @dataclass(frozen=True)
@@ -59,17 +59,17 @@ class Expectation:
         found = [] if self.nullable else [not_null(self.column)]
         if self.at_least is not None:
             found.append(Rule(f"{self.column} is below {self.at_least:g}",
-                              count_where(F.col(self.column) < self.at_least)))
+                              lambda: count_where(F.col(self.column) < self.at_least)))
         if self.above is not None:
             found.append(Rule(f"{self.column} is not above {self.above:g}",
-                              count_where(F.col(self.column) <= self.above)))
+                              lambda: count_where(F.col(self.column) <= self.above)))
         return found
 
 
 def violations(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """(rule, violations): one row per rule from one aggregate over the table."""
     slots = [f"r{i}" for i in range(len(rules))]
-    counts = df.agg(*[rule.violations.cast("bigint").alias(s) for rule, s in zip(rules, slots)])
+    counts = df.agg(*[rule.violations().cast("bigint").alias(s) for rule, s in zip(rules, slots)])
     names = F.create_map(*[F.lit(x) for s, r in zip(slots, rules) for x in (s, r.name)])
     return counts.unpivot([], slots, "slot", "violations").select(
         names[F.col("slot")].alias("rule"), "violations"

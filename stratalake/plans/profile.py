@@ -95,9 +95,12 @@ def predict(models: Mapping, features: DataFrame) -> DataFrame:
 
 
 def rebuild_times(df: DataFrame, received: str = "received_ts") -> DataFrame:
-    """Dispatch, on-scene and response times from the received time and the durations."""
+    """Dispatch, on-scene and response times from the received time and the durations.
+
+    Durations are rounded to whole seconds, halves to the even one.
+    """
     start = F.col(received)
-    whole = {c: F.round(F.col(c)).cast("int") for c in TARGETS[:3]}
+    whole = {c: F.rint(F.col(c)).cast("int") for c in TARGETS[:3]}
     dispatch = times.add_seconds(start, whole["dispatch_delay_sec"])
     return df.withColumns(
         {

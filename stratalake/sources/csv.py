@@ -92,4 +92,9 @@ def read_inferred(spark: SparkSession, path: str, overrides: Mapping[str, str] |
 
 
 def write(df: DataFrame, path: str) -> None:
-    df.write.option("header", "true").option("escape", '"').mode("overwrite").csv(path)
+    """Write a folder of CSV files; spaces around values are kept."""
+    options = {
+        "header": "true", "escape": '"',
+        "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false",
+    }
+    df.write.options(**options).mode("overwrite").csv(path)

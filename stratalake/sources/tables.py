@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterable, Mapping
+from collections.abc import Iterable
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -11,7 +11,6 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from stratalake.functions.times import now_utc
-from stratalake.operators.dedup import keep_first
 
 VERSIONS = "table_name string, path string, row_count bigint, published_at timestamp_ntz"
 
@@ -56,25 +55,29 @@ class Warehouse:
         return "/".join([self.root, *parts])
 
     def versions(self) -> DataFrame:
-        """Current version of each table."""
+        """(table_name, path, row_count): the current version of each table."""
         history = read_if_present(self.spark, self.path("meta", "table_versions"), VERSIONS)
-        return keep_first(history, ["table_name"], [F.col("published_at").desc()])
+        latest = F.max_by(F.struct("path", "row_count"), F.struct("published_at", "path"))
+        return history.groupBy("table_name").agg(latest.alias("v")).select("table_name", "v.*")
 
-    def _current(self, table: str):
-        return self.versions().filter(F.col("table_name") == table).first()
+    def _paths(self) -> dict[str, str]:
+        return {row["table_name"]: row["path"] for row in self.versions().collect()}
 
     def exists(self, table: str) -> bool:
-        return self._current(table) is not None
+        return table in self._paths()
 
-    def read(self, table: str) -> DataFrame:
-        found = self._current(table)
-        if found is None:
-            raise LookupError(f"table {table} does not exist in {self.root}")
-        return self.spark.read.parquet(found["path"])
+    def read(self, *tables: str) -> DataFrame | list[DataFrame]:
+        """One table, or several as of the same moment."""
+        paths = self._paths()
+        missing = [table for table in tables if table not in paths]
+        if missing:
+            raise LookupError(f"tables {missing} do not exist in {self.root}")
+        frames = [self.spark.read.parquet(paths[table]) for table in tables]
+        return frames[0] if len(frames) == 1 else frames
 
     def read_optional(self, table: str) -> DataFrame | None:
-        found = self._current(table)
-        return None if found is None else self.spark.read.parquet(found["path"])
+        path = self._paths().get(table)
+        return None if path is None else self.spark.read.parquet(path)
 
     def stage(self, table: str, df: DataFrame) -> Staged:
         """Write a new version and count its rows on the way."""
@@ -153,8 +156,8 @@ def catalog_columns(spark: SparkSession, table: str) -> DataFrame:
 
 def require_tables(warehouse: Warehouse, names: Iterable[str]) -> None:
     """Raise with the list of all tables that are missing."""
-    known = {row["table_name"] for row in warehouse.versions().select("table_name").collect()}
-    missing = [name for name in names if name not in known]
+    known = warehouse.versions().select("table_name").collect()
+    missing = sorted(set(names) - {row["table_name"] for row in known})
     if missing:
         raise LookupError(f"required tables are missing: {missing}; run the gold build first")
 
@@ -167,6 +170,3 @@ def read_any(spark: SparkSession, path: str) -> DataFrame:
 
     return read_text(spark, path)
 
-
-def staged_frames(warehouse: Warehouse, staged: Mapping[str, Staged]) -> dict[str, DataFrame]:
-    return {name: warehouse.read_staged(version) for name, version in staged.items()}
