@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from examples.mapping import GATED_CALLS, Query, gold_cte, incidents, raw_calls, star_store, table
+from examples.mapping import GATED_CALLS, GATED_INCIDENTS, Query, gold_cte, incidents, raw_calls, star_store, table
 from stratalake.functions import casts, times
 from stratalake.operators import aggregates as agg
 from stratalake.plans import bronze, kpi
@@ -57,7 +57,7 @@ def raw_call_text(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def raw_incident_text(spark: SparkSession, sf: str) -> DataFrame:
-    return as_raw_text(incidents(spark, sf), INCIDENT_HEADER)
+    return as_raw_text(incidents(spark, sf, GATED_INCIDENTS), INCIDENT_HEADER)
 
 
 def _orders_text(spark: SparkSession, sf: str) -> DataFrame:
@@ -168,11 +168,7 @@ def _monthly(fact: DataFrame, dates: DataFrame) -> DataFrame:
 def pipeline_incremental(spark, sf):
     """Raw files to gold in two runs: calls and incidents arrive, then the same again."""
     pipe = Pipeline(spark, scratch_path(spark, "pipeline"))
-    drop = scratch_path(spark, "drop")
-    csv.write(raw_call_text(spark, sf), drop)
-    text = raw_incident_text(spark, sf)
-    options = {"header": "true", "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
-    text.write.options(**options).mode("append").csv(drop)
+    drop = f"{_drop_calls_and_incidents(spark, sf)}/*"
     pipe.run_incremental(drop)
     pipe.run_incremental(drop)
     return _monthly(*pipe.warehouse.read("gold.fact_incident", "gold.dim_date"))
@@ -213,7 +209,7 @@ _ORDERS_SQL = """
 SELECT o_orderkey AS incident_number, CASE WHEN o_custkey % 5 <> 0 THEN o_orderstatus END AS status,
        o_orderdate AS alarm_ts FROM orders"""
 _MONTHLY_SQL = f"""
-WITH {gold_cte(GATED_CALLS)}
+WITH {gold_cte(GATED_CALLS, GATED_INCIDENTS)}
 SELECT year, month, count(*) AS n, round(avg(response_time_sec), 6) AS avg_resp,
        CAST(sum(incident_duration_sec) AS BIGINT) AS duration,
        CAST(sum(estimated_property_loss) AS BIGINT) AS loss

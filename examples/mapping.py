@@ -86,10 +86,12 @@ INCIDENTS = {
                          "ELSE o_orderpriority END",
 }
 
-# Calls that pass the silver gate: received and dispatched is always known, and nothing but
-# the received time and the row id ranks the rows of a call.
+# Rows that pass the silver gate: keys are above 0, received and dispatched are always known,
+# and nothing but the received time and the row id ranks the rows of a call.
+GATED_INCIDENTS = {**INCIDENTS, "incident_number": "o_orderkey + 1"}
 GATED_CALLS = {
     **CALLS,
+    "incident_number": "CASE WHEN l_partkey % 17 = 0 THEN NULL ELSE l_orderkey + 1 END",
     "received_ts": _RECEIVED,
     "dispatch_ts": f"{_RECEIVED} + (l_suppkey % 300 - 20) * INTERVAL '1' SECOND",
     "ingested_ts": "TIMESTAMP '2024-01-01 00:00:00'",
@@ -123,8 +125,8 @@ def calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return silver.with_durations(silver.latest_calls(raw_calls(spark, sf_dir)))
 
 
-def incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "orders").selectExpr(*_ntz(_expressions(INCIDENTS)))
+def incidents(spark: SparkSession, sf_dir: str, columns: dict[str, str] = INCIDENTS) -> DataFrame:
+    return table(spark, sf_dir, "orders").selectExpr(*_ntz(_expressions(columns)))
 
 
 def _duration(start: str, end: str) -> str:
@@ -142,14 +144,15 @@ latest_calls AS (
              coalesce(ingested_ts, TIMESTAMP '1900-01-01') DESC, rowid DESC NULLS LAST) = 1)"""
 
 
-def silver_cte(columns: dict[str, str] = CALLS) -> str:
-    return f"""{latest_calls_cte(columns)},
+def silver_cte(call_columns: dict[str, str] = CALLS,
+               incident_columns: dict[str, str] = INCIDENTS) -> str:
+    return f"""{latest_calls_cte(call_columns)},
 calls AS (
   SELECT *, {_duration('received_ts', 'on_scene_ts')} AS response_time_sec,
          {_duration('received_ts', 'dispatch_ts')} AS dispatch_delay_sec,
          {_duration('dispatch_ts', 'on_scene_ts')} AS travel_time_sec
   FROM latest_calls),
-incidents AS (SELECT {', '.join(_expressions(INCIDENTS))} FROM orders)"""
+incidents AS (SELECT {', '.join(_expressions(incident_columns))} FROM orders)"""
 
 
 LATEST_CALLS_CTE = latest_calls_cte()
@@ -222,8 +225,9 @@ star AS (
   JOIN dim_location l USING (location_id))"""
 
 
-def gold_cte(columns: dict[str, str] = CALLS) -> str:
-    return f"{silver_cte(columns)},{_STAR_CTE}"
+def gold_cte(call_columns: dict[str, str] = CALLS,
+             incident_columns: dict[str, str] = INCIDENTS) -> str:
+    return f"{silver_cte(call_columns, incident_columns)},{_STAR_CTE}"
 
 
 GOLD_CTE = gold_cte()

@@ -116,7 +116,7 @@ def derive_parent_min(spark, sf):
 
 def rebuild_times(spark, sf):
     events = table(spark, sf, "events").select(
-        "event_id", F.col("ts").alias("received_ts"), (F.col("user_id") * F.lit(1.4)).alias("dispatch_delay_sec"),
+        "event_id", F.col("ts").alias("received_ts"), (F.col("user_id") * 1.4).alias("dispatch_delay_sec"),
         (F.col("user_id") * 2.3).alias("travel_time_sec"), (F.col("user_id") * 3.7).alias("response_time_sec"),
     )
     return profile.rebuild_times(events).select("event_id", "dispatch_ts", "on_scene_ts", "response_ts")
@@ -239,9 +239,9 @@ SELECT CAST(l_orderkey AS VARCHAR) AS "IncidentNumber",
   strftime(min(l_shipdate), '%m/%d/%Y %I:%M:%S %p') AS "AlarmDtTm", CAST(NULL AS VARCHAR) AS "Box"
 FROM lineitem GROUP BY l_orderkey"""),
     "rebuild_times": Query(rebuild_times, """
-SELECT event_id, ts + to_seconds(CAST(round_even(user_id * 1.4, 0) AS BIGINT)) AS dispatch_ts,
-  ts + to_seconds(CAST(round_even(user_id * 1.4, 0) + round_even(user_id * 2.3, 0) AS BIGINT)) AS on_scene_ts,
-  ts + to_seconds(CAST(round_even(user_id * 3.7, 0) AS BIGINT)) AS response_ts
+SELECT event_id, ts + to_seconds(CAST(round_even(user_id * CAST(1.4 AS DOUBLE), 0) AS BIGINT)) AS dispatch_ts,
+  ts + to_seconds(CAST(round_even(user_id * CAST(1.4 AS DOUBLE), 0) + round_even(user_id * CAST(2.3 AS DOUBLE), 0) AS BIGINT)) AS on_scene_ts,
+  ts + to_seconds(CAST(round_even(user_id * CAST(3.7 AS DOUBLE), 0) AS BIGINT)) AS response_ts
 FROM events"""),
     "hour_volume_by_type": Query(hour_volume_by_type, """
 SELECT CAST(extract(hour FROM ts) AS INTEGER) AS hour,

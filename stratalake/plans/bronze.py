@@ -12,7 +12,7 @@ from stratalake.operators import shape
 from stratalake.operators.joins import not_present
 from stratalake.plans.ledger import PENDING, Ledger, utc_now
 from stratalake.sources import csv, lake
-from stratalake.sources.tables import Warehouse, append_rows, read_if_present
+from stratalake.sources.tables import Warehouse, append_rows, ensure_table
 
 # Contents ingested by one job; it bounds the hash list in the scan filter.
 CONTENTS_PER_JOB = 10_000
@@ -42,12 +42,16 @@ class Bronze:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        ensure_table(spark, self._columns_path(), _COLUMNS)
+
+    def _columns_path(self) -> str:
+        return f"{self.root}/columns"
 
     def _path(self, dataset: str) -> str:
         return f"{self.root}/bronze_{dataset}"
 
     def columns(self, dataset: str) -> list[str]:
-        known = read_if_present(self.spark, f"{self.root}/columns", _COLUMNS)
+        known = self.spark.read.schema(_COLUMNS).parquet(self._columns_path())
         found = known.filter(F.col("dataset") == dataset).orderBy("ordinal").collect()
         return [row["column_name"] for row in found]
 
@@ -56,7 +60,7 @@ class Bronze:
         wanted = shape.evolve(csv.text_schema(known), incoming).names
         added = [(dataset, i, name) for i, name in enumerate(wanted) if i >= len(known)]
         if added:
-            append_rows(self.spark, f"{self.root}/columns", added, _COLUMNS)
+            append_rows(self.spark, self._columns_path(), added, _COLUMNS)
         return wanted
 
     def read(self, dataset: str) -> DataFrame:
@@ -79,9 +83,7 @@ class Bronze:
         columns = self._evolve(dataset, rows.columns)
         if existed:
             keys = ["_source_sha256", "_source_row_number"]
-            stored = read_if_present(
-                self.spark, self._path(dataset), "_source_row_number string, _source_sha256 string"
-            ).filter(F.col("_source_sha256").isin(list(hashes)))
+            stored = self.read(dataset).filter(F.col("_source_sha256").isin(list(hashes)))
             before = self._counts(stored)
             rows = not_present(rows, stored, keys)
         else:

@@ -17,7 +17,7 @@ from stratalake.functions.times import now_utc
 from stratalake.operators.dedup import keep_first
 from stratalake.operators.joins import not_present
 from stratalake.sources import files as drop
-from stratalake.sources.tables import append_rows, read_if_present
+from stratalake.sources.tables import append_rows, ensure_table
 
 # States of runs and files, and the reason a known content is skipped.
 RUNNING, SUCCESS, FAILED = "RUNNING", "SUCCESS", "FAILED"
@@ -36,6 +36,7 @@ LOG_EVENTS = (
     "lake_written_at timestamp_ntz, status string, error_message string"
 )
 SUCCESS_EVENTS = "pipeline_name string, content_sha256 string, success_at timestamp_ntz"
+_TABLES = {"run_events": RUN_EVENTS, "log_events": LOG_EVENTS, "success_events": SUCCESS_EVENTS}
 
 
 def utc_now() -> datetime:
@@ -103,21 +104,23 @@ class Ledger:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        for table, schema in _TABLES.items():
+            ensure_table(spark, self._path(table), schema)
 
     def _path(self, table: str) -> str:
         return f"{self.root}/{table}"
 
-    def _events(self, table: str, schema: str) -> DataFrame:
-        return read_if_present(self.spark, self._path(table), schema)
+    def _events(self, table: str) -> DataFrame:
+        return self.spark.read.schema(_TABLES[table]).parquet(self._path(table))
 
     def runs(self) -> DataFrame:
-        return run_states(self._events("run_events", RUN_EVENTS))
+        return run_states(self._events("run_events"))
 
     def log(self) -> DataFrame:
-        return log_states(self._events("log_events", LOG_EVENTS))
+        return log_states(self._events("log_events"))
 
     def contents(self) -> DataFrame:
-        return content_states(self._events("success_events", SUCCESS_EVENTS))
+        return content_states(self._events("success_events"))
 
     def start_run(self, pipeline: str = DEFAULT_PIPELINE, trigger: str = "SCHEDULE",
                   notes: str | None = None) -> str:
@@ -163,7 +166,7 @@ class Ledger:
         """Counts of the logged files of a run by status."""
         found = {
             row["status"]: row["n"]
-            for row in self._events("log_events", LOG_EVENTS)
+            for row in self._events("log_events")
             .filter((F.col("run_id") == run_id) & F.col("lake_written_at").isNull())
             .filter(F.col("status") != DONE)
             .groupBy("status").agg(F.count(F.lit(1)).alias("n")).collect()
@@ -180,7 +183,7 @@ class Ledger:
 
     def landed(self) -> DataFrame:
         """(file_sha256, lake_path) of every content that is in the lake, on any date."""
-        events = self._events("log_events", LOG_EVENTS).filter(F.col("lake_path").isNotNull())
+        events = self._events("log_events").filter(F.col("lake_path").isNotNull())
         return events.groupBy("file_sha256").agg(F.min("lake_path").alias("lake_path"))
 
     def to_land(self, files: DataFrame) -> DataFrame:

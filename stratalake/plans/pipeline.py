@@ -34,7 +34,8 @@ class Pipeline:
         """Take in what is new in the drop and refresh everything behind it.
 
         Nothing pending stops the run at once. Contents count as ingested only after gold is
-        published, so a run that a gate stopped is repeated by the next one.
+        published, so a run that a gate stopped is repeated by the next one. Until both
+        datasets have arrived, files only reach bronze.
         """
         run_id = self.ledger.start_run(self.name, trigger, notes)
         try:
@@ -48,10 +49,12 @@ class Pipeline:
             loaded = bronze.ingest_pending(
                 self.spark, self.ledger, self.bronze, self.lake_root, run_id, self.name
             )
-            refresh = self._needs_refresh(run_id)
+            absent = [name for name in ("calls", "incidents") if not self.bronze.exists(name)]
+            refresh = not absent and self._needs_refresh(run_id)
             if refresh:
                 self.refresh(self.bronze.read("calls"), self.bronze.read("incidents"), export_to)
-            self.ledger.mark_done(run_id, self.name)
+            if not absent:
+                self.ledger.mark_done(run_id, self.name)
             self.ledger.finish_run(run_id, self.name, SUCCESS)
             return {**found, **landed, **loaded, "skipped_downstream": not refresh}
         except Exception as error:

@@ -6,7 +6,6 @@ import uuid
 from collections.abc import Iterable
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,14 +23,9 @@ class Staged:
     rows: int
 
 
-def read_if_present(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """A Parquet folder, or an empty frame when it does not exist yet."""
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], schema)
+def ensure_table(spark: SparkSession, path: str, schema: str) -> None:
+    """Create an empty Parquet table unless there is one."""
+    spark.createDataFrame([], schema).coalesce(1).write.mode("ignore").parquet(path)
 
 
 def append_rows(spark: SparkSession, path: str, rows: Iterable[tuple], schema: str) -> None:
@@ -50,13 +44,17 @@ class Warehouse:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        ensure_table(spark, self._history(), VERSIONS)
+
+    def _history(self) -> str:
+        return self.path("meta", "table_versions")
 
     def path(self, *parts: str) -> str:
         return "/".join([self.root, *parts])
 
     def versions(self) -> DataFrame:
         """(table_name, path, row_count): the current version of each table."""
-        history = read_if_present(self.spark, self.path("meta", "table_versions"), VERSIONS)
+        history = self.spark.read.schema(VERSIONS).parquet(self._history())
         latest = F.max_by(F.struct("path", "row_count"), F.struct("published_at", "path"))
         return history.groupBy("table_name").agg(latest.alias("v")).select("table_name", "v.*")
 
@@ -94,7 +92,7 @@ class Warehouse:
             [(s.table, s.path, s.rows) for s in staged],
             "table_name string, path string, row_count bigint",
         ).withColumn("published_at", now_utc())
-        rows.coalesce(1).write.mode("append").parquet(self.path("meta", "table_versions"))
+        rows.coalesce(1).write.mode("append").parquet(self._history())
 
     def write(self, table: str, df: DataFrame) -> int:
         """Full refresh of one table; returns its row count."""
