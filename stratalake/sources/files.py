@@ -5,13 +5,18 @@ from __future__ import annotations
 import csv
 import hashlib
 import io
+import sys
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# The functions below travel with the task, so executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 LISTING = "file_path string, file_name string, file_size_bytes bigint, file_mtime_utc timestamp_ntz"
 FINGERPRINT = f"{LISTING}, file_sha256 string, header array<string>, error_message string"
 
