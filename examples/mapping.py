@@ -13,7 +13,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from stratalake.plans import gold, silver
-from stratalake.session import configure, materialize, scratch_path
+from stratalake.plans.pipeline import stage_star
+from stratalake.session import configure, scratch_path, side_by_side
 from stratalake.sources.tables import Warehouse
 
 _RECEIVED = "l_shipdate + (l_partkey * 37 % 80000) * INTERVAL '1' SECOND"
@@ -256,14 +257,9 @@ def star_store(spark: SparkSession, sf_dir: str) -> Warehouse:
 
 
 def build_star(spark: SparkSession, sf_dir: str, store: Warehouse) -> None:
-    silver_calls = store.stage("silver.calls_clean", calls(spark, sf_dir))
-    silver_incidents = store.stage("silver.incidents_clean", incidents(spark, sf_dir))
-    clean_calls, clean_incidents = map(store.read_staged, (silver_calls, silver_incidents))
-    matched = materialize(gold.matched_calls(clean_calls, clean_incidents), "matched-calls")
-    dims = [
-        store.stage("gold.dim_date", gold.dim_date(clean_calls, clean_incidents)),
-        store.stage("gold.dim_incident_type", gold.dim_incident_type(matched)),
-        store.stage("gold.dim_location", gold.dim_location(matched)),
-    ]
-    fact = gold.fact_incident(matched, *map(store.read_staged, dims))
-    store.publish(silver_calls, silver_incidents, *dims, store.stage("gold.fact_incident", fact))
+    silver_tables = side_by_side(
+        lambda: store.stage("silver.calls_clean", calls(spark, sf_dir)),
+        lambda: store.stage("silver.incidents_clean", incidents(spark, sf_dir)),
+    )
+    star = stage_star(store, *map(store.read_staged, silver_tables))
+    store.publish(*silver_tables, *star.values())

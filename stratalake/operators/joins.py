@@ -10,6 +10,8 @@ from operator import and_, or_
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from stratalake.session import small_frame
+
 # A key is hot when it holds more than this part of the rows. At most 1 / HOT_SHARE keys can
 # be hot, which bounds everything that is collected or broadcast about them.
 HOT_SHARE = 1 / 1000
@@ -77,7 +79,7 @@ def spread_left_join(left: DataFrame, right: DataFrame, on: Sequence[str],
     null_salt = F.pmod(spread, F.lit(NULL_SPREAD)).cast("int")
     hot = find_hot_keys(left, on, share, min_rows)
     if hot:
-        splits = F.broadcast(spark.createDataFrame(hot.rows, hot.schema))
+        splits = F.broadcast(small_frame(spark, hot.rows, hot.schema))
         hot_salt = F.pmod(spread, F.coalesce(F.col("_splits"), F.lit(1))).cast("int")
         left = left.join(splits, list(on), "left").withColumn(
             _SALT, F.when(null_key, null_salt).otherwise(hot_salt)

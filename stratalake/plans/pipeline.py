@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratalake.plans import bronze, gates, gold, kpi, silver
 from stratalake.plans.ledger import DEFAULT_PIPELINE, FAILED, SUCCESS, Ledger
-from stratalake.session import configure, materialize
+from stratalake.session import configure, materialize, side_by_side
 from stratalake.sources import csv, serving
 from stratalake.sources.tables import Staged, Warehouse
 
@@ -103,26 +104,38 @@ class Pipeline:
             serving.export(self.warehouse, export_to, [*kpi.KPI_TABLES, *DIMENSIONS])
 
     def _stage_silver(self, raw_calls: DataFrame, raw_incidents: DataFrame,
-                      details: bool) -> tuple[Staged, Staged]:
-        return (
-            self.warehouse.stage("silver.calls_clean", silver.clean_calls(raw_calls)),
-            self.warehouse.stage(
+                      details: bool) -> list[Staged]:
+        stage = self.warehouse.stage
+        return side_by_side(
+            lambda: stage("silver.calls_clean", silver.clean_calls(raw_calls)),
+            lambda: stage(
                 "silver.incidents_clean", silver.clean_incidents(raw_incidents, details=details)
             ),
         )
 
     def _stage_gold(self, calls: DataFrame, incidents: DataFrame) -> dict[str, Staged]:
-        stage, read = self.warehouse.stage, self.warehouse.read_staged
-        # The join of calls and incidents is the costly step; it is stored and used three times.
-        matched = materialize(gold.matched_calls(calls, incidents), "matched-calls")
-        built = {
-            "dim_date": stage("gold.dim_date", gold.dim_date(calls, incidents)),
-            "dim_incident_type": stage("gold.dim_incident_type", gold.dim_incident_type(matched)),
-            "dim_location": stage("gold.dim_location", gold.dim_location(matched)),
-        }
-        dims = [read(built[name]) for name in DIMENSIONS]
-        built["fact_incident"] = stage("gold.fact_incident", gold.fact_incident(matched, *dims))
-        fact = read(built["fact_incident"])
-        for name, frame in kpi.kpi_tables(fact, dims[0], dims[1]).items():
-            built[name] = stage(f"gold.{name}", frame)
-        return built
+        built = stage_star(self.warehouse, calls, incidents)
+        fact, dates, types = (
+            self.warehouse.read_staged(built[n])
+            for n in ("fact_incident", "dim_date", "dim_incident_type")
+        )
+        figures = kpi.kpi_tables(fact, dates, types)
+        staged = side_by_side(
+            *[partial(self.warehouse.stage, f"gold.{name}", f) for name, f in figures.items()]
+        )
+        return {**built, **dict(zip(figures, staged))}
+
+
+def stage_star(store: Warehouse, calls: DataFrame, incidents: DataFrame) -> dict[str, Staged]:
+    """Stage the three dimensions and the fact from stored silver tables.
+
+    The join of calls and incidents is the costly step; it is stored and used three times.
+    """
+    matched = materialize(gold.matched_calls(calls, incidents), "matched-calls")
+    dims = side_by_side(
+        lambda: store.stage("gold.dim_date", gold.dim_date(calls, incidents)),
+        lambda: store.stage("gold.dim_incident_type", gold.dim_incident_type(matched)),
+        lambda: store.stage("gold.dim_location", gold.dim_location(matched)),
+    )
+    fact = gold.fact_incident(matched, *map(store.read_staged, dims))
+    return {**dict(zip(DIMENSIONS, dims)), "fact_incident": store.stage("gold.fact_incident", fact)}

@@ -4,8 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 
+import pyarrow as pa
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 # Settings every job of this library relies on; all can be changed at run time.
 RUNTIME_CONF = {
@@ -76,3 +82,23 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def small_frame(spark: SparkSession, rows: Iterable[tuple], schema: str) -> DataFrame:
+    """A frame of a few driver-made rows, without a Python worker to unpickle them."""
+    struct = T.StructType.fromDDL(schema)
+    arrow = to_arrow_schema(struct)
+    columns = list(zip(*rows)) or [()] * len(struct)
+    arrays = [pa.array(list(c), type=f.type) for c, f in zip(columns, arrow)]
+    return spark.createDataFrame(pa.Table.from_arrays(arrays, schema=arrow), struct)
+
+
+def side_by_side(*steps: Callable[[], object]) -> list:
+    """Run steps that do not depend on each other at the same time; results in their order.
+
+    Small jobs leave most of a cluster idle, so several may share it.
+    """
+    inherit = inheritable_thread_target(SparkSession.active())
+    with ThreadPoolExecutor(max_workers=len(steps)) as pool:
+        running = [pool.submit(inherit(step)) for step in steps]
+        return [step.result() for step in running]

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from stratalake.functions.names import sanitize_name
 from stratalake.operators.aggregates import count_where
 from stratalake.operators.shape import clear_null_tokens
+from stratalake.session import small_frame
 
 # Rows from which column types are inferred.
 INFER_ROWS = 10_000
@@ -42,7 +43,7 @@ def header(spark: SparkSession, path: str, multi_line: bool = False) -> list[str
 def header_table(spark: SparkSession, path: str) -> DataFrame:
     """(ordinal, raw_name, name) of a CSV file."""
     rows = [(i, raw, sanitize_name(raw)) for i, raw in enumerate(header(spark, path))]
-    return spark.createDataFrame(rows, "ordinal int, raw_name string, name string")
+    return small_frame(spark, rows, "ordinal int, raw_name string, name string")
 
 
 def read_text(spark: SparkSession, paths: str | Sequence[str],

@@ -14,6 +14,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stratalake.session import small_frame
+
 # The functions below travel with the task, so executors need no copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -49,7 +51,7 @@ def list_drop(spark: SparkSession, directory: str, pattern: str = "*.csv") -> Da
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], LISTING)
+        return small_frame(spark, [], LISTING)
     return _listing_columns(files)
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from stratalake.functions.names import sanitize_names
 from stratalake.functions.times import now_utc
+from stratalake.session import small_frame
 from stratalake.sources.csv import read_text, text_schema
 from stratalake.sources.files import source_path
 
@@ -47,7 +48,7 @@ def _land(spark, lake_root, dataset, ingest_date, raw_header, files, multi_line)
     names = sanitize_names(raw_header)
     text = read_text(spark, [path for path, _ in files], names, multi_line)
     hashes = F.broadcast(
-        spark.createDataFrame(list(files), "_source_file_path string, sha256 string")
+        small_frame(spark, files, "_source_file_path string, sha256 string")
     )
     placed = text.select(
         *[F.col(f"`{name}`") for name in names],

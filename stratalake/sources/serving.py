@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import partial
 
 from pyspark.sql import DataFrame
 
 from stratalake.functions.times import now_utc
 from stratalake.operators.aggregates import top_k
 from stratalake.operators.shape import serving_text
+from stratalake.session import side_by_side, small_frame
 from stratalake.sources.tables import Warehouse, require_tables
 
 METADATA = "dashboard_metadata"
@@ -25,10 +27,9 @@ def export(source: Warehouse, target_root: str, tables: Sequence[str], layer: st
     names = [f"{layer}.{table}" for table in tables]
     require_tables(source, names)
     target = Warehouse(spark, target_root)
-    staged = [target.stage(name, source.read(name)) for name in names]
-    metadata = spark.createDataFrame(
-        [(source.root, NOTE)], "source_db string, note string"
-    ).select(now_utc().alias("exported_at"), "source_db", "note")
+    frames = dict(zip(names, source.read_all(names)))
+    staged = side_by_side(*[partial(target.stage, name, frame) for name, frame in frames.items()])
+    metadata = small_frame(spark, [(source.root, NOTE)], "source_db string, note string").select(now_utc().alias("exported_at"), "source_db", "note")
     staged.append(target.stage(f"meta.{METADATA}", metadata.coalesce(1)))
     target.publish(*staged)
     return target

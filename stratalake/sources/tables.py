@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from stratalake.functions.times import now_utc
+from stratalake.session import small_frame
 
 VERSIONS = "table_name string, path string, row_count bigint, published_at timestamp_ntz"
 
@@ -25,12 +26,12 @@ class Staged:
 
 def ensure_table(spark: SparkSession, path: str, schema: str) -> None:
     """Create an empty Parquet table unless there is one."""
-    spark.createDataFrame([], schema).coalesce(1).write.mode("ignore").parquet(path)
+    small_frame(spark, [], schema).coalesce(1).write.mode("ignore").parquet(path)
 
 
 def append_rows(spark: SparkSession, path: str, rows: Iterable[tuple], schema: str) -> None:
     """Append a few driver-made rows as one file, so that they appear all at once."""
-    spark.createDataFrame(list(rows), schema).coalesce(1).write.mode("append").parquet(path)
+    small_frame(spark, rows, schema).coalesce(1).write.mode("append").parquet(path)
 
 
 class Warehouse:
@@ -64,13 +65,17 @@ class Warehouse:
     def exists(self, table: str) -> bool:
         return table in self._paths()
 
-    def read(self, *tables: str) -> DataFrame | list[DataFrame]:
-        """One table, or several as of the same moment."""
+    def read_all(self, tables: Iterable[str]) -> list[DataFrame]:
+        """Several tables as of the same moment."""
         paths = self._paths()
         missing = [table for table in tables if table not in paths]
         if missing:
             raise LookupError(f"tables {missing} do not exist in {self.root}")
-        frames = [self.spark.read.parquet(paths[table]) for table in tables]
+        return [self.spark.read.parquet(paths[table]) for table in tables]
+
+    def read(self, *tables: str) -> DataFrame | list[DataFrame]:
+        """One table, or several as of the same moment."""
+        frames = self.read_all(tables)
         return frames[0] if len(frames) == 1 else frames
 
     def read_optional(self, table: str) -> DataFrame | None:
@@ -88,8 +93,8 @@ class Warehouse:
         return self.spark.read.parquet(staged.path)
 
     def publish(self, *staged: Staged) -> None:
-        rows = self.spark.createDataFrame(
-            [(s.table, s.path, s.rows) for s in staged],
+        rows = small_frame(
+            self.spark, [(s.table, s.path, s.rows) for s in staged],
             "table_name string, path string, row_count bigint",
         ).withColumn("published_at", now_utc())
         rows.coalesce(1).write.mode("append").parquet(self._history())
@@ -131,9 +136,7 @@ class Warehouse:
 def schema_table(df: DataFrame) -> DataFrame:
     """(ordinal, column_name, data_type) of any frame; no data is read."""
     rows = [(i, f.name, f.dataType.simpleString()) for i, f in enumerate(df.schema)]
-    return df.sparkSession.createDataFrame(
-        rows, "ordinal int, column_name string, data_type string"
-    )
+    return small_frame(df.sparkSession, rows, "ordinal int, column_name string, data_type string")
 
 
 def catalog_tables(spark: SparkSession) -> DataFrame:
@@ -142,14 +145,14 @@ def catalog_tables(spark: SparkSession) -> DataFrame:
     for database in spark.catalog.listDatabases():
         for table in spark.catalog.listTables(database.name):
             rows.append((database.name, table.name, table.tableType))
-    return spark.createDataFrame(
-        sorted(set(rows)), "database string, table_name string, table_type string"
+    return small_frame(
+        spark, sorted(set(rows)), "database string, table_name string, table_type string"
     )
 
 
 def catalog_columns(spark: SparkSession, table: str) -> DataFrame:
     rows = [(i, c.name, c.dataType) for i, c in enumerate(spark.catalog.listColumns(table))]
-    return spark.createDataFrame(rows, "ordinal int, column_name string, data_type string")
+    return small_frame(spark, rows, "ordinal int, column_name string, data_type string")
 
 
 def require_tables(warehouse: Warehouse, names: Iterable[str]) -> None:
