@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from examples.mapping import GOLD_CTE, LATEST_CALLS_CTE, SILVER_CTE, Query, calls, incidents, raw_calls, star_store, table
+from examples.mapping import GOLD_CTE, LATEST_CALLS_CTE, SILVER_CTE, Query, calls, raw_calls, star_store, table
 from stratalake.functions import keys, times
 from stratalake.operators import aggregates as agg
 from stratalake.operators import dedup, joins, quality, shape
@@ -65,15 +65,9 @@ def kpi_star_response_month(spark, sf):
 
 
 def kpi_by_area(spark, sf):
-    rows = _star(spark, sf)
-    parts = [
-        kpi.average_by(rows, ["response_time_sec", "number_of_alarms"], [area]).select(
-            F.lit(area).alias("area"), F.col(area).alias("name"), "n_incidents",
-            "avg_response_time_sec", "avg_number_of_alarms",
-        )
-        for area in ("neighborhood", "battalion", "station_area")
-    ]
-    return _rounded(shape.union_evolving(*parts), "avg_response_time_sec", "avg_number_of_alarms")
+    measures = ["response_time_sec", "number_of_alarms"]
+    found = kpi.average_by_each(_star(spark, sf), measures, ["neighborhood", "battalion", "station_area"])
+    return _rounded(found, "avg_response_time_sec", "avg_number_of_alarms")
 
 
 def kpi_severity_by_type(spark, sf):
@@ -120,7 +114,7 @@ def silver_durations(spark, sf):
 
 
 def dim_date(spark, sf):
-    return gold.dim_date(calls(spark, sf), incidents(spark, sf))
+    return gold.dim_date(*star_store(spark, sf).read("silver.calls_clean", "silver.incidents_clean"))
 
 
 def dim_type(spark, sf):
@@ -194,7 +188,7 @@ def _rule_sql(source: str, rules: dict[str, str]) -> str:
 
 
 _AREA_SQL = " UNION ALL ".join(
-    f"SELECT '{a}' AS area, {a} AS name, count(*) AS n_incidents, "
+    f"SELECT '{a}' AS field, {a} AS name, count(*) AS n_incidents, "
     f"round(avg(response_time_sec), 6) AS avg_response_time_sec, "
     f"round(avg(number_of_alarms), 6) AS avg_number_of_alarms FROM star GROUP BY {a}"
     for a in ("neighborhood", "battalion", "station_area")

@@ -3,11 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
 from functools import reduce
 from operator import and_, or_
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stratalake.session import small_frame
@@ -22,44 +21,35 @@ BROADCAST_ROWS = 200_000
 # NULL keys match nothing; their rows are spread over this many hash values.
 NULL_SPREAD = 65_521
 
-_SALT = "_salt"
-
-
-@dataclass(frozen=True)
-class HotKeys:
-    """Keys that need splitting: key values followed by the number of splits."""
-
-    rows: tuple[tuple, ...]
-    schema: str
+# Items the frequency sketch follows; it finds every key above HOT_SHARE.
+SKETCH_ITEMS = 10_000
 
-    def __bool__(self) -> bool:
-        return bool(self.rows)
+_SALT = "_salt"
+_HASH = "_key_hash"
 
 
 def find_hot_keys(df: DataFrame, on: Sequence[str], share: float = HOT_SHARE,
-                  min_rows: int = HOT_MIN_ROWS) -> HotKeys:
-    """Hot keys of a frame, from one scan of its key columns.
+                  min_rows: int = HOT_MIN_ROWS) -> dict[int, int]:
+    """Hash of each hot key and the number of parts its rows should be split into.
 
-    The count is pre-aggregated in the map tasks, so a hot key costs no task more than one
-    row per map task.
+    One scan of the key columns feeds a mergeable sketch of bounded size, so nothing is
+    shuffled but the sketches. A key that is missed or split without need changes no result.
     """
-    types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.select(*on).schema)
-    seen = Observation()
-    counts = (
+    most = int(1 / share)
+    found = (
         df.select(*on)
         .dropna()
-        .groupBy(*on)
-        .agg(F.count(F.lit(1)).alias("n"))
-        .observe(seen, F.sum("n").alias("total"))
-    )
-    most = int(1 / share)
-    heavy = counts.filter(F.col("n") > min_rows).orderBy(F.desc("n")).limit(most).collect()
-    total = seen.get["total"] or 0
-    limit = max(min_rows, total * share)
-    rows = tuple(
-        (*[row[name] for name in on], int(-(-row["n"] // limit))) for row in heavy if row["n"] > limit
+        .select(F.xxhash64(*on).alias(_HASH))
+        .agg(
+            F.expr(f"approx_top_k({_HASH}, {most}, {max(SKETCH_ITEMS, most)})").alias("top"),
+            F.count(F.lit(1)).alias("total"),
+        )
+        .first()
     )
-    return HotKeys(rows, f"{types}, _splits int")
+    limit = max(min_rows, found["total"] * share)
+    return {
+        item["item"]: -(-item["count"] // int(limit)) for item in found["top"] if item["count"] > limit
+    }
 
 
 def spread_left_join(left: DataFrame, right: DataFrame, on: Sequence[str],
@@ -73,20 +63,21 @@ def spread_left_join(left: DataFrame, right: DataFrame, on: Sequence[str],
     """
     if how not in ("left", "inner"):
         raise ValueError("how must be left or inner")
-    spark = left.sparkSession
     spread = F.xxhash64(*spread_by)
     null_key = reduce(or_, [F.col(name).isNull() for name in on])
     null_salt = F.pmod(spread, F.lit(NULL_SPREAD)).cast("int")
     hot = find_hot_keys(left, on, share, min_rows)
     if hot:
-        splits = F.broadcast(small_frame(spark, hot.rows, hot.schema))
-        hot_salt = F.pmod(spread, F.coalesce(F.col("_splits"), F.lit(1))).cast("int")
-        left = left.join(splits, list(on), "left").withColumn(
-            _SALT, F.when(null_key, null_salt).otherwise(hot_salt)
-        ).drop("_splits")
-        right = right.join(splits, list(on), "left").withColumn(
-            _SALT, F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_splits"), F.lit(1)) - 1))
-        ).drop("_splits")
+        rows = small_frame(left.sparkSession, hot.items(), f"{_HASH} bigint, _parts int")
+        splits = F.broadcast(rows)
+        parts = F.coalesce(F.col("_parts"), F.lit(1))
+        key_hash = F.xxhash64(*on)
+        left = left.withColumn(_HASH, key_hash).join(splits, _HASH, "left").withColumn(
+            _SALT, F.when(null_key, null_salt).otherwise(F.pmod(spread, parts).cast("int"))
+        ).drop(_HASH, "_parts")
+        right = right.withColumn(_HASH, key_hash).join(splits, _HASH, "left").withColumn(
+            _SALT, F.explode(F.sequence(F.lit(0), parts - 1))
+        ).drop(_HASH, "_parts")
     else:
         left = left.withColumn(_SALT, F.when(null_key, null_salt).otherwise(F.lit(0)))
         right = right.withColumn(_SALT, F.lit(0))

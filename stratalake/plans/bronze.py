@@ -73,26 +73,34 @@ class Bronze:
     def exists(self, dataset: str) -> bool:
         return bool(self.columns(dataset))
 
-    def append_new(self, dataset: str, rows: DataFrame, hashes: Sequence[str]) -> dict[str, int]:
-        """Append the rows that bronze lacks; returns new rows per content.
+    def append_new(self, dataset: str, rows: DataFrame, hashes: Sequence[str]) -> dict[str, tuple[int, int]]:
+        """Append the rows that bronze lacks; (new rows, all rows) per content.
 
         A row is known by content hash and row number, so a second run or one that broke off
-        adds exactly what is missing. Only the folders of these contents are compared.
+        adds exactly what is missing. Contents that bronze has nothing of are written as they
+        are read; only the others are compared, within their own folders.
         """
-        existed = self.exists(dataset)
+        held = self._held(dataset, hashes) if self.exists(dataset) else None
         columns = self._evolve(dataset, rows.columns)
-        if existed:
-            keys = ["_source_sha256", "_source_row_number"]
-            stored = self.read(dataset).filter(F.col("_source_sha256").isin(list(hashes)))
-            before = self._counts(stored)
-            rows = not_present(rows, stored, keys)
-        else:
-            before = {}
-        shape.align(rows, csv.text_schema(columns)).write.mode("append").partitionBy(
-            "_source_sha256"
-        ).parquet(self._path(dataset))
-        after = self._counts(self.read(dataset).filter(F.col("_source_sha256").isin(list(hashes))))
-        return {sha: n - before.get(sha, 0) for sha, n in after.items()}
+        before = {} if held is None else self._counts(held)
+        started = F.col("_source_sha256").isin(list(before))
+        if before:
+            missing = not_present(
+                rows.filter(started), held, ["_source_sha256", "_source_row_number"]
+            )
+            # One shuffle has spread each content over all tasks; gather it into full files.
+            self._append(dataset, missing.hint("rebalance", "_source_sha256"), columns)
+        if set(hashes) - set(before):
+            self._append(dataset, rows.filter(~started) if before else rows, columns)
+        after = self._counts(self._held(dataset, hashes))
+        return {sha: (n - before.get(sha, 0), n) for sha, n in after.items()}
+
+    def _append(self, dataset: str, rows: DataFrame, columns: Sequence[str]) -> None:
+        aligned = shape.align(rows, csv.text_schema(columns))
+        aligned.write.mode("append").partitionBy("_source_sha256").parquet(self._path(dataset))
+
+    def _held(self, dataset: str, hashes: Sequence[str]) -> DataFrame:
+        return self.read(dataset).filter(F.col("_source_sha256").isin(list(hashes)))
 
     @staticmethod
     def _counts(stored: DataFrame) -> dict[str, int]:
@@ -145,10 +153,13 @@ def land_pending(spark: SparkSession, ledger: Ledger, lake_root: str, run_id: st
 
 def ingest_pending(spark: SparkSession, ledger: Ledger, bronze: Bronze, lake_root: str,
                    run_id: str, pipeline: str) -> dict[str, int]:
-    """Append the pending contents of a run from the lake to bronze."""
+    """Append the pending contents of a run from the lake to bronze.
+
+    ``rows_held`` counts all rows of these contents, with those of an earlier broken run.
+    """
     pending = classify_files(ledger.with_status(run_id, pipeline, PENDING))
     listed = pending.select("dataset", "header", "file_sha256").distinct().collect()
-    result = {"inserted_calls": 0, "inserted_incidents": 0, "files": pending.count()}
+    result = {"inserted_calls": 0, "inserted_incidents": 0, "files": pending.count(), "rows_held": 0}
     groups: dict[tuple, list[str]] = {}
     for row in listed:
         groups.setdefault((row["dataset"], tuple(row["header"])), []).append(row["file_sha256"])
@@ -160,8 +171,9 @@ def ingest_pending(spark: SparkSession, ledger: Ledger, bronze: Bronze, lake_roo
             lined = shape.with_lineage(
                 rows, F.col("row_number"), F.col("sha256"), F.col("file_path")
             ).select(*names, *shape.LINEAGE_COLUMNS)
-            inserted = bronze.append_new(dataset, lined, batch)
-            result[f"inserted_{dataset}"] += sum(inserted.values())
+            for inserted, held in bronze.append_new(dataset, lined, batch).values():
+                result[f"inserted_{dataset}"] += inserted
+                result["rows_held"] += held
     return result
 
 

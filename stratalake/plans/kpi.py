@@ -67,6 +67,12 @@ def average_by(rows: DataFrame, measures: Sequence[str], by: Sequence[str] = ())
     )
 
 
+def average_by_each(rows: DataFrame, measures: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """(field, name, row count, averages) for every value of several columns, in one scan."""
+    long = rows.select(*columns, *measures).unpivot(list(measures), list(columns), "field", "name")
+    return average_by(long, measures, ["field", "name"])
+
+
 def kpi_tables(fact: DataFrame, dates: DataFrame, types: DataFrame) -> dict[str, DataFrame]:
     """The three monthly and type figures by table name."""
     return {

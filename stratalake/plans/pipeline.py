@@ -6,7 +6,6 @@ from collections.abc import Sequence
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from stratalake.plans import bronze, gates, gold, kpi, silver
 from stratalake.plans.ledger import DEFAULT_PIPELINE, FAILED, SUCCESS, Ledger
@@ -51,7 +50,7 @@ class Pipeline:
                 self.spark, self.ledger, self.bronze, self.lake_root, run_id, self.name
             )
             absent = [name for name in ("calls", "incidents") if not self.bronze.exists(name)]
-            refresh = not absent and self._needs_refresh(run_id)
+            refresh = not absent and loaded["rows_held"] > 0
             if refresh:
                 self.refresh(self.bronze.read("calls"), self.bronze.read("incidents"), export_to)
             if not absent:
@@ -63,17 +62,6 @@ class Pipeline:
             self.ledger.finish_run(run_id, self.name, FAILED)
             raise
 
-    def _needs_refresh(self, run_id: str) -> bool:
-        """Whether bronze holds any row of the pending contents, from this run or a broken one."""
-        pending = self.ledger.with_status(run_id, self.name).select(
-            F.col("file_sha256").alias("_source_sha256")
-        )
-        return any(
-            self.bronze.exists(dataset)
-            and not self.bronze.read(dataset).join(pending, "_source_sha256", "left_semi").isEmpty()
-            for dataset in ("calls", "incidents")
-        )
-
     def run_full(self, calls_csv: str, incidents_csv: str,
                  text_columns: Sequence[str] = bronze.CALLS_TEXT_COLUMNS,
                  export_to: str | None = None) -> dict[str, int]:

@@ -10,7 +10,8 @@ from pyspark.sql import types as T
 
 from stratalake.functions.names import sanitize_names
 from stratalake.functions.times import now_utc
-from stratalake.session import small_frame
+from stratalake.operators.joins import lookup
+from stratalake.session import materialize, small_frame
 from stratalake.sources.csv import read_text, text_schema
 from stratalake.sources.files import source_path
 
@@ -94,7 +95,9 @@ def read_landed(spark: SparkSession, lake_root: str, dataset: str, columns: Sequ
         .select("sha256", _BLOCK, "_first",
                 F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"))
     )
-    return rows.join(blocks, ["sha256", _BLOCK]).select(
+    # One row per block, so the data itself is shuffled only for a huge number of blocks.
+    placed = lookup(rows, materialize(blocks, "blocks"), ["sha256", _BLOCK], [_POSITION], "inner")
+    return placed.select(
         *[F.col(f"`{name}`") for name in columns],
         (F.col("_before") + F.col(_POSITION) - F.col("_first")).alias("row_number"),
         F.col("sha256"),

@@ -137,8 +137,8 @@ def test_half_written_content_is_completed(spark, done, tmp_path):
     sha = calls.first()._source_sha256
     other = bronze.Bronze(spark, str(tmp_path / "other"))
     other.append_new("calls", calls.filter("_source_row_number < 2"), [sha])
-    assert other.append_new("calls", calls, [sha]) == {sha: 3}
-    assert other.append_new("calls", calls, [sha]) == {sha: 0}
+    assert other.append_new("calls", calls, [sha]) == {sha: (3, 5)}
+    assert other.append_new("calls", calls, [sha]) == {sha: (0, 5)}
     assert other.read("calls").count() == 5
 
 
