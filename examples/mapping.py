@@ -258,8 +258,8 @@ def star_store(spark: SparkSession, sf_dir: str) -> Warehouse:
 
 def build_star(spark: SparkSession, sf_dir: str, store: Warehouse) -> None:
     silver_tables = side_by_side(
-        lambda: store.stage("silver.calls_clean", calls(spark, sf_dir)),
-        lambda: store.stage("silver.incidents_clean", incidents(spark, sf_dir)),
+        lambda: store.stage("silver.calls_clean", calls(spark, sf_dir), "call_date"),
+        lambda: store.stage("silver.incidents_clean", incidents(spark, sf_dir), "incident_date"),
     )
     star = stage_star(store, *map(store.read_staged, silver_tables))
     store.publish(*silver_tables, *star.values())

@@ -82,9 +82,20 @@ def kpi_tables(fact: DataFrame, dates: DataFrame, types: DataFrame) -> dict[str,
     }
 
 
+def date_id_range(year: int, month: int | None = None) -> tuple[int, int]:
+    """First and last possible YYYYMMDD key of a year or a month."""
+    first, last = (month, month) if month else (1, 12)
+    return year * 10000 + first * 100 + 1, year * 10000 + last * 100 + 31
+
+
 def select_facts(rows: DataFrame, year: int | None = None, month: int | None = None,
                  call_type_group: str | None = None, neighborhood: str | None = None) -> DataFrame:
-    """Facts of the chosen year, month, group and neighborhood; None means all."""
+    """Facts of the chosen year, month, group and neighborhood; None means all.
+
+    A chosen year also bounds the date key, which the fact scan can use to skip row groups.
+    """
+    if year is not None:
+        rows = rows.filter(F.col("date_id").between(*date_id_range(year, month)))
     return rows.filter(
         equals(
             {

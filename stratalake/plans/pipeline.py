@@ -95,9 +95,10 @@ class Pipeline:
                       details: bool) -> list[Staged]:
         stage = self.warehouse.stage
         return side_by_side(
-            lambda: stage("silver.calls_clean", silver.clean_calls(raw_calls)),
+            lambda: stage("silver.calls_clean", silver.clean_calls(raw_calls), "call_date"),
             lambda: stage(
-                "silver.incidents_clean", silver.clean_incidents(raw_incidents, details=details)
+                "silver.incidents_clean",
+                silver.clean_incidents(raw_incidents, details=details), "incident_date",
             ),
         )
 
@@ -126,4 +127,5 @@ def stage_star(store: Warehouse, calls: DataFrame, incidents: DataFrame) -> dict
         lambda: store.stage("gold.dim_location", gold.dim_location(matched)),
     )
     fact = gold.fact_incident(matched, *map(store.read_staged, dims))
-    return {**dict(zip(DIMENSIONS, dims)), "fact_incident": store.stage("gold.fact_incident", fact)}
+    staged_fact = store.stage("gold.fact_incident", fact, "date_id")
+    return {**dict(zip(DIMENSIONS, dims)), "fact_incident": staged_fact}

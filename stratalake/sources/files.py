@@ -5,6 +5,7 @@ from __future__ import annotations
 import csv
 import hashlib
 import io
+import re
 import sys
 from collections.abc import Iterator
 
@@ -31,6 +32,11 @@ def source_path() -> Column:
     return F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
 
 
+def literal_path(path: str) -> str:
+    """A path that readers take as it is, even with characters that usually match many."""
+    return re.sub(r"([\\\[\]{}*?])", r"\\\1", path)
+
+
 def _listing_columns(files: DataFrame) -> DataFrame:
     return files.select(
         source_path().alias("file_path"),

@@ -13,7 +13,7 @@ from stratalake.functions.times import now_utc
 from stratalake.operators.joins import lookup
 from stratalake.session import materialize, small_frame
 from stratalake.sources.csv import read_text, text_schema
-from stratalake.sources.files import source_path
+from stratalake.sources.files import literal_path, source_path
 
 # Where a row stood in its CSV file: start of the read block and position within the task.
 _BLOCK = "_block_start"
@@ -47,7 +47,7 @@ def land_csv(spark: SparkSession, lake_root: str, dataset: str, ingest_date: str
 
 def _land(spark, lake_root, dataset, ingest_date, raw_header, files, multi_line) -> None:
     names = sanitize_names(raw_header)
-    text = read_text(spark, [path for path, _ in files], names, multi_line)
+    text = read_text(spark, [literal_path(path) for path, _ in files], names, multi_line)
     hashes = F.broadcast(
         small_frame(spark, files, "_source_file_path string, sha256 string")
     )

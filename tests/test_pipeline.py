@@ -9,7 +9,7 @@ from stratalake.plans import bronze, gates, gold, kpi, profile, reports, silver
 from stratalake.plans.ledger import Ledger
 from stratalake.plans.pipeline import DIMENSIONS, Pipeline
 from stratalake.plans.reports import CallFilter
-from stratalake.sources import serving
+from stratalake.sources import files, serving
 from stratalake.streaming.dropzone import ingest_new_files
 
 CALLS = """Call Number,Incident Number,Call Type,Call Type Group,Final Priority,Call Date,Received DtTm,Dispatch DtTm,On Scene DtTm,Address,City,Battalion,Neighborhooods - Analysis Boundaries,Number of Alarms,RowID
@@ -88,11 +88,13 @@ def test_incremental_run(done, rows):
 
 
 def test_second_run_is_a_no_op_and_copies_are_skipped(pipe, drop):
-    shutil.copy(drop / "fire_calls.csv", drop / "calls_copy.csv")
+    shutil.copy(drop / "fire_calls.csv", drop / "calls copy [1]{a}+%.csv")
+    (drop / "fire_calls.csv").unlink()
+    shutil.copy(drop / "calls copy [1]{a}+%.csv", drop / "zz_calls.csv")
     found = pipe.run_incremental(str(drop))
     assert (found["pending"], found["written"], found["inserted_calls"]) == (3, 2, 5)
     before = pipe.bronze.read("calls").count()
-    shutil.copy(drop / "fire_calls.csv", drop / "renamed.csv")
+    shutil.copy(drop / "zz_calls.csv", drop / "renamed.csv")
     again = pipe.run_incremental(str(drop))
     assert (again["pending"], again["skipped"], again["skipped_downstream"]) == (0, 4, True)
     assert pipe.bronze.read("calls").count() == before
@@ -200,6 +202,8 @@ def test_ledger_keeps_first_success_and_first_landing(spark, tmp_path, drop):
     third = ledger.start_run("p", "MANUAL")
     assert ledger.detect(third, "p", str(drop)) == {
         "run_id": third, "pending": 0, "skipped": 2, "failed": 0, "files": 2}
+    hashes = files.fingerprint(files.list_drop(spark, str(drop)))
+    assert ledger.known("p", hashes).count() == 2 and ledger.known("none", hashes).isEmpty()
     started = ledger.runs().filter(F.col("run_id") == runs[0]).first()
     assert (started.status, started.notes, started.finished_at) == ("RUNNING", "note", None)
 
