@@ -8,6 +8,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import from_arrow_type
 
 # Rows in one Arrow batch. A batch holds whole texts, so the bound is on rows and kept small.
 BATCH_ROWS = 256
@@ -23,7 +25,7 @@ def bounded_batches(spark: SparkSession) -> None:
 
 
 def map_batches(df: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
-                schema: str) -> DataFrame:
+                schema: str | T.StructType) -> DataFrame:
     """``mapInArrow`` with bounded batches."""
     bounded_batches(df.sparkSession)
     return df.mapInArrow(work, schema)
@@ -46,6 +48,31 @@ def partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
+def add_columns(df: DataFrame, source: str, fields: dict[str, pa.DataType],
+                compute: Callable[[list], list], keep: list[str] | None = None) -> DataFrame:
+    """``keep`` (all columns by default) and new ``fields`` that ``compute`` makes from ``source``.
+
+    ``compute`` takes the values of one bounded batch and returns one list or array a field. Kept
+    columns named like a field, in any letter case, are replaced by it.
+    """
+    new = {name.lower() for name in fields}
+    kept = [c for c in (df.columns if keep is None else keep) if c.lower() not in new]
+    # The source goes in once more under a name of its own, so it may be kept or replaced as well.
+    sent = df.select(*[F.col(f"`{c}`") for c in kept], F.col(f"`{source}`").alias(free_name(df, "_source")))
+    names = kept + list(fields)
+
+    def work(batches):
+        for batch in batches:
+            made = compute(batch.column(len(kept)).to_pylist())
+            arrays = [batch.column(k) for k in range(len(kept))]
+            arrays += [pa.array(values, kind) for values, kind in zip(made, fields.values())]
+            yield pa.RecordBatch.from_arrays(arrays, names=names)
+
+    types = [df.schema[c].dataType for c in kept] + [from_arrow_type(kind) for kind in fields.values()]
+    schema = T.StructType([T.StructField(name, kind) for name, kind in zip(names, types)])
+    return map_batches(sent, work, schema)
+
+
 def text_bytes(column: pa.Array) -> list[bytes | None]:
     """The UTF-8 bytes of each text."""
     return column.cast(pa.binary()).to_pylist()

@@ -21,9 +21,8 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from stratalake.llm.common import free_name, map_batches, table
+from stratalake.llm.common import add_columns, table
 
 ALLOW, BLOCK = "allow", "block"
 
@@ -154,6 +153,9 @@ def split_url(url: str | None) -> tuple[str, str]:
     return host, path
 
 
+FIELDS = {name: pa.string() for name in ("host", "path", "rule", "verdict", "own_glob")}
+
+
 def filter_urls(df: DataFrame, url: str = "url", path_rules: Sequence[PathRule] = PATH_RULES,
                 own_globs: Sequence[GlobRule] = OWN_GLOBS) -> DataFrame:
     """The frame with ``host``, ``path``, ``rule``, ``verdict`` and ``own_glob``.
@@ -164,31 +166,20 @@ def filter_urls(df: DataFrame, url: str = "url", path_rules: Sequence[PathRule]
     """
     ranked = sorted(path_rules, key=lambda r: (-len(r.rule), r.rule))
     automaton = ShiftAnd([r.glob for r in (*ranked, *own_globs)])
-    kept = [c for c in df.columns if c.lower() not in {"host", "path", "rule", "verdict", "own_glob"} or c == url]
-    extra = [pa.field(n, pa.string()) for n in ("host", "path", "rule", "verdict", "own_glob")]
-
-    def judge(batches):
-        for batch in batches:
-            parts = [split_url(u) for u in batch.column(source).to_pylist()]
-            found = automaton.matches([f".{host}{path}".encode() for host, path in parts])
-            rules, verdicts, globs = [], [], []
-            for row in found:
-                fits = next((r for r, hit in zip(ranked, row) if hit), None)
-                glob = next((g for g, hit in zip(own_globs, row[len(ranked) :]) if hit), None)
-                rules.append(fits.rule if fits else None)
-                globs.append(glob.glob if glob else None)
-                verdicts.append((fits or glob).verdict if fits or glob else ALLOW)
-            columns = [[h for h, _ in parts], [p for _, p in parts], rules, verdicts, globs]
-            arrays = [batch.column(c) for c in kept]
-            names = [pa.field(c, a.type) for c, a in zip(kept, arrays)]
-            yield pa.RecordBatch.from_arrays(
-                arrays + [pa.array(c, pa.string()) for c in columns], schema=pa.schema(names + extra))
-
-    source = free_name(df, "url_to_judge")
-    schema = ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in kept)
-    fields = "host string, path string, rule string, verdict string, own_glob string"
-    return map_batches(df.withColumn(source, F.col(url).cast("string")), judge,
-                       f"{schema}, {fields}" if schema else fields)
+
+    def judge(urls):
+        parts = [split_url(u) for u in urls]
+        found = automaton.matches([f".{host}{path}".encode() for host, path in parts])
+        rules, verdicts, globs = [], [], []
+        for row in found:
+            fits = next((r for r, hit in zip(ranked, row) if hit), None)
+            glob = next((g for g, hit in zip(own_globs, row[len(ranked) :]) if hit), None)
+            rules.append(fits.rule if fits else None)
+            globs.append(glob.glob if glob else None)
+            verdicts.append((fits or glob).verdict if fits or glob else ALLOW)
+        return [[h for h, _ in parts], [p for _, p in parts], rules, verdicts, globs]
+
+    return add_columns(df, url, FIELDS, judge)
 
 
 def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
