@@ -7,7 +7,7 @@ from importlib import import_module
 
 from pyspark.sql import DataFrame, SparkSession
 
-_MODULES = ("urlfilter", "langid")
+_MODULES = ("urlfilter", "langid", "secrets")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
