@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import from_arrow_type
 
+from stratalake.session import scratch_path
+
 # Rows in one Arrow batch. A batch holds whole texts, so the bound is on rows and kept small.
 BATCH_ROWS = 256
 
@@ -73,6 +75,30 @@ def add_columns(df: DataFrame, source: str, fields: dict[str, pa.DataType],
     return map_batches(sent, work, schema)
 
 
+class Scratch:
+    """Intermediate tables in the shared scratch folder, removed as soon as nothing reads them."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.paths: dict[str, str] = {}
+
+    def write(self, df: DataFrame, label: str) -> DataFrame:
+        """Write a frame once and read it back; a lost executor repeats only its own part."""
+        path = scratch_path(self.spark, label)
+        df.write.parquet(path)
+        self.paths[path] = label
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def drop(self, *labels: str) -> None:
+        """Remove the tables with these labels."""
+        jvm = self.spark._jvm
+        conf = self.spark._jsc.hadoopConfiguration()
+        for path in [p for p, label in self.paths.items() if label in labels]:
+            place = jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(conf).delete(place, True)
+            del self.paths[path]
+
+
 def text_bytes(column: pa.Array) -> list[bytes | None]:
     """The UTF-8 bytes of each text."""
     return column.cast(pa.binary()).to_pylist()

@@ -7,7 +7,7 @@ from importlib import import_module
 
 from pyspark.sql import DataFrame, SparkSession
 
-_MODULES = ("urlfilter", "langid", "secrets", "rules")
+_MODULES = ("urlfilter", "langid", "secrets", "rules", "neardup")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
