@@ -13,8 +13,9 @@ from pyspark.sql.pandas.types import from_arrow_type
 
 from stratalake.session import scratch_path
 
-# Rows in one Arrow batch. A batch holds whole texts, so the bound is on rows and kept small.
+# Bounds of one Arrow batch. A batch holds whole texts, so it is bounded in rows and in bytes.
 BATCH_ROWS = 256
+BATCH_BYTES = "16m"
 
 _PAIR = np.uint64(0xFF51AFD7ED558CCD)
 _SECOND = np.uint64(0xC4CEB9FE1A85EC53)
@@ -22,8 +23,9 @@ _SHIFT = np.uint64(33)
 
 
 def bounded_batches(spark: SparkSession) -> None:
-    """Keep Arrow batches of whole texts small in this session (a setting of the session)."""
+    """Keep Arrow batches of whole texts small in this session (two settings of the session)."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
 
 
 def map_batches(df: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
@@ -84,11 +86,16 @@ class Scratch:
 
     def write(self, df: DataFrame, label: str) -> DataFrame:
         """Write a frame once and read it back; a lost executor repeats only its own part."""
-        path = scratch_path(self.spark, label)
+        path = self.path(label)
         df.write.parquet(path)
-        self.paths[path] = label
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def path(self, label: str) -> str:
+        """A new folder with this label."""
+        path = scratch_path(self.spark, label)
+        self.paths[path] = label
+        return path
+
     def drop(self, *labels: str) -> None:
         """Remove the tables with these labels."""
         jvm = self.spark._jvm
