@@ -8,12 +8,15 @@
    coordinates share at least ``COLLISIONS`` of their ``K - t + COLLISIONS`` rarest postings, so only those are
    kept (prefix). The threshold ``t`` is set so that a pair at the very similarity asked for agrees less often
    with a chance below ``MISS``.
-4. First every list hands out a star: its members against its first node. Pairs that agree in ``t`` coordinates are
-   confirmed on the full sets and joined to components. A group of thousands of near copies collapses here
-   without its pairs ever being made.
-5. Then lists that still hold two components are joined with themselves, but only pairs across
-   components are made (skip); those with ``COLLISIONS`` common postings and ``t`` equal coordinates are
-   confirmed on the full sets as well.
+4. First every list hands out a star: its members against its most central node, the one whose postings are the most
+   common ones of its family. Pairs that agree in ``t`` coordinates are confirmed on the full sets and joined to
+   components, and each node is given the pivot that most others share. A group of thousands of near copies
+   collapses here without its pairs ever being made.
+5. What a star does not link is told by the pivot: with ``a`` and ``b`` shingles of x and y in their pivot, the two share at most
+   ``min(a, b)`` of the pivot's and the shingles both have beside it. So pairs of one pivot are only made where
+   they share shingles outside it (an inverted join on those) or where ``min(a, b)`` is enough by itself.
+   Pairs of different pivots, in different components, are made from the lists that hold both (skip); those with
+   ``COLLISIONS`` common postings and ``t`` equal coordinates count. All are confirmed on the full sets.
 6. Components are found with small tables of ids; a document's component is the least ``doc_id`` in it.
 
 Confirming streams texts grouped by one side of the pair, so a task holds one set of each side at a time;
@@ -98,28 +101,33 @@ def _sign(size: int):
     return work
 
 
-def _alike(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
-    if 100 * min(len(a), len(b)) < percent * max(len(a), len(b)):
-        return False
-    both = len(np.intersect1d(a, b, assume_unique=True))
-    return 100 * both >= percent * (len(a) + len(b) - both)
+PAIR = "a long, b long, alike boolean, common long, n_a long, n_b long, rest array<long>"
 
 
-def _compare(size: int, percent: int):
-    """Stream texts sorted by anchor; the anchor comes first, then those to compare with it."""
+def _compare(size: int, percent: int, with_rest: bool):
+    """Stream texts sorted by anchor; the anchor comes first, then those to compare with it.
+
+    ``rest`` holds the shingles of b that a has not.
+    """
 
     def work(batches):
         anchor, own = None, None
         for batch in batches:
-            left, right = [], []
+            rows: list[tuple] = []
             for a, b, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), text_bytes(batch.column(2))):
                 if b is None:
                     if a != anchor:
                         anchor, own = a, shingle_set(raw, size)
-                elif a == anchor and _alike(own, shingle_set(raw, size), percent):
-                    left.append(a)
-                    right.append(b)
-            yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], names=["a", "b"])
+                elif a == anchor:
+                    other = shingle_set(raw, size)
+                    outside = np.setdiff1d(other, own, assume_unique=True)
+                    both = len(other) - len(outside)
+                    alike = 100 * both >= percent * (len(own) + len(outside))
+                    rows.append((a, b, alike, both, len(own), len(other), outside.view(np.int64) if with_rest else []))
+            columns = list(zip(*rows)) or [()] * 7
+            types = [pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64())]
+            yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, types)],
+                                             names=["a", "b", "alike", "common", "n_a", "n_b", "rest"])
 
     return work
 
@@ -151,25 +159,25 @@ class _Join:
         common = self.scratch.write(
             tokens.groupBy("token").agg(F.count("*").alias("df")).where("df > 1"), "common")
         shared = tokens.join(common, "token").groupBy("id", "n").agg(
-            F.sort_array(F.collect_list(F.struct("df", "token"))).alias("own"))
+            F.sort_array(F.collect_list(F.struct("df", "token"))).alias("own"), F.sum("df").alias("central"))
         kept = shared.where(F.size("own") >= self.least).select(
-            "id", "n", F.explode(F.slice("own", F.lit(1), F.size("own") - (COORDINATES - self.prefix))).alias("x"))
-        self.postings = self.scratch.write(kept.select("id", "n", F.col("x.token").alias("token")), "postings")
+            "id", "n", "central", F.explode(F.slice("own", F.lit(1), F.size("own") - (COORDINATES - self.prefix))).alias("x"))
+        self.postings = self.scratch.write(kept.select("id", "n", "central", F.col("x.token").alias("token")), "postings")
         self.scratch.drop("common")
 
     def _close(self, a, b):
         return (100 * F.least(a, b) >= self.percent * F.greatest(a, b))
 
-    def _matching(self, pairs: DataFrame) -> DataFrame:
-        """Pairs a, b whose signatures agree often enough."""
+    def _matching(self, pairs: DataFrame, least: int) -> DataFrame:
+        """Pairs a, b whose signatures agree in at least so many coordinates."""
         sig = self.nodes.select("id", "sig")
         both = (pairs.join(sig.select(F.col("id").alias("a"), F.col("sig").alias("sig_a")), "a")
                 .join(sig.select(F.col("id").alias("b"), F.col("sig").alias("sig_b")), "b"))
         equal = F.aggregate(F.zip_with("sig_a", "sig_b", lambda x, y: (x == y).cast("int")), F.lit(0), lambda s, x: s + x)
-        return both.where(equal >= self.least).select("a", "b")
+        return both.where(equal >= least).select("a", "b")
 
-    def confirm(self, pairs: DataFrame, label: str) -> DataFrame:
-        """The pairs that are alike as full sets."""
+    def confirm(self, pairs: DataFrame, label: str, with_rest: bool = False) -> DataFrame:
+        """The pairs compared as full sets."""
         pairs = self.scratch.write(pairs, f"{label}-pairs")
         groups = pairs.groupBy("a").agg(F.ceil(F.count("*") / GROUP).cast("int").alias("parts"))
         ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
@@ -183,47 +191,101 @@ class _Join:
                   .join(texts.withColumnRenamed("id", "b"), "b").select("a", "part", "b", "text"))
         dealt = (anchors.union(others).repartition(partitions(self.docs), "a", "part")
                  .sortWithinPartitions("a", "part", F.col("b").asc_nulls_first()).select("a", "b", "text"))
-        links = self.scratch.write(map_batches(dealt, _compare(self.words, self.percent), "a long, b long").distinct(), f"{label}-links")
-        self.scratch.drop(f"{label}-texts")
-        return links
+        compared = map_batches(dealt, _compare(self.words, self.percent, with_rest), PAIR)
+        compared = self.scratch.write(compared, f"{label}-compared")
+        self.scratch.drop(f"{label}-texts", f"{label}-pairs")
+        return compared
 
     def star(self) -> DataFrame:
-        heads = self.postings.groupBy("token").agg(F.min(F.struct("id", "n")).alias("head"))
-        heads = heads.select("token", F.col("head.id").alias("a"), F.col("head.n").alias("n_a"))
+        """Members of each list compared with its most central node."""
+        rank = F.struct("central", (-F.col("id")).alias("id"), "n")
+        heads = self.postings.groupBy("token").agg(F.max(rank).alias("head"))
+        heads = heads.select("token", (-F.col("head.id")).alias("a"), F.col("head.n").alias("n_a"))
         pairs = (self.postings.join(self.scratch.write(heads, "heads"), "token")
                  .where((F.col("id") != F.col("a")) & self._close(F.col("n"), F.col("n_a")))
                  .select("a", F.col("id").alias("b")).distinct())
-        return self.confirm(self._matching(pairs), "star")
-
-    def across(self, found: DataFrame) -> DataFrame:
-        """Links between components that some list still holds together."""
-        labelled = self.scratch.write(
-            self.postings.join(found, "id", "left").select("token", "id", "n", F.coalesce("component", "id").alias("c")), "labelled")
-        mixed = self.scratch.write(
-            labelled.groupBy("token").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low < high").select("token"), "mixed")
-        lists = self.scratch.write(labelled.join(mixed, "token", "left_semi"), "lists")
+        return self.confirm(self._matching(pairs, min(self.least, COORDINATES // 2)), "star", with_rest=True)
+
+    def pivots(self, compared: DataFrame, found: DataFrame) -> DataFrame:
+        """Each node's pivot: of the nodes it was compared with the one with most others, or the node if it is one."""
+        weight = compared.groupBy("a").agg(F.count("*").alias("members"))
+        of = compared.join(weight, "a").select(
+            F.col("b").alias("id"), F.struct("members", "common", (-F.col("a")).alias("a")).alias("best"),
+            "alike", F.col("n_b").alias("n"), "rest")
+        best = of.groupBy("id").agg(F.max_by(F.struct("best", "alike", "n", "rest"), "best").alias("x")).select(
+            "id", (-F.col("x.best.a")).alias("pivot"), F.col("x.best.members").alias("members"),
+            F.col("x.best.common").alias("common"), "x.alike", "x.n", "x.rest")
+        own = compared.groupBy(F.col("a").alias("id")).agg(F.max("n_a").alias("n"), F.count("*").alias("members")).select(
+            "id", F.col("id").alias("pivot"), "members", F.col("n").alias("common"), F.lit(True).alias("alike"), "n",
+            F.array().cast("array<long>").alias("rest"))
+        both = best.union(own).groupBy("id").agg(
+            F.max_by(F.struct("pivot", "common", "alike", "n", "rest"), F.struct("members", "common")).alias("x")).select("id", "x.*")
+        return self.scratch.write(both.join(found, "id", "left").withColumn("c", F.coalesce("component", "id")).drop("component"), "members")
+
+    def _enough(self, common, total):
+        """Whether so many common shingles suffice for sets of this total size."""
+        return (100 + self.percent) * common >= self.percent * total
+
+    def beside(self, members: DataFrame) -> DataFrame:
+        """Pairs of one pivot, in different components, that may still be alike."""
+        mixed = members.groupBy("pivot").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low < high").select("pivot")
+        group = self.scratch.write(members.join(mixed, "pivot", "left_semi"), "mixed-pivots")
+        outside = group.select("pivot", F.explode("rest").alias("shingle"), "id", "c", "n", "common")
+        several = outside.groupBy("pivot", "shingle").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low < high")
+        lists = self.scratch.write(outside.join(several.select("pivot", "shingle"), ["pivot", "shingle"], "left_semi"), "outside")
         a, b = lists.alias("a"), lists.alias("b")
-        pairs = (a.join(b, "token")
-                 .where((F.col("a.id") < F.col("b.id")) & (F.col("a.c") != F.col("b.c")) & self._close(F.col("a.n"), F.col("b.n")))
-                 .groupBy(F.col("a.id").alias("a"), F.col("b.id").alias("b")).count()
-                 .where(F.col("count") >= COLLISIONS).select("a", "b"))
-        links = self.confirm(self._matching(pairs), "across")
-        self.scratch.drop("labelled", "mixed", "lists")
-        return links
+        shared = (a.join(b, ["pivot", "shingle"])
+                  .where((F.col("a.id") < F.col("b.id")) & (F.col("a.c") != F.col("b.c")) & self._close(F.col("a.n"), F.col("b.n")))
+                  .groupBy(F.col("a.id").alias("a"), F.col("b.id").alias("b")).agg(
+                      F.count("*").alias("more"), F.first(F.least("a.common", "b.common")).alias("most"),
+                      F.first(F.col("a.n") + F.col("b.n")).alias("total"))
+                  .where(self._enough(F.col("most") + F.col("more"), F.col("total"))).select("a", "b"))
+        # Those that the pivot alone can make alike: first by the sizes that occur, then by the nodes of these sizes.
+        outsiders = group.where(~F.col("alike")).select("pivot", F.col("id").alias("a"), F.col("c").alias("c_a"),
+                                                        F.col("n").alias("n_a"), F.col("common").alias("common_a"))
+        sizes = group.groupBy("pivot", "n").agg(F.max("common").alias("top"))
+        fits = self._enough(F.least("common_a", "top"), F.col("n_a") + F.col("n")) & self._close(F.col("n_a"), F.col("n"))
+        possible = self.scratch.write(outsiders.join(sizes, "pivot").where(fits).drop("top"), "possible")
+        near = (possible.join(group.select("pivot", "n", F.col("id").alias("b"), "c", "common"), ["pivot", "n"])
+                .where((F.col("a") != F.col("b")) & (F.col("c_a") != F.col("c"))
+                       & self._enough(F.least("common_a", "common"), F.col("n_a") + F.col("n")))
+                .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
+        return shared.union(near)
+
+    def across(self, members: DataFrame, found: DataFrame) -> DataFrame:
+        """Pairs of different pivots and components that some lists hold together."""
+        labelled = (self.postings.join(members.select("id", "pivot"), "id", "left").join(found, "id", "left").select(
+            "token", "id", "n", F.coalesce("pivot", "id").alias("p"), F.coalesce("component", "id").alias("c")))
+        labelled = self.scratch.write(labelled, "labelled")
+        mixed = labelled.groupBy("token").agg(
+            F.min("c").alias("low"), F.max("c").alias("high"), F.min("p").alias("first"), F.max("p").alias("last"))
+        lists = self.scratch.write(labelled.join(mixed.where("low < high AND first < last").select("token"), "token", "left_semi"), "lists")
+        groups = lists.select("token", "p").distinct()
+        two = (groups.join(groups.withColumnRenamed("p", "q"), "token").where("p < q"))
+        a = lists.select("token", "p", F.col("id").alias("a"), F.col("n").alias("n_a"), F.col("c").alias("c_a"))
+        b = lists.select("token", F.col("p").alias("q"), F.col("id").alias("b"), F.col("n").alias("n_b"), F.col("c").alias("c_b"))
+        return (two.join(a, ["token", "p"]).join(b, ["token", "q"])
+                .where((F.col("c_a") != F.col("c_b")) & self._close(F.col("n_a"), F.col("n_b")))
+                .groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).count()
+                .where(F.col("count") >= COLLISIONS).select("a", "b"))
 
     def run(self) -> DataFrame:
         self.sign()
         self.post()
-        links = self.star()
+        compared = self.star()
+        links = self.scratch.write(compared.where("alike").select("a", "b"), "links")
         found = self.scratch.write(components(links, self.scratch, "star"), "found")
-        more = self.across(found)
+        members = self.pivots(compared, found)
+        more = self._matching(self.across(members, found), self.least).union(self.beside(members)).distinct()
+        more = self.confirm(more, "more").where("alike").select("a", "b")
         if not more.isEmpty():
             found = self.scratch.write(components(links.union(more), self.scratch, "all"), "found-all")
         groups = self.nodes.join(found, "id", "left").select(
             "key", "doc_id", F.coalesce("component", "id").alias("group"))
         least = groups.groupBy("group").agg(F.min("doc_id").alias("component_id"))
         classes = self.scratch.write(groups.join(least, "group").select("key", "group", "component_id"), "classes")
-        self.scratch.drop("postings", "heads", "star-pairs", "across-pairs", "nodes")
+        self.scratch.drop("nodes", "postings", "heads", "star-compared", "members", "mixed-pivots", "outside", "possible",
+                          "labelled", "lists", "more-compared", "links")
         named = self.rows.where("key IS NOT NULL").join(classes, "key").select(
             "doc_id", "text_key", "n_shingles", "group", "component_id")
         bare = self.rows.where("key IS NULL").select(
