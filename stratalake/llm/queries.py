@@ -7,7 +7,7 @@ from importlib import import_module
 
 from pyspark.sql import DataFrame, SparkSession
 
-_MODULES = ("urlfilter", "langid", "secrets", "rules", "neardup", "packing", "tokenfile", "decontam", "htmltext")
+_MODULES = ("urlfilter", "langid", "secrets", "rules", "neardup", "packing", "tokenfile", "decontam", "htmltext", "cotrain")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
