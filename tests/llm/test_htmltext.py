@@ -5,7 +5,8 @@ import numpy as np
 import pytest
 
 from stratalake.llm import htmltext
-from stratalake.llm.htmltext import ARTICLE, LONG, boilerplate, main_text, op3_main_text, page_blocks, suffix_classes
+from stratalake.llm.htmltext import ARTICLE, LONG, boilerplate, host_of, main_text, op3_main_text, page_blocks, suffix_classes
+from stratalake.llm.urlfilter import split_url
 
 
 def text(page):
@@ -79,9 +80,15 @@ def test_edges(spark, monkeypatch):
     rows = [(1, "http://a.b/x", None), (2, None, "<p>x"), (2, None, "<p>x"), (None, "http://a.b/y", "<article>y</article>"),
             (5, "nohost", ""), (6, "http://a.b/z", "<p>" + "word " * 200_000)]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string").selectExpr("*", "1 AS Text", "2 AS host")
-    for size in (2_000_000, 10):
+    for size in (1_000_000, 10):
         monkeypatch.setattr(htmltext, "CHUNK_BYTES", size)
         got = [(r.page_id, r.url, r.n_chars) for r in main_text(pages).collect()]
         assert sorted(got, key=str) == sorted([(1, "http://a.b/x", 0), (2, None, 1), (2, None, 1), (None, "http://a.b/y", 1),
                                                (5, "nohost", 0), (6, "http://a.b/z", 999_999)], key=str)
     assert main_text(pages.limit(0)).count() == 0
+
+
+def test_hosts_equal_the_url_filter(spark):
+    urls = [None, "", "abc", "http://A.Com", "http://a.com?x/y", "x://y://z", "h://É.com/A#", "a://", "://b/c", "http://u@A.b:80/x#y"]
+    rows = spark.createDataFrame([(u,) for u in urls], "url string").select("url", host_of("url").alias("h")).collect()
+    assert all(r.h == split_url(r.url)[0] for r in rows)
