@@ -26,7 +26,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratalake.llm.common import add_columns, crc32_mod3, map_batches, table
+from stratalake.llm.common import add_columns, crc32_mod3, free_name, map_batches, table
 
 ORDER = 4
 TRAIN_DOCS = 200
@@ -34,6 +34,7 @@ TRAIN_DOCS = 200
 LEAST_CONTEXT = 3
 #: A text that costs more bits a byte than this in every language is in none of them.
 MOST_BITS = 6.0
+LEAST_NODES = 1000
 UNKNOWN = "und"
 
 _UNIT = 1024
@@ -59,6 +60,10 @@ class Model:
     def width(self) -> int:
         return int(self.classes.max()) + 1
 
+    @property
+    def nodes(self) -> int:
+        return len(self.child) // self.width - 1
+
     def code_lengths(self, texts: list[bytes]) -> np.ndarray:
         """Code length of each text in each language, in 1/1024 bits."""
         total = np.zeros((len(texts), len(self.languages)), dtype=np.int64)
@@ -84,7 +89,7 @@ class Model:
             first = heads[k] + k * ORDER
             kept[first : first + ORDER - len(lead)] = 0
         at = np.arange(lengths.sum()) + np.repeat(ORDER * np.arange(1, len(pieces) + 1), lengths)
-        width, dead = self.width, len(self.child) // self.width - 1
+        width, dead = self.width, self.nodes
         node = best = np.zeros(len(at), dtype=np.int32)
         for back in range(1, ORDER + 1):
             node = self.child[node * width + kept[at - back]]
@@ -176,10 +181,13 @@ def learn(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> Model:
     cut = F.create_map(*[F.lit(x) for lang, n in sizes.items() for x in (lang, int(min(1, train_docs / n) * scale))])
     sample = usable.where(F.pmod(F.xxhash64("doc_id"), F.lit(scale)) < cut[F.col("lang")]).select("lang", "text")
     counted = (map_batches(sample, count_contexts, "lang string, context binary, after int, n long")
-               .groupBy("lang", "context", "after").agg(F.sum("n").alias("n")))
+               .groupBy("lang", "context", "after").agg(F.sum("n").alias("n"))
+               .groupBy("lang", "context").agg(F.collect_list(F.struct("after", "n")).alias("found"), F.sum("n").alias("whole"))
+               .where((F.col("whole") >= LEAST_CONTEXT) | (F.octet_length("context") == 0)).drop("whole"))
     counts: dict[str, dict[bytes, dict[int, int]]] = {lang: {} for lang in sizes}
-    for lang, context, after, n in counted.toPandas().itertuples(index=False):
-        counts[lang].setdefault(bytes(context), {})[after] = n
+    for batch in counted.toArrow().to_batches():
+        for lang, context, found in zip(*[c.to_pylist() for c in batch.columns]):
+            counts[lang][context] = {x["after"]: x["n"] for x in found}
     return compile_model({lang: tree for lang, tree in counts.items() if tree})
 
 
@@ -192,9 +200,21 @@ def identify(df: DataFrame, model: Model, text: str = "text", keep: list[str] |
     return add_columns(df, text, FIELDS, lambda texts: shared.value.predict(texts), keep)
 
 
-def accepted():
-    """Documents in one of the learned languages."""
-    return (F.col("lang_pred") != UNKNOWN) & (F.col("bits_per_byte") <= MOST_BITS)
+def accepted_documents(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
+    """The documents in one of the learned languages, with their columns.
+
+    Rejected are those without a letter, and, once the trees know at least ``LEAST_NODES`` contexts,
+    those that cost more than ``MOST_BITS`` a byte in every language.
+    """
+    grown = model.nodes >= LEAST_NODES
+    shared = df.sparkSession.sparkContext.broadcast(model)
+    name = free_name(df, "_accepted")
+
+    def accept(texts):
+        bits = shared.value.predict(texts)[2] if grown else [0.0] * len(texts)
+        return [[t is not None and _LETTER.search(t) is not None and b <= MOST_BITS for t, b in zip(texts, bits)]]
+
+    return add_columns(df, text, {name: pa.bool_()}, accept).where(F.col(name)).drop(name)
 
 
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
