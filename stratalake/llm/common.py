@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -28,10 +31,27 @@ def bounded_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the Python workers, which may run where it is not installed; once an application."""
+    context = spark.sparkContext
+    if context.applicationId not in _shipped:
+        root = Path(__file__).resolve().parents[1]
+        archive = Path(tempfile.mkdtemp(prefix="stratalake-ship-")) / "stratalake.zip"
+        with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as out:
+            for path in sorted(root.rglob("*.py")):
+                out.write(path, path.relative_to(root.parent))
+        context.addPyFile(str(archive))
+        _shipped.add(context.applicationId)
+
+
 def map_batches(df: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
                 schema: str | T.StructType) -> DataFrame:
     """``mapInArrow`` with bounded batches."""
     bounded_batches(df.sparkSession)
+    ship(df.sparkSession)
     return df.mapInArrow(work, schema)
 
 
