@@ -30,13 +30,14 @@ from pyspark.sql import functions as F
 
 from stratalake.llm.common import add_columns, map_batches, table, word_hashes
 
-LABELLED = 8_000
-UNLABELLED = 8_000
+LABELLED = 6_000
+UNLABELLED = 6_000
 ROUNDS = 4
 SHARE = 0.05
 CLEAN_KEPT = 0.98
 BUCKETS = 1 << 18
 LEAST_Z = 3.5
+LEAST_ROWS = 4
 STEPS = 200
 SHRINK = 1e-4
 TASKS = ("bad", "toxic")
@@ -80,15 +81,15 @@ def metadata_features(lang: str | None, source: str | None, n_chars: int | None)
 
 
 class Examples:
-    """Sparse rows of features."""
+    """Sparse rows of features; those in fewer than ``least`` rows are left out, as none of them can be significant."""
 
-    def __init__(self, rows: list[np.ndarray]):
-        self.at = np.concatenate(([0], np.cumsum([len(r) for r in rows]))).astype(np.int64)
-        self.items = np.concatenate(rows) if rows else np.empty(0, np.int64)
-        self.owner = np.repeat(np.arange(len(rows)), np.diff(self.at))
+    def __init__(self, items: np.ndarray, lengths: np.ndarray, least: int = 1):
+        owner = np.repeat(np.arange(len(lengths), dtype=np.int32), lengths)
+        common = (np.bincount(items, minlength=BUCKETS) >= least)[items]
+        self.items, self.owner, self.rows = items[common], owner[common], len(lengths)
 
     def __len__(self) -> int:
-        return len(self.at) - 1
+        return self.rows
 
     def margin(self, weights: np.ndarray) -> np.ndarray:
         return np.bincount(self.owner, weights=weights[self.items], minlength=len(self))
@@ -208,8 +209,8 @@ def _extract(batches):
         doc_ids, bad, toxic, texts, langs, sources, sizes = (c.to_pylist() for c in batch.columns)
         yield pa.RecordBatch.from_arrays(
             [pa.array(doc_ids, pa.int64()), pa.array(bad, pa.float64()), pa.array(toxic, pa.float64()),
-             pa.array([text_features(t) for t in texts], pa.list_(pa.int64())),
-             pa.array([metadata_features(*m) for m in zip(langs, sources, sizes)], pa.list_(pa.int64()))],
+             pa.array([text_features(t) for t in texts], pa.list_(pa.int32())),
+             pa.array([metadata_features(*m) for m in zip(langs, sources, sizes)], pa.list_(pa.int32()))],
             names=["doc_id", "bad", "toxic", "text", "metadata"])
 
 
@@ -227,16 +228,25 @@ def sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
     rows = docs.select("doc_id", "text", "lang", "source", "n_chars").join(marks, "doc_id", "left")
     rows = rows.where(F.col("bad").isNotNull() | F.col("toxic").isNotNull() | other_draw)
     return map_batches(rows.select("doc_id", "bad", "toxic", "text", "lang", "source", "n_chars"), _extract,
-                       "doc_id long, bad double, toxic double, text array<long>, metadata array<long>")
+                       "doc_id long, bad double, toxic double, text array<int>, metadata array<int>")
 
 
 def learn(docs: DataFrame, labels: DataFrame) -> dict[str, Judge | None]:
     """A judge of each task."""
-    found = sample(docs, labels).toPandas().sort_values("doc_id", kind="stable").reset_index(drop=True)
-    # Known by their ids' hash, so that held-out labels do not depend on the order of ids.
-    found = found.iloc[np.argsort([xxhash.xxh3_64_intdigest(str(i)) for i in found.doc_id], kind="stable")]
-    text, metadata = Examples(list(found.text)), Examples(list(found.metadata))
-    return {task: co_train(text, metadata, found[task].to_numpy(dtype=float)) for task in TASKS}
+    found = sample(docs, labels).toArrow()
+    # Ordered by a hash of the id, so that the labels held out depend neither on ids nor on how rows are dealt to tasks.
+    keys = pa.array([xxhash.xxh3_64_intdigest(f"{i} {n}") for i, n in zip(
+        found["doc_id"].to_pylist(), found["text"].combine_chunks().value_lengths().to_pylist())], pa.uint64())
+    found = found.append_column("key", keys).sort_by("key").combine_chunks()
+
+    def examples(name, least):
+        column = found[name].combine_chunks()
+        return Examples(column.flatten().to_numpy(), column.value_lengths().to_numpy(), least)
+
+    text, metadata = examples("text", LEAST_ROWS), examples("metadata", 1)
+    labels = {task: found[task].to_numpy().astype(float) for task in TASKS}
+    del found
+    return {task: co_train(text, metadata, labels[task]) for task in TASKS}
 
 
 FIELDS = {"p_bad": pa.float64(), "p_toxic": pa.float64(), "score": pa.float64(), "kept": pa.bool_()}

@@ -22,14 +22,18 @@ def test_query_scores_every_document(spark):
     assert len({r.doc_id for r in rows}) == len(rows) == 200
 
 
+def examples(rows):
+    return Examples(np.concatenate(rows).astype(np.int32), np.array([len(r) for r in rows]))
+
+
 def test_views_teach_each_other():
     """A feature that is never labelled is learned through the other view."""
     rng = np.random.default_rng(0)
     n = 2000
     y = rng.integers(0, 2, n).astype(float)
     labelled = np.arange(n) < 200
-    text = Examples([np.unique([int(10 + v), 100 + (7 if v and not k else 1)]) for v, k in zip(y, labelled)])
-    metadata = Examples([np.array([int(20 + v)]) for v in y])
+    text = examples([np.unique([int(10 + v), 100 + (7 if v and not k else 1)]) for v, k in zip(y, labelled)])
+    metadata = examples([np.array([int(20 + v)]) for v in y])
     judge = co_train(text, metadata, np.where(labelled, y, np.nan))
     assert judge.text[107] > 0.5
     assert judge.chance(np.array([11]), np.array([21])) > 0.9 > 0.1 > judge.chance(np.array([10]), np.array([20]))
@@ -39,7 +43,7 @@ def test_margins_equal_sums():
     rng = np.random.default_rng(1)
     rows = [np.unique(rng.integers(0, cotrain.BUCKETS, k)) for k in (0, 3, 50)]
     weights = rng.normal(size=cotrain.BUCKETS)
-    assert np.allclose(Examples(rows).margin(weights), [weights[r].sum() for r in rows])
+    assert np.allclose(examples(rows).margin(weights), [weights[r].sum() for r in rows])
 
 
 def test_edges(spark):
