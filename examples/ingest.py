@@ -93,6 +93,36 @@ def csv_inferred(spark, sf):
     ).withColumnRenamed("Order Status", "status")
 
 
+def csv_multiline(spark, sf):
+    """Whole documents with line breaks through CSV files, with default options."""
+    path = scratch_path(spark, "csv")
+    csv.write(table(spark, sf, "documents").select("doc_id", "text", "source"), path)
+    text = csv.read_text(spark, path)
+    return text.select(casts.to_long(F.col("doc_id")).alias("doc_id"), F.length("text").cast("long").alias("n_text"), "source")
+
+
+def csv_mixed_headers(spark, sf):
+    """Files with other column orders in one folder, one without a column."""
+    nation = table(spark, sf, "nation").select(
+        F.col("n_nationkey").alias("nation"), F.col("n_name").alias("name"), F.col("n_regionkey").alias("region"))
+    folder = scratch_path(spark, "csv")
+    for part, columns in enumerate((("nation", "name", "region"), ("region", "name", "nation"))):
+        csv.write(nation.where(F.col("nation") % 2 == part).select(*columns), f"{folder}-{part}")
+        copy_files(spark, f"{folder}-{part}", f"{part}-", folder)
+    return csv.read_text(spark, folder).select(
+        F.col("nation").cast("int").alias("nation"), "name", F.col("region").cast("int").alias("region"))
+
+
+def csv_late_misfit(spark, sf):
+    """Codes with a leading zero and one late misfit keep their text."""
+    orders = table(spark, sf, "orders")
+    last = orders.agg(F.max("o_orderkey")).first()[0]
+    box = F.when(F.col("o_orderkey") == last, F.lit("AI02")).otherwise(F.lpad((F.col("o_custkey") % 100).cast("string"), 2, "0"))
+    path = scratch_path(spark, "csv")
+    csv.write(orders.orderBy("o_orderkey").select(box.alias("box"), F.col("o_orderkey").alias("key")), path)
+    return csv.read_inferred(spark, path).groupBy("box").agg(agg.rows().alias("n"), F.sum("key").alias("keys"))
+
+
 def _drop_orders(spark, sf, label="drop"):
     path = scratch_path(spark, label)
     csv.write(_orders_text(spark, sf).repartition(4, "IncidentNumber"), path)
@@ -141,15 +171,42 @@ def bronze_twice(spark, sf):
     return _order_rows(pipe.bronze.read("incidents"))
 
 
+def copy_files(spark, folder: str, prefix: str, to: str | None = None) -> None:
+    """Copy the CSV files of a folder under other names."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    conf = spark._jsc.hadoopConfiguration()
+    target = hadoop.Path(to or folder)
+    store = target.getFileSystem(conf)
+    store.mkdirs(target)
+    for status in store.listStatus(hadoop.Path(folder)):
+        name = status.getPath().getName()
+        if name.endswith(".csv"):
+            hadoop.FileUtil.copy(store, status.getPath(), store, hadoop.Path(target, prefix + name), False, conf)
+
+
 def stream_drop(spark, sf):
     """Stream the drop in twice, with a renamed copy of it before the second time."""
     pipe = Pipeline(spark, scratch_path(spark, "stream"))
     drop, state = _drop_orders(spark, sf), scratch_path(spark, "stream-state")
     ingest_new_files(pipe, drop, state)
+    copy_files(spark, drop, "again-")
     ingest_new_files(pipe, drop, state)
     return _order_rows(pipe.bronze.read("incidents"))
 
 
+def stream_to_gold(spark, sf):
+    """Calls and incidents stream in one after the other; then a run over the same drop finds nothing new."""
+    pipe = Pipeline(spark, scratch_path(spark, "stream"))
+    drop, state = scratch_path(spark, "drop"), scratch_path(spark, "stream-state")
+    for part, text in (("calls", raw_call_text(spark, sf)), ("incidents", raw_incident_text(spark, sf))):
+        csv.write(text, f"{drop}-{part}")
+        copy_files(spark, f"{drop}-{part}", f"{part}-", drop)
+        ingest_new_files(pipe, drop, state)
+    if pipe.run_incremental(drop)["pending"]:
+        raise RuntimeError("the stream left contents pending")
+    return _monthly(*pipe.warehouse.read("gold.fact_incident", "gold.dim_date"))
+
+
 def _drop_calls_and_incidents(spark, sf):
     path = scratch_path(spark, "drop")
     csv.write(raw_call_text(spark, sf), f"{path}/calls")
@@ -227,6 +284,14 @@ SELECT count(*) AS rows, CAST(sum(o_orderkey) AS BIGINT) AS key_sum, CAST(0 AS B
        CAST(0 AS BIGINT) AS gaps FROM orders"""),
     "bronze_twice": Query(bronze_twice, _ORDERS_SQL),
     "stream_drop": Query(stream_drop, _ORDERS_SQL),
+    "stream_to_gold": Query(stream_to_gold, _MONTHLY_SQL),
+    "csv_multiline": Query(csv_multiline, """
+SELECT doc_id, length(text) AS n_text, source FROM documents"""),
+    "csv_mixed_headers": Query(csv_mixed_headers, """
+SELECT n_nationkey AS nation, n_name AS name, n_regionkey AS region FROM nation"""),
+    "csv_late_misfit": Query(csv_late_misfit, """
+SELECT CASE WHEN o_orderkey = (SELECT max(o_orderkey) FROM orders) THEN 'AI02' ELSE lpad(CAST(o_custkey % 100 AS VARCHAR), 2, '0') END AS box,
+       count(*) AS n, CAST(sum(o_orderkey) AS BIGINT) AS keys FROM orders GROUP BY 1"""),
     "pipeline_incremental": Query(pipeline_incremental, _MONTHLY_SQL),
     "pipeline_full": Query(pipeline_full, _MONTHLY_SQL),
     "export_read": Query(export_read, f"""

@@ -194,6 +194,16 @@ _AREA_SQL = " UNION ALL ".join(
     for a in ("neighborhood", "battalion", "station_area")
 )
 
+def lookup_null_safe_large(spark, sf):
+    """NULL-safe lookup on a time key with microseconds that goes through the spread join."""
+    events = table(spark, sf, "events")
+    key = F.when(F.col("event_id") % 7 != 0, F.timestamp_micros(F.unix_micros(F.col("ts").cast("timestamp")) + F.col("event_id") % 3))
+    facts = events.select("event_id", key.alias("k"))
+    dim = facts.select("k").distinct().withColumn("label", F.coalesce(F.unix_micros("k"), F.lit(-1).cast("long")))
+    found = joins.lookup(facts, dim, ["k"], ["event_id"], null_safe=True, broadcast_rows=0)
+    return found.select("event_id", "label")
+
+
 QUERIES = {
     "kpi_response_month": Query(kpi_response_month, """
 SELECT CAST(extract(year FROM o_orderdate) AS INTEGER) AS year,
@@ -286,4 +296,6 @@ FROM fact GROUP BY location_id""")),
         "dispatch_delay_sec is below 0": "dispatch_delay_sec < 0",
         "travel_time_sec is below 0": "travel_time_sec < 0",
     })),
+    "lookup_null_safe_large": Query(lookup_null_safe_large, """
+SELECT event_id, CASE WHEN event_id % 7 <> 0 THEN epoch_us(ts) + event_id % 3 ELSE -1 END AS label FROM events"""),
 }

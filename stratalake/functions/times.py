@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 # The text formats of raw timestamps and dates, in the order they are tried.
 # One-letter fields also accept values without a leading zero.
-TIMESTAMP_FORMATS = ("M/d/yyyy h:mm:ss a", "M/d/yyyy H:mm:ss", "yyyy-M-d H:mm:ss")
-DATE_FORMATS = ("M/d/yyyy", "yyyy-M-d")
+TIMESTAMP_FORMATS = ("M/d/yyyy h:mm:ss a", "M/d/yyyy H:mm:ss", "yyyy-M-d H:mm:ss", "yyyy/M/d H:mm:ss")
+DATE_FORMATS = ("M/d/yyyy", "yyyy-M-d", "yyyy/M/d")
 RAW_TIMESTAMP_FORMAT = "MM/dd/yyyy hh:mm:ss a"
 RAW_DATE_FORMAT = "MM/dd/yyyy"
 

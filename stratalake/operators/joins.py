@@ -29,16 +29,19 @@ _HASH = "_key_hash"
 
 
 def find_hot_keys(df: DataFrame, on: Sequence[str], share: float = HOT_SHARE,
-                  min_rows: int = HOT_MIN_ROWS) -> dict[int, int]:
+                  min_rows: int = HOT_MIN_ROWS, nulls: bool = False) -> dict[int, int]:
     """Hash of each hot key and the number of parts its rows should be split into.
 
     One scan of the key columns feeds a mergeable sketch of bounded size, so nothing is
     shuffled but the sketches. A key that is missed or split without need changes no result.
     """
+    # A key is a load where it holds more rows than a task would get on average.
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    share = min(share, max(1 / SKETCH_ITEMS, 1 / tasks))
     most = int(1 / share)
+    keys = df.select(*on)
     found = (
-        df.select(*on)
-        .dropna()
+        (keys if nulls else keys.dropna())
         .select(F.xxhash64(*on).alias(_HASH))
         .agg(
             F.expr(f"approx_top_k({_HASH}, {most}, {max(SKETCH_ITEMS, most)})").alias("top"),
@@ -58,8 +61,8 @@ def spread_left_join(left: DataFrame, right: DataFrame, on: Sequence[str],
     """Left or inner equi-join in which no key of the left side lands in one task.
 
     Rows of a hot key are split by a hash of ``spread_by``, columns that tell its rows apart,
-    and only the matching right rows are repeated. NULL keys are spread the same way. Without
-    hot keys the plan is a plain join.
+    and only the matching right rows are repeated. A left join spreads NULL keys the same way.
+    Without hot keys an inner join is a plain join.
     """
     if how not in ("left", "inner"):
         raise ValueError("how must be left or inner")
@@ -78,16 +81,33 @@ def spread_left_join(left: DataFrame, right: DataFrame, on: Sequence[str],
         right = right.withColumn(_HASH, key_hash).join(splits, _HASH, "left").withColumn(
             _SALT, F.explode(F.sequence(F.lit(0), parts - 1))
         ).drop(_HASH, "_parts")
+    elif how == "inner":
+        return left.join(right, list(on))
     else:
         left = left.withColumn(_SALT, F.when(null_key, null_salt).otherwise(F.lit(0)))
         right = right.withColumn(_SALT, F.lit(0))
     return left.join(right, [*on, _SALT], how).drop(_SALT)
 
 
-def _same_row_text(columns: Sequence[Column]) -> Column:
-    """Text that is equal exactly when all columns are equal, NULL equal to NULL."""
-    named = [column.alias(f"c{i}") for i, column in enumerate(columns)]
-    return F.to_json(F.struct(*named), {"ignoreNullFields": "false"})
+def _null_safe_join(left: DataFrame, right: DataFrame, on: Sequence[str], spread_by: Sequence[str], how: str,
+                    broadcast: bool) -> DataFrame:
+    """Equi-join in which NULL equals NULL; values are compared as they are, whatever their type."""
+    right = right.withColumnsRenamed({name: f"_dim_{name}" for name in on})
+    same = reduce(and_, [F.col(name).eqNullSafe(F.col(f"_dim_{name}")) for name in on])
+    drop = [f"_dim_{name}" for name in on]
+    if broadcast:
+        return left.join(F.broadcast(right), same, how).drop(*drop)
+    hot = find_hot_keys(left, on, nulls=True)
+    if not hot:
+        return left.join(right, same, how).drop(*drop)
+    splits = F.broadcast(small_frame(left.sparkSession, hot.items(), f"{_HASH} bigint, _parts int"))
+    parts = F.coalesce(F.col("_parts"), F.lit(1))
+    left = left.withColumn(_HASH, F.xxhash64(*on)).join(splits, _HASH, "left").withColumn(
+        _SALT, F.pmod(F.xxhash64(*spread_by), parts).cast("int")).drop(_HASH, "_parts")
+    right = right.withColumn(_HASH, F.xxhash64(*drop)).join(splits, _HASH, "left").withColumn(
+        f"_dim{_SALT}", F.explode(F.sequence(F.lit(0), parts - 1))).drop(_HASH, "_parts")
+    same = same & (F.col(_SALT) == F.col(f"_dim{_SALT}"))
+    return left.join(right, same, how).drop(*drop, _SALT, f"_dim{_SALT}")
 
 
 def lookup(fact: DataFrame, dim: DataFrame, on: Sequence[str], spread_by: Sequence[str],
@@ -99,18 +119,12 @@ def lookup(fact: DataFrame, dim: DataFrame, on: Sequence[str], spread_by: Sequen
     through the spread join. The dimension should be a stored table, which is counted from
     its file footers.
     """
-    if dim.count() <= broadcast_rows:
-        if not null_safe:
-            return fact.join(F.broadcast(dim), list(on), how)
-        renamed = dim.withColumnsRenamed({name: f"_dim_{name}" for name in on})
-        same = reduce(and_, [F.col(name).eqNullSafe(F.col(f"_dim_{name}")) for name in on])
-        return fact.join(F.broadcast(renamed), same, how).drop(*[f"_dim_{name}" for name in on])
-    if not null_safe:
-        return spread_left_join(fact, dim, on, spread_by, how)
-    key = _same_row_text([F.col(name) for name in on])
-    keyed_dim = dim.withColumn("_same_key", key).drop(*on)
-    keyed_fact = fact.withColumn("_same_key", key)
-    return spread_left_join(keyed_fact, keyed_dim, ["_same_key"], spread_by, how).drop("_same_key")
+    small = dim.count() <= broadcast_rows
+    if null_safe:
+        return _null_safe_join(fact, dim, on, spread_by, how, broadcast=small)
+    if small:
+        return fact.join(F.broadcast(dim), list(on), how)
+    return spread_left_join(fact, dim, on, spread_by, how)
 
 
 def not_present(df: DataFrame, known: DataFrame, on: Sequence[str]) -> DataFrame:

@@ -1,46 +1,104 @@
-"""Guarded read-only SQL on the registered gold tables."""
+"""Guarded read-only SQL on the registered gold tables.
+
+The text is parsed, not searched: the plan may hold only reading steps, relations that are registered, and functions
+of the engine that neither call foreign code nor tell about files.
+"""
 
 from __future__ import annotations
 
+import json
 import re
+from collections.abc import Iterable, Iterator
 
+from pyspark.errors import ParseException
 from pyspark.sql import DataFrame, SparkSession
 
-# Statements may start only with these words, and contain none of the others.
-READ_WORDS = ("select", "with")
-BLOCKED_WORDS = (
-    "insert", "update", "delete", "drop", "create", "alter", "truncate", "copy",
-    "attach", "detach", "pragma",
-)
-
+# The plan nodes of reading statements.
+READ_NODES = frozenset(
+    "Project Filter Aggregate Sort GlobalLimit LocalLimit Offset Join LateralJoin SubqueryAlias UnresolvedSubqueryColumnAliases "
+    "UnresolvedWith Distinct Union Except Intersect UnresolvedHaving WithWindowDefinition OneRowRelation Generate Pivot Unpivot "
+    "UnresolvedHint Window".split())
+# Functions that run foreign code or tell about the machine or its files.
+BLOCKED_FUNCTIONS = frozenset(
+    "reflect java_method try_reflect input_file_name input_file_block_start input_file_block_length current_user user "
+    "session_user current_catalog current_database current_schema version spark_partition_id".split())
+_LOGICAL = "org.apache.spark.sql.catalyst.plans.logical."
+_COMMANDS = "org.apache.spark.sql.execution."
 _FENCE = re.compile(r"\A\s*```(?:sql)?|```\s*\Z", re.IGNORECASE)
-_WORD = re.compile(r"\w+")
+# Literals, quoted names and comments, in which nothing is rewritten.
+_FIXED = re.compile(r"""('(?:[^'\\]|\\.)*'|"(?:[^"\\]|\\.)*"|`[^`]*`|--[^\n]*|/\*.*?\*/)""", re.S)
 
 
 class UnsafeSql(ValueError):
-    """The text is not a single read-only statement."""
+    """The text is not a single read-only statement on registered tables."""
 
 
 def strip_fences(text: str) -> str:
-    """SQL without a surrounding code fence."""
-    return _FENCE.sub("", text).strip()
+    """SQL without a surrounding code fence and closing semicolons."""
+    return _FENCE.sub("", text).strip().rstrip("; \n\t")
+
+
+def _nodes(value) -> Iterator[dict]:
+    """All nodes of a parsed plan, those of expressions and subqueries too."""
+    if isinstance(value, dict):
+        yield value
+        for inner in value.values():
+            yield from _nodes(inner)
+    elif isinstance(value, list):
+        for inner in value:
+            yield from _nodes(inner)
+
+
+def _parts(name: str) -> list[str]:
+    return [part.strip().lower() for part in name.strip("[]").split(",")]
+
 
+def check_sql(spark: SparkSession, text: str, tables: Iterable[str] | None = None) -> None:
+    """Raise ``UnsafeSql`` unless the text only reads ``tables`` (the session's temporary views by default)."""
+    body = strip_fences(text)
+    try:
+        plan = spark._jsparkSession.sessionState().sqlParser().parsePlan(body)
+    except ParseException as error:
+        raise UnsafeSql(f"not one statement: {error.getMessage()}") from error
+    if tables is None:
+        tables = [t.name for t in spark.catalog.listTables() if t.isTemporary]
+    known = {name.lower() for name in tables}
+    nodes = list(_nodes(json.loads(plan.toJSON())))
+    known |= {str(n["_1"]).lower() for n in nodes if str(n.get("product-class", "")).startswith("scala.Tuple") and "_1" in n}
+    for node in nodes:
+        kind = str(node.get("class", ""))
+        name = kind.rpartition(".")[2]
+        if kind.startswith(_LOGICAL) and name not in READ_NODES or kind.startswith(_COMMANDS):
+            raise UnsafeSql(f"{name} is not a reading step")
+        if name == "UnresolvedRelation":
+            parts = _parts(node["multipartIdentifier"])
+            if len(parts) == 2 and parts[0] == "gold":
+                parts = parts[1:]
+            if len(parts) != 1 or parts[0] not in known:
+                raise UnsafeSql(f"{'.'.join(parts)} is not a registered table")
+        elif name == "UnresolvedFunction":
+            parts = _parts(node["nameParts"])
+            if len(parts) != 1 or parts[0] in BLOCKED_FUNCTIONS or not spark.catalog.functionExists(parts[0]):
+                raise UnsafeSql(f"function {'.'.join(parts)} is not allowed")
+        elif name in ("UnresolvedTableValuedFunction", "UnresolvedTVFAliases", "UnresolvedPathBasedTable", "PlanWithUnresolvedIdentifier",
+                      "ExpressionWithUnresolvedIdentifier", "UnresolvedIdentifier"):
+            raise UnsafeSql(f"{name} is not allowed")
 
-def is_safe_select(text: str) -> bool:
-    """One SELECT or WITH statement without a blocked word.
 
-    The words are looked for anywhere, so a literal such as 'update' is blocked too.
-    """
-    body = strip_fences(text).rstrip("; \n\t")
-    words = [word.lower() for word in _WORD.findall(body)]
-    starts_well = bool(words) and words[0] in READ_WORDS and body[:1].isalpha()
-    return starts_well and ";" not in body and not set(words) & set(BLOCKED_WORDS)
+def is_safe_select(spark: SparkSession, text: str, tables: Iterable[str] | None = None) -> bool:
+    """Whether the text is one read-only statement on the tables."""
+    try:
+        check_sql(spark, text, tables)
+    except UnsafeSql:
+        return False
+    return True
 
 
-def safe_sql(spark: SparkSession, text: str, limit: int | None = None) -> DataFrame:
-    """Run one read-only statement; table names may carry a ``gold.`` prefix."""
-    if not is_safe_select(text):
-        raise UnsafeSql("only a single SELECT or WITH statement is accepted")
-    body = strip_fences(text).rstrip("; \n\t")
-    result = spark.sql(re.sub(r"\bgold\.(?=\w)", "", body))
+def safe_sql(spark: SparkSession, text: str, limit: int | None = None,
+             tables: Iterable[str] | None = None) -> DataFrame:
+    """Run one read-only statement; table names may carry a ``gold.`` prefix, literals stay as they are."""
+    check_sql(spark, text, tables)
+    pieces = _FIXED.split(strip_fences(text))
+    pieces[::2] = [re.sub(r"\bgold\s*\.\s*(?=[\w`])", "", piece, flags=re.IGNORECASE) for piece in pieces[::2]]
+    result = spark.sql("".join(pieces))
     return result if limit is None else result.limit(limit)

@@ -116,6 +116,16 @@ def classify_files(files: DataFrame) -> DataFrame:
     return files.withColumn("dataset", classify_dataset(has_call, has_incident, F.col("file_path")))
 
 
+def _classified(ledger: Ledger, run_id: str, pipeline: str) -> DataFrame:
+    """Pending files with one dataset a content: that of the lake if it is there, else the first by name."""
+    files = classify_files(ledger.with_status(run_id, pipeline, PENDING))
+    in_lake = ledger.landed().select(
+        "file_sha256", F.regexp_extract("lake_path", r"/([^/]+)/ingest_date=[^/]*/sha256=", 1).alias("_lake"))
+    chosen = files.groupBy("file_sha256").agg(F.min("dataset").alias("_first")).join(in_lake, "file_sha256", "left")
+    return files.drop("dataset").join(chosen, "file_sha256").withColumn(
+        "dataset", F.coalesce("_lake", "_first")).drop("_lake", "_first")
+
+
 def _sanitized_key(name):
     """A header field without separators and case, enough to recognise a key column."""
     return F.lower(F.regexp_replace(F.trim(name), "[ ._-]", ""))
@@ -125,19 +135,19 @@ def land_pending(spark: SparkSession, ledger: Ledger, lake_root: str, run_id: st
                  ingest_date: str | None = None, multi_line: bool = False) -> dict[str, int]:
     """Write the pending contents of a run to the lake, each content once on any date.
 
-    Files are grouped by dataset and header; each group is one Spark job over all its files.
+    Files are grouped by dataset, header and whether quotes hold line breaks; each group is one
+    Spark job over all its files. Equal bytes under several names are one content of one dataset.
     """
     date = ingest_date or utc_now().strftime("%Y-%m-%d")
-    pending = classify_files(ledger.with_status(run_id, pipeline, PENDING))
+    pending = _classified(ledger, run_id, pipeline)
     written = {"written": 0, "calls": 0, "incidents": 0}
-    new = ledger.to_land(pending).select("dataset", "header", "file_path", "file_sha256").collect()
+    new = ledger.to_land(pending).select("dataset", "header", "quoted_breaks", "file_path", "file_sha256").collect()
     groups: dict[tuple, list[tuple[str, str]]] = {}
     for row in new:
-        groups.setdefault((row["dataset"], tuple(row["header"])), []).append(
-            (row["file_path"], row["file_sha256"])
-        )
-    for (dataset, raw_header), files in groups.items():
-        lake.land_csv(spark, lake_root, dataset, date, raw_header, files, multi_line)
+        key = row["dataset"], tuple(row["header"]), bool(multi_line or row["quoted_breaks"])
+        groups.setdefault(key, []).append((row["file_path"], row["file_sha256"]))
+    for (dataset, raw_header, breaks), files in groups.items():
+        lake.land_csv(spark, lake_root, dataset, date, raw_header, files, breaks)
         written["written"] += len(files)
         written[dataset] += len(files)
     target = F.concat(
@@ -157,7 +167,7 @@ def ingest_pending(spark: SparkSession, ledger: Ledger, bronze: Bronze, lake_roo
 
     ``rows_held`` counts all rows of these contents, with those of an earlier broken run.
     """
-    pending = classify_files(ledger.with_status(run_id, pipeline, PENDING))
+    pending = _classified(ledger, run_id, pipeline)
     listed = pending.select("dataset", "header", "file_sha256").distinct().collect()
     result = {"inserted_calls": 0, "inserted_incidents": 0, "files": pending.count(), "rows_held": 0}
     groups: dict[tuple, list[str]] = {}

@@ -32,7 +32,7 @@ RUN_EVENTS = (
 LOG_EVENTS = (
     "log_id string, run_id string, pipeline_name string, drop_dir string, file_name string, "
     "file_path string, file_size_bytes bigint, file_mtime_utc timestamp_ntz, "
-    "file_sha256 string, header array<string>, event_at timestamp_ntz, lake_path string, "
+    "file_sha256 string, header array<string>, quoted_breaks boolean, event_at timestamp_ntz, lake_path string, "
     "lake_written_at timestamp_ntz, status string, error_message string"
 )
 SUCCESS_EVENTS = "pipeline_name string, content_sha256 string, success_at timestamp_ntz"
@@ -66,7 +66,7 @@ def log_states(events: DataFrame) -> DataFrame:
     )
     return latest.join(firsts, "log_id").select(
         "log_id", "run_id", "pipeline_name", "drop_dir", "file_name", "file_path",
-        "file_size_bytes", "file_mtime_utc", "file_sha256", "header", "detected_at",
+        "file_size_bytes", "file_mtime_utc", "file_sha256", "header", "quoted_breaks", "detected_at",
         F.col("known_path").alias("lake_path"), F.col("first_written_at").alias("lake_written_at"),
         "status", "error_message",
     )
@@ -154,6 +154,7 @@ class Ledger:
             F.lit(pipeline).alias("pipeline_name"),
             F.lit(drop_dir).alias("drop_dir"),
             "file_name", "file_path", "file_size_bytes", "file_mtime_utc", "file_sha256", "header",
+            "quoted_breaks",
             now_utc().alias("event_at"),
             F.lit(None).cast("string").alias("lake_path"),
             F.lit(None).cast("timestamp_ntz").alias("lake_written_at"),
@@ -175,11 +176,17 @@ class Ledger:
         return {**counts, "files": sum(counts.values())}
 
     def with_status(self, run_id: str, pipeline: str, status: str = PENDING) -> DataFrame:
-        return self.log().filter(
-            (F.col("run_id") == run_id)
-            & (F.col("pipeline_name") == pipeline)
-            & (F.col("status") == status)
-        )
+        # An entry belongs to one run, so the states of other runs need not be computed.
+        own = (F.col("run_id") == run_id) & (F.col("pipeline_name") == pipeline)
+        return log_states(self._events("log_events").filter(own)).filter(F.col("status") == status)
+
+    def waiting(self, run_id: str, pipeline: str) -> DataFrame:
+        """Pending files of this run, and of runs that ended well before gold could be built."""
+        ended = self.runs().filter((F.col("status") == SUCCESS) & (F.col("pipeline_name") == pipeline))
+        own = self._events("run_events").filter(F.col("run_id") == run_id)
+        runs = ended.select("run_id").union(own.select("run_id")).distinct()
+        mine = self._events("log_events").filter(F.col("pipeline_name") == pipeline)
+        return log_states(mine).filter(F.col("status") == PENDING).join(runs, "run_id", "left_semi")
 
     def landed(self) -> DataFrame:
         """(file_sha256, lake_path) of every content that is in the lake, on any date."""
@@ -203,8 +210,8 @@ class Ledger:
         )
 
     def mark_done(self, run_id: str, pipeline: str) -> None:
-        """Files of the run become DONE and their contents count as ingested."""
-        pending = self.with_status(run_id, pipeline)
+        """Files of the run, and those that waited for it, become DONE; their contents count as ingested."""
+        pending = self.waiting(run_id, pipeline)
         done = pending.withColumns(
             {"status": F.lit(DONE), "error_message": F.lit(None).cast("string"), "event_at": now_utc()}
         )

@@ -21,7 +21,6 @@ CATEGORIES = (
     "call_type_group", "call_type", "battalion", "station_area", "unit_type",
     "neighborhoods_analysis_boundaries",
 )
-SAMPLE_ROWS = 200_000
 TREES = 250
 MIN_LEAF = 3
 SEED = 33

@@ -15,7 +15,6 @@ from stratalake.operators.filters import date_range, in_lists
 
 # Sizes of the top lists, of the sample and of the histogram.
 TOP = 15
-SAMPLE_ROWS = 20_000
 BINS = 60
 
 _LOSSES = {
@@ -76,9 +75,9 @@ def response_by_month(calls: DataFrame) -> DataFrame:
     )
 
 
-def response_histogram(calls: DataFrame, chosen: CallFilter, sample: int | None = SAMPLE_ROWS,
+def response_histogram(calls: DataFrame, chosen: CallFilter, sample: int | None = None,
                        bins: int = BINS) -> DataFrame:
-    """Histogram of response times; the sample is drawn before the filter."""
+    """Histogram of response times; a sample, if asked for, is drawn before the filter."""
     drawn = calls if sample is None else sampling.sample_rows(calls, sample, ["call_number"])
     return agg.histogram(chosen.apply(drawn), "response_time_sec", bins)
 

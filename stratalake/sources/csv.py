@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,9 +13,10 @@ from stratalake.functions.names import sanitize_name
 from stratalake.operators.aggregates import count_where
 from stratalake.operators.shape import clear_null_tokens
 from stratalake.session import small_frame
+from stratalake.sources.files import fingerprint, list_drop, literal_path
 
-# Rows from which column types are inferred.
-INFER_ROWS = 10_000
+# Digits after a leading zero are a code, not a number.
+_CODE = r"^\s*[+-]?0[0-9]"
 
 
 def _options(multi_line: bool) -> dict[str, str]:
@@ -47,20 +49,47 @@ def header_table(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_text(spark: SparkSession, paths: str | Sequence[str],
-              columns: Sequence[str] | None = None, multi_line: bool = False) -> DataFrame:
+              columns: Sequence[str] | None = None, multi_line: bool | None = None) -> DataFrame:
     """All columns as strings with missing-value tokens as NULL.
 
     Fields beyond the header are dropped and absent ones are NULL. With ``columns`` no file
-    is opened before the job starts.
+    is opened before the job starts. Without, files are grouped by their own header and by whether quotes hold
+    line breaks, and the groups are put together by column name.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
-    names = list(columns) if columns is not None else header(spark, paths[0], multi_line)
+    if columns is None:
+        groups = _file_groups(spark, paths)
+        parts = [_read_group(spark, files, names, breaks if multi_line is None else multi_line)
+                 for (names, breaks), files in sorted(groups.items())]
+        if not parts:
+            return _read_group(spark, paths, header(spark, paths[0]), bool(multi_line))
+        return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    return _read_group(spark, paths, columns, bool(multi_line))
+
+
+def _file_groups(spark: SparkSession, paths: Sequence[str]) -> dict[tuple[tuple[str, ...], bool], list[str]]:
+    """Files by header and by whether quotes hold line breaks; the contents are read by the executors."""
+    found = reduce(DataFrame.union, [fingerprint(list_drop(spark, path, "*")) for path in paths])
+    groups: dict[tuple[tuple[str, ...], bool], list[str]] = {}
+    for row in found.where("NOT startswith(file_name, '_') AND NOT startswith(file_name, '.')").select(
+            "file_path", "header", "quoted_breaks", "error_message").collect():
+        if row["error_message"]:
+            raise OSError(f"{row['file_path']}: {row['error_message']}")
+        if row["header"]:
+            groups.setdefault((tuple(row["header"]), row["quoted_breaks"]), []).append(literal_path(row["file_path"]))
+    return groups
+
+
+def _read_group(spark: SparkSession, paths: Sequence[str], names: Sequence[str], multi_line: bool) -> DataFrame:
     reader = spark.read.options(**_options(multi_line)).schema(text_schema(names))
-    return clear_null_tokens(reader.csv(paths))
+    return clear_null_tokens(reader.csv(list(paths)))
 
 
-def infer_types(text: DataFrame, rows: int = INFER_ROWS) -> T.StructType:
-    """Narrowest of long, double, boolean and string that fits the first rows of each column."""
+def infer_types(text: DataFrame) -> T.StructType:
+    """Narrowest of long, double, boolean and string that fits every row of each column.
+
+    A column with digits after a leading zero, such as ``0123`` or ``08``, stays text.
+    """
     candidates = ("bigint", "double", "boolean")
     checks = []
     for i, name in enumerate(text.columns):
@@ -68,10 +97,12 @@ def infer_types(text: DataFrame, rows: int = INFER_ROWS) -> T.StructType:
         checks.append(count_where(value.isNotNull()).alias(f"c{i}_known"))
         for dtype in candidates:
             misfit = value.isNotNull() & value.try_cast(dtype).isNull()
-            if dtype == "boolean":
+            if dtype != "boolean":
+                misfit = misfit | value.rlike(_CODE)
+            else:
                 misfit = value.isNotNull() & ~F.lower(value).isin("true", "false")
             checks.append(count_where(misfit).alias(f"c{i}_{dtype}"))
-    found = text.limit(rows).agg(*checks).first()
+    found = text.agg(*checks).first()
     types = {"bigint": T.LongType(), "double": T.DoubleType(), "boolean": T.BooleanType()}
     fields = []
     for i, name in enumerate(text.columns):
@@ -81,13 +112,13 @@ def infer_types(text: DataFrame, rows: int = INFER_ROWS) -> T.StructType:
 
 
 def read_inferred(spark: SparkSession, path: str, overrides: Mapping[str, str] | None = None,
-                  rows: int = INFER_ROWS, multi_line: bool = False) -> DataFrame:
-    """Types inferred from the first rows, with fixed types for the named columns.
+                  multi_line: bool | None = None) -> DataFrame:
+    """Types inferred from all rows, with fixed types for the named columns.
 
-    A later value that does not fit its column becomes NULL.
+    A value that does not fit a fixed type becomes NULL; inferred types fit every value.
     """
     text = read_text(spark, path, multi_line=multi_line)
-    chosen = {field.name: field.dataType.simpleString() for field in infer_types(text, rows)}
+    chosen = {field.name: field.dataType.simpleString() for field in infer_types(text)}
     chosen.update(overrides or {})
     return text.select([F.col(f"`{name}`").try_cast(chosen[name]).alias(name) for name in text.columns])
 

@@ -9,6 +9,7 @@ import re
 import sys
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
 from pyspark.errors import AnalysisException
@@ -21,10 +22,9 @@ from stratalake.session import small_frame
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 LISTING = "file_path string, file_name string, file_size_bytes bigint, file_mtime_utc timestamp_ntz"
-FINGERPRINT = f"{LISTING}, file_sha256 string, header array<string>, error_message string"
+FINGERPRINT = f"{LISTING}, file_sha256 string, header array<string>, quoted_breaks boolean, error_message string"
 
 _CHUNK = 8 * 1024 * 1024
-_HEADER_LIMIT = 1024 * 1024
 
 
 def source_path() -> Column:
@@ -89,31 +89,52 @@ def _read_header(first_bytes: bytes) -> list[str]:
     return next(csv.reader(io.StringIO(text)), [])
 
 
-def fingerprint_file(path: str) -> tuple[str, list[str]]:
-    """SHA-256 of the content, read in chunks, and the raw header fields."""
+def _ends_record(data: bytes) -> bool:
+    """Whether a line break outside quotes ends the first record."""
+    at = data.find(b"\n")
+    while at >= 0:
+        if data.count(b'"', 0, at) % 2 == 0:
+            return True
+        at = data.find(b"\n", at + 1)
+    return False
+
+
+def _breaks_in_quotes(chunk: bytes, inside: bool) -> tuple[bool, bool]:
+    """Whether a line break stands inside quotes in a chunk, and whether the chunk ends inside quotes."""
+    data = np.frombuffer(chunk, dtype=np.uint8)
+    odd = (np.cumsum(data == 0x22) + inside) % 2 == 1
+    return bool((odd & (data == 0x0A)).any()), bool(odd[-1]) if len(data) else inside
+
+
+def fingerprint_file(path: str) -> tuple[str, list[str], bool]:
+    """SHA-256 of the content, read in chunks, the raw header fields, and whether quotes hold line breaks."""
     digest = hashlib.sha256()
-    first = b""
+    first, complete, inside, breaks = b"", False, False, False
     with _open(path) as stream:
         while chunk := stream.read(_CHUNK):
             digest.update(chunk)
-            if len(first) < _HEADER_LIMIT:
-                first += chunk[: _HEADER_LIMIT - len(first)]
-    return digest.hexdigest(), _read_header(first)
+            found, inside = _breaks_in_quotes(chunk, inside)
+            breaks = breaks or found
+            if not complete:
+                first += chunk
+                complete = _ends_record(first)
+    return digest.hexdigest(), _read_header(first), breaks
 
 
 def _fingerprint_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
-        hashes, headers, errors = [], [], []
+        hashes, headers, quoted, errors = [], [], [], []
         for path in batch["file_path"]:
             try:
-                sha, fields = fingerprint_file(path)
+                sha, fields, breaks = fingerprint_file(path)
                 error = None
             except Exception as problem:  # one bad file must not stop the others
-                sha, fields, error = "", [], str(problem)
+                sha, fields, breaks, error = "", [], False, str(problem)
             hashes.append(sha)
             headers.append(fields)
+            quoted.append(breaks)
             errors.append(error)
-        yield batch.assign(file_sha256=hashes, header=headers, error_message=errors)
+        yield batch.assign(file_sha256=hashes, header=headers, quoted_breaks=quoted, error_message=errors)
 
 
 def fingerprint(files: DataFrame) -> DataFrame:

@@ -59,7 +59,9 @@ def _land(spark, lake_root, dataset, ingest_date, raw_header, files, multi_line)
         F.monotonically_increasing_id().alias(_POSITION),
     )
     (
-        placed.join(hashes, "_source_file_path")
+        placed.join(hashes, "_source_file_path", "left")
+        .withColumn("sha256", F.coalesce("sha256", F.raise_error(
+            F.concat(F.lit("no content hash for "), F.col("_source_file_path")))))
         .select(*names, "_source_file_path", "_lake_written_at_utc", _BLOCK, _POSITION,
                 F.lit(ingest_date).alias("ingest_date"), "sha256")
         .write.mode("overwrite")

@@ -182,11 +182,17 @@ def test_streaming_ingestion(pipe, drop, tmp_path):
     ingest_new_files(pipe, str(drop), state)
     ingest_new_files(pipe, str(drop), state)
     assert pipe.bronze.read("calls").count() == 5
+    assert pipe.warehouse.read("gold.fact_incident").count() > 0
+    assert pipe.run_incremental(str(drop))["pending"] == 0
     shutil.copy(drop / "fire_calls.csv", drop / "calls_again.csv")
-    (drop / "calls_new.csv").write_text("Call Number,Incident Number\n99,1\n")
     ingest_new_files(pipe, str(drop), state)
-    assert pipe.bronze.read("calls").count() == 6
-    assert {r.trigger_type for r in pipe.ledger.runs().collect()} == {"STREAM"}
+    assert pipe.bronze.read("calls").count() == 5
+    assert {r.trigger_type for r in pipe.ledger.runs().collect()} == {"STREAM", "SCHEDULE"}
+    # A batch that a gate stops ends its run as FAILED.
+    (drop / "calls_new.csv").write_text("Call Number,Incident Number\n99,1\n")
+    with pytest.raises(Exception, match="received_ts"):
+        ingest_new_files(pipe, str(drop), state)
+    assert "FAILED" in {r.status for r in pipe.ledger.runs().collect()}
 
 
 def test_ledger_keeps_first_success_and_first_landing(spark, tmp_path, drop):
