@@ -14,7 +14,9 @@
    collapses here without its pairs ever being made.
 5. What a star does not link is told by the pivot: with ``a`` and ``b`` shingles of x and y in their pivot, the two share at most
    ``min(a, b)`` of the pivot's and the shingles both have beside it. So pairs of one pivot are only made where
-   they share shingles outside it (an inverted join on those) or where ``min(a, b)`` is enough by itself.
+   they share shingles outside it (an inverted join on those) or where ``min(a, b)`` is enough by itself. The bound
+   holds for any set in the pivot's place, so what many members share beside the pivot is added to it first, and
+   members are compared once more, with the one that has most of this widened pivot.
    Pairs of different pivots, in different components, are made from the lists that hold both (skip); those with
    ``COLLISIONS`` common postings and ``t`` equal coordinates count. All are confirmed on the full sets.
 6. Components are found with small tables of ids; a document's component is the least ``doc_id`` in it.
@@ -45,6 +47,8 @@ COLLISIONS = 4
 MISS = 1e-6
 #: Texts compared with one anchor in one group before the group is split.
 GROUP = 256
+#: A shingle beside the pivot that so many of its members have counts as the pivot's.
+POPULAR = 16
 
 _rng = np.random.default_rng(64)
 _XOR = _rng.integers(0, 2**32, COORDINATES, dtype=np.uint32)[:, None]
@@ -226,13 +230,38 @@ class _Join:
         """Whether so many common shingles suffice for sets of this total size."""
         return (100 + self.percent) * common >= self.percent * total
 
-    def beside(self, members: DataFrame) -> DataFrame:
-        """Pairs of one pivot, in different components, that may still be alike."""
+    def widen(self, members: DataFrame) -> DataFrame:
+        """Members of pivots with several components; what many of them share beside the pivot counts as the pivot's.
+
+        The bound of ``beside`` holds for any set in the pivot's place, so shingles in at least ``POPULAR`` members join it.
+        What stays outside is in short lists only. The set is not needed itself, only how much of it a member has.
+        """
         mixed = members.groupBy("pivot").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low < high").select("pivot")
         group = self.scratch.write(members.join(mixed, "pivot", "left_semi"), "mixed-pivots")
-        outside = group.select("pivot", F.explode("rest").alias("shingle"), "id", "c", "n", "common")
+        outside = self.scratch.write(group.select("pivot", F.explode("rest").alias("shingle"), "id"), "outside-all")
+        popular = self.scratch.write(outside.groupBy("pivot", "shingle").agg(F.count("*").alias("held"))
+                                     .where(F.col("held") >= POPULAR).select("pivot", "shingle"), "popular")
+        gained = outside.join(popular, ["pivot", "shingle"]).groupBy("id").agg(F.count("*").alias("gained"))
+        self.outside = self.scratch.write(outside.join(popular, ["pivot", "shingle"], "left_anti"), "outside")
+        wide = group.drop("rest").join(gained, "id", "left").withColumn("common", F.col("common") + F.coalesce("gained", F.lit(0))).drop("gained")
+        return self.scratch.write(wide, "wide")
+
+    def second_star(self, wide: DataFrame) -> DataFrame:
+        """The members outside its component compared with the one that has most of the widened pivot."""
+        rank = F.struct("common", (-F.col("n")).alias("n"), (-F.col("id")).alias("id"), "c")
+        best = wide.groupBy("pivot").agg(F.max(rank).alias("x")).select(
+            "pivot", (-F.col("x.id")).alias("a"), (-F.col("x.n")).alias("n_a"), F.col("x.c").alias("c_a"))
+        pairs = wide.join(self.scratch.write(best, "second-pivots"), "pivot").where(
+            (F.col("c") != F.col("c_a")) & self._close(F.col("n"), F.col("n_a"))).select("a", F.col("id").alias("b"))
+        return self.confirm(pairs, "second").where("alike").select("a", "b")
+
+    def beside(self, wide: DataFrame, found: DataFrame) -> DataFrame:
+        """Pairs of one pivot, in different components, that may still be alike."""
+        group = self.scratch.write(
+            wide.drop("c").join(found, "id", "left").withColumn("c", F.coalesce("component", "id")).drop("component"), "wide-now")
+        outside = self.scratch.write(self.outside.join(group.select("id", "c", "n", "common"), "id"), "outside-now")
         several = outside.groupBy("pivot", "shingle").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low < high")
-        lists = self.scratch.write(outside.join(several.select("pivot", "shingle"), ["pivot", "shingle"], "left_semi"), "outside")
+        lists = self.scratch.write(outside.join(several.select("pivot", "shingle"), ["pivot", "shingle"], "left_semi"), "outside-lists")
         a, b = lists.alias("a"), lists.alias("b")
         shared = (a.join(b, ["pivot", "shingle"])
                   .where((F.col("a.id") < F.col("b.id")) & (F.col("a.c") != F.col("b.c")) & self._close(F.col("a.n"), F.col("b.n")))
@@ -241,7 +270,9 @@ class _Join:
                       F.first(F.col("a.n") + F.col("b.n")).alias("total"))
                   .where(self._enough(F.col("most") + F.col("more"), F.col("total"))).select("a", "b"))
         # Those that the pivot alone can make alike: first by the sizes that occur, then by the nodes of these sizes.
-        outsiders = group.where(~F.col("alike")).select("pivot", F.col("id").alias("a"), F.col("c").alias("c_a"),
+        several = group.groupBy("pivot").agg(F.min("c").alias("low"), F.max("c").alias("high"), F.max_by("c", "common").alias("main"))
+        main = self.scratch.write(several.where("low < high").select("pivot", "main"), "main-components")
+        outsiders = group.join(main, "pivot").where("c <> main").select("pivot", F.col("id").alias("a"), F.col("c").alias("c_a"),
                                                         F.col("n").alias("n_a"), F.col("common").alias("common_a"))
         sizes = group.groupBy("pivot", "n").agg(F.max("common").alias("top"))
         fits = self._enough(F.least("common_a", "top"), F.col("n_a") + F.col("n")) & self._close(F.col("n_a"), F.col("n"))
@@ -276,7 +307,12 @@ class _Join:
         links = self.scratch.write(compared.where("alike").select("a", "b"), "links")
         found = self.scratch.write(components(links, self.scratch, "star"), "found")
         members = self.pivots(compared, found)
-        more = self._matching(self.across(members, found), self.least).union(self.beside(members)).distinct()
+        wide = self.widen(members)
+        second = self.second_star(wide)
+        if not second.isEmpty():
+            links = self.scratch.write(links.union(second), "links-2")
+            found = self.scratch.write(components(links, self.scratch, "second"), "found-2")
+        more = self._matching(self.across(members, found), self.least).union(self.beside(wide, found)).distinct()
         more = self.confirm(more, "more").where("alike").select("a", "b")
         if not more.isEmpty():
             found = self.scratch.write(components(links.union(more), self.scratch, "all"), "found-all")
@@ -284,8 +320,9 @@ class _Join:
             "key", "doc_id", F.coalesce("component", "id").alias("group"))
         least = groups.groupBy("group").agg(F.min("doc_id").alias("component_id"))
         classes = self.scratch.write(groups.join(least, "group").select("key", "group", "component_id"), "classes")
-        self.scratch.drop("nodes", "postings", "heads", "star-compared", "members", "mixed-pivots", "outside", "possible",
-                          "labelled", "lists", "more-compared", "links")
+        self.scratch.drop("nodes", "postings", "heads", "star-compared", "members", "mixed-pivots", "outside-all",
+                          "popular", "outside", "outside-now", "outside-lists", "wide", "wide-now", "second-pivots", "second-compared",
+                          "main-components", "possible", "labelled", "lists", "more-compared", "links", "links-2", "found", "found-2")
         named = self.rows.where("key IS NOT NULL").join(classes, "key").select(
             "doc_id", "text_key", "n_shingles", "group", "component_id")
         bare = self.rows.where("key IS NULL").select(
