@@ -80,6 +80,27 @@ def test_groups_chains_and_borders(spark):
         assert got == brute(texts, size, percent)
 
 
+def test_family_whose_members_differ_by_any_number_of_edits(spark):
+    """No member need be the original, so pivots lack shingles that most others share."""
+    rng = np.random.default_rng(11)
+    base = [f"w{k}" for k in rng.integers(0, 5000, 148)]
+    texts = {}
+    for i in range(220):
+        mine = list(base)
+        for k in rng.choice(148, rng.integers(1, 12), replace=False):
+            mine[k] = f"x{rng.integers(10**9)}"
+        texts[i] = " ".join(mine + [f"tail{k} of its own" for k in range(rng.integers(0, 4))])
+    for i in range(220, 260):  # a family within the family
+        mine = texts[7].split()
+        for k in rng.choice(140, rng.integers(0, 6), replace=False):
+            mine[k] = f"y{rng.integers(10**9)}"
+        texts[i] = " ".join(mine)
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in near_duplicates(df, 3, 85).collect()}
+    expected = brute(texts, 3, 85)
+    assert got == expected and len({c for _, c in expected.values()}) > 20
+
+
 def test_edges(spark):
     long = " ".join(f"w{i}" for i in range(40_000))
     rows = [(1, None), (2, ""), (3, " \n"), (4, "One two"), (5, "one TWO"), (5, "one TWO"), (6, "one two three"),
