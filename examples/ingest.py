@@ -11,7 +11,7 @@ from stratalake.operators import aggregates as agg
 from stratalake.plans import bronze, kpi
 from stratalake.plans.adhoc import safe_sql
 from stratalake.plans.pipeline import DIMENSIONS, Pipeline
-from stratalake.session import scratch_path
+from stratalake.session import scratch_path, small_frame
 from stratalake.sources import csv, lake, serving
 from stratalake.streaming.dropzone import ingest_new_files
 
@@ -171,6 +171,34 @@ def bronze_twice(spark, sf):
     return _order_rows(pipe.bronze.read("incidents"))
 
 
+def bronze_insert_counts(spark, sf):
+    """What each of two ingests of one drop adds to bronze, and what bronze then holds of it."""
+    pipe = Pipeline(spark, scratch_path(spark, "bronze"))
+    drop, found = _drop_orders(spark, sf), []
+    for turn in range(2):
+        run = pipe.ledger.start_run(pipe.name)
+        pipe.ledger.detect(run, pipe.name, drop)
+        bronze.land_pending(spark, pipe.ledger, pipe.lake_root, run, pipe.name)
+        counts = bronze.ingest_pending(spark, pipe.ledger, pipe.bronze, pipe.lake_root, run, pipe.name)
+        found.append((turn, counts["inserted_incidents"], counts["rows_held"]))
+    return small_frame(spark, found, "turn int, inserted bigint, held bigint")
+
+
+def ledger_lake_paths(spark, sf):
+    """Files of one drop, half of them equal bytes under a second name: each has the one stored folder of its content."""
+    pipe = Pipeline(spark, scratch_path(spark, "lake"))
+    drop = _drop_orders(spark, sf)
+    copy_files(spark, drop, "a-call-of-")
+    run = pipe.ledger.start_run(pipe.name)
+    pipe.ledger.detect(run, pipe.name, drop)
+    bronze.land_pending(spark, pipe.ledger, pipe.lake_root, run, pipe.name)
+    paths = [r["lake_path"] for r in pipe.ledger.log().select("lake_path").distinct().collect()]
+    rows = spark.read.option("basePath", pipe.lake_root).parquet(*paths).count()
+    return pipe.ledger.log().groupBy("file_sha256").agg(
+        agg.rows().alias("files"), F.countDistinct("lake_path").alias("paths")).agg(
+            (F.max("files") - F.min("files")).alias("uneven"), F.max("paths").alias("paths")).withColumn("rows", F.lit(rows).cast("long"))
+
+
 def copy_files(spark, folder: str, prefix: str, to: str | None = None) -> None:
     """Copy the CSV files of a folder under other names."""
     hadoop = spark._jvm.org.apache.hadoop.fs
@@ -285,6 +313,11 @@ SELECT count(*) AS rows, CAST(sum(o_orderkey) AS BIGINT) AS key_sum, CAST(0 AS B
     "bronze_twice": Query(bronze_twice, _ORDERS_SQL),
     "stream_drop": Query(stream_drop, _ORDERS_SQL),
     "stream_to_gold": Query(stream_to_gold, _MONTHLY_SQL),
+    "bronze_insert_counts": Query(bronze_insert_counts, """
+SELECT CAST(0 AS INTEGER) AS turn, count(*) AS inserted, count(*) AS held FROM orders
+UNION ALL SELECT CAST(1 AS INTEGER), CAST(0 AS BIGINT), count(*) FROM orders"""),
+    "ledger_lake_paths": Query(ledger_lake_paths, """
+SELECT CAST(0 AS BIGINT) AS uneven, CAST(1 AS BIGINT) AS paths, count(*) AS rows FROM orders"""),
     "csv_multiline": Query(csv_multiline, """
 SELECT doc_id, length(text) AS n_text, source FROM documents"""),
     "csv_mixed_headers": Query(csv_mixed_headers, """

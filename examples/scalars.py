@@ -8,6 +8,7 @@ from examples.mapping import Query, table
 from stratalake.functions import casts, keys, names, times
 from stratalake.operators import aggregates as agg
 from stratalake.operators import filters, joins, quality, sampling, shape
+from stratalake.plans import profile
 
 _TEXT_TS = {
     # How event times are written as text, one form per event.
@@ -227,6 +228,12 @@ def weekday_median_volume(spark, sf):
     return agg.weekday_median(table(spark, sf, "events"), "ts")
 
 
+def weekday_median_60d(spark, sf):
+    """Median events a day for each weekday over the last 60 days."""
+    events = table(spark, sf, "events").withColumn("dow", F.weekday("ts")).withColumn("hour", F.hour("ts"))
+    return profile.distribution_profile(events, "ts", ["event_type"], last_days=60)["weekday_medians"]
+
+
 def hour_share(spark, sf):
     events = table(spark, sf, "events").withColumn("hour", F.hour("ts"))
     return agg.shares(events, ["hour"]).withColumn("share", F.round("share", 9))
@@ -447,6 +454,10 @@ UNION ALL SELECT 'ts', total, t, t / total * 100.0 FROM c"""),
     "weekday_median_volume": Query(weekday_median_volume, """
 WITH daily AS (SELECT CAST(ts AS DATE) AS day, CAST(extract(dow FROM ts) AS INTEGER) AS dow, count(*) AS n
                FROM events GROUP BY 1, 2)
+SELECT dow, percentile_cont(0.5) WITHIN GROUP (ORDER BY n) AS median_rows FROM daily GROUP BY dow"""),
+    "weekday_median_60d": Query(weekday_median_60d, """
+WITH daily AS (SELECT CAST(ts AS DATE) AS day, CAST(extract(dow FROM ts) AS INTEGER) AS dow, count(*) AS n
+               FROM events WHERE ts >= (SELECT max(ts) - INTERVAL 60 DAY FROM events) GROUP BY 1, 2)
 SELECT dow, percentile_cont(0.5) WITHIN GROUP (ORDER BY n) AS median_rows FROM daily GROUP BY dow"""),
     "hour_share": Query(hour_share, """
 SELECT CAST(extract(hour FROM ts) AS INTEGER) AS hour, count(*) AS n,

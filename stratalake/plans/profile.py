@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratalake.functions import casts, times
 from stratalake.operators import aggregates as agg
-from stratalake.operators import sampling, shape
+from stratalake.operators import filters, sampling, shape
 
 # Features, targets and categories of the call profile, and the model settings.
 FEATURES = ("hour", "dow", "month", "is_weekend")
@@ -56,8 +56,14 @@ def feature_table(calls: DataFrame, sample: int | None = None) -> DataFrame:
 
 
 def distribution_profile(features: DataFrame, ts: str = "received_ts",
-                         categories: Sequence[str] = CATEGORIES) -> dict[str, DataFrame]:
-    """Hour shares, category shares per weekday, and median rows per day for each weekday."""
+                         categories: Sequence[str] = CATEGORIES,
+                         last_days: int | None = None) -> dict[str, DataFrame]:
+    """Hour shares, category shares per weekday, and median rows per day for each weekday.
+
+    ``last_days`` takes only the rows up to so many days before the latest one.
+    """
+    if last_days is not None:
+        features = filters.trailing_days(features, ts, last_days)
     return {
         "hour_shares": agg.shares(features, ["hour"]),
         "category_shares": agg.category_shares(features, "dow", categories),
@@ -93,6 +99,29 @@ def predict(models: Mapping, features: DataFrame) -> DataFrame:
     return features
 
 
+def store_profile(profile: Mapping[str, DataFrame], folder: str) -> None:
+    """Write each part of a profile as a table of its own."""
+    for name, frame in profile.items():
+        frame.write.mode("overwrite").parquet(f"{folder}/{name}")
+
+
+def load_profile(spark: SparkSession, folder: str,
+                 names: Sequence[str] = ("hour_shares", "category_shares", "weekday_medians")) -> dict[str, DataFrame]:
+    return {name: spark.read.parquet(f"{folder}/{name}") for name in names}
+
+
+def store_models(models: Mapping, folder: str) -> None:
+    """Write each fitted model under the name of its target."""
+    for target, model in models.items():
+        model.write().overwrite().save(f"{folder}/{target}")
+
+
+def load_models(folder: str, targets: Sequence[str] = TARGETS) -> Mapping:
+    from pyspark.ml import PipelineModel
+
+    return {target: PipelineModel.load(f"{folder}/{target}") for target in targets}
+
+
 def rebuild_times(df: DataFrame, received: str = "received_ts") -> DataFrame:
     """Dispatch, on-scene and response times from the received time and the durations.
 

@@ -66,9 +66,19 @@ def scratch_root(spark: SparkSession) -> str:
     return _local_scratch[app]
 
 
+def _own_scratch(spark: SparkSession) -> str:
+    return f"{scratch_root(spark)}/stratalake-{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A new path under the scratch folder that no other job uses."""
-    return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+    """A new path under this application's scratch folder that no other job uses."""
+    return f"{_own_scratch(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def remove_scratch(spark: SparkSession) -> None:
+    """Delete everything this application has put in the scratch folder; call it when no result is needed any more."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_own_scratch(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
