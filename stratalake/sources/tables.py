@@ -6,7 +6,7 @@ import uuid
 from collections.abc import Iterable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from stratalake.functions.times import now_utc
@@ -111,6 +111,22 @@ class Warehouse:
         self.publish(staged)
         return staged.rows
 
+    def vacuum(self, keep: int = 2) -> int:
+        """Delete the files of all but the newest ``keep`` published versions of each table; returns how many.
+
+        Jobs that still read an older version must have ended. The history itself stays.
+        """
+        if keep < 1:
+            raise ValueError("the current version must be kept")
+        history = self.spark.read.schema(VERSIONS).parquet(self._history())
+        newest = Window.partitionBy("table_name").orderBy(F.col("published_at").desc(), F.col("path").desc())
+        old = history.withColumn("age", F.row_number().over(newest)).where(F.col("age") > keep)
+        removed, conf = 0, self.spark._jsc.hadoopConfiguration()
+        for row in old.select("path").collect():
+            path = self.spark._jvm.org.apache.hadoop.fs.Path(row["path"])
+            removed += bool(path.getFileSystem(conf).delete(path, True))
+        return removed
+
     def tables(self, layer: str | None = None) -> DataFrame:
         """(layer, table_name, row_count) of the current tables."""
         parts = F.split("table_name", r"\.")

@@ -124,6 +124,17 @@ def test_serving_export(spark, tmp_path):
     assert serving.read_serving(served, "dim").count() == 7
 
 
+def test_vacuum_keeps_the_newest_versions(spark, tmp_path):
+    store = tables.Warehouse(spark, str(tmp_path / "w"))
+    for n in range(4):
+        store.write("gold.t", spark.range(n + 1))
+    store.write("gold.u", spark.range(1))
+    with pytest.raises(ValueError):
+        store.vacuum(0)
+    assert store.vacuum(2) == 2 and store.vacuum(2) == 0
+    assert store.read("gold.t").count() == 4 and store.read("gold.u").count() == 1
+
+
 def test_catalog_inspection(spark, rows):
     spark.range(1).selectExpr("id", "'x' AS s").createOrReplaceTempView("inspected")
     found = rows(tables.catalog_tables(spark).filter("table_name = 'inspected'"), "table_type")
