@@ -3,14 +3,17 @@
 import pytest
 
 import __spark_entry__ as entry
+from examples import registry
 from tools.check_oracle import compare, connect
 
 # The file round trips and whole pipelines have tests of their own.
 SLOW = {
     "pipeline_incremental", "pipeline_full", "bronze_twice", "stream_drop", "lake_roundtrip",
-    "rf_predict",
+    "rf_predict", "stream_to_gold", "bronze_insert_counts", "ledger_lake_paths",
 }
-FAST = sorted(set(entry.queries()) - SLOW)
+# The corpus operators, which may be absent, are tested beside them.
+OWN = registry.all_queries()
+FAST = sorted(set(OWN) - SLOW)
 
 
 @pytest.fixture(scope="module")
@@ -19,7 +22,8 @@ def duck(sf):
 
 
 def test_every_query_has_sql_or_a_reason():
-    assert set(entry.queries()) - set(entry.oracle_sql()) == {"rf_predict"}
+    assert {name for name, query in OWN.items() if query.sql is None} == {"rf_predict"}
+    assert set(OWN) <= set(entry.queries()) and set(entry.oracle_sql()) <= set(entry.queries())
 
 
 @pytest.mark.parametrize("name", FAST)
