@@ -5,13 +5,14 @@ item of ``n`` bytes may differ from a passage in ``e = n // PIECE - 1`` edits. I
 within that budget at least one piece is untouched. All pieces of a block of items are searched at once with an
 Aho-Corasick automaton over each whole document; a hit tells where the item would lie, hits of an item that
 agree on this within the budget are one candidate, and each candidate is verified with Myers' bit-parallel distance over
-the passage and the budget on both sides.
+the passage and the budget on both sides. Items shorter than ``LEAST`` bytes allow no edit and must stand there as whole words.
 
 Items are held in blocks of about ``BLOCK_BYTES`` of text; each block is matched against all
 documents, so the benchmark may be of any size. Only items are on the driver, one block at a time.
 
-Defined results: a null text matches nothing; items that are null or shorter than ``LEAST`` bytes in that form are evidence of
-nothing and are left out; items of equal form are reported under each id; repeated rows are matched row by row.
+Defined results: a null text matches nothing; items without text, or without a word in that form, are evidence of nothing and are
+left out; items of equal form are reported under each id; items without an id count when documents are filtered and are
+reported with a null id on request; repeated rows are matched row by row.
 """
 
 from __future__ import annotations
@@ -32,8 +33,13 @@ BLOCK_BYTES = 8_000_000
 _LOWER = bytes.maketrans(string.ascii_uppercase.encode(), string.ascii_lowercase.encode())
 _MARKS = string.punctuation.encode()
 
-Items = tuple[tuple[int, str], ...]
-Hit = tuple[int, int, int, int]
+Items = tuple[tuple[int | None, str], ...]
+Hit = tuple[int | None, int, int, int]
+
+
+def _by_id(entry: tuple) -> tuple:
+    """The order of items and hits, those without an id first."""
+    return entry[0] is not None, entry[0] or 0, *entry[1:]
 
 
 def plain(text: str) -> str:
@@ -119,10 +125,15 @@ class Matcher:
             return []
         form = plain(text)
         starts: dict[int, set[int]] = {}
+        exact: dict[int, int] = {}
         for last, (size, found) in self.automaton.iter(form):
             for k, place in found:
-                starts.setdefault(k, set()).add(last + 1 - size - place)
-        hits = []
+                start = last + 1 - size - place
+                if len(self.items[k]) >= LEAST:
+                    starts.setdefault(k, set()).add(start)
+                elif k not in exact and form[start - 1 : start] in ("", " ") and form[last + 1 : last + 2] in ("", " "):
+                    exact[k] = start
+        hits = [(self.ids[k], 0, start, start + len(self.items[k])) for k, start in exact.items()]
         for k, places in starts.items():
             allowed, size = self.budgets[k], len(self.items[k])
             best = None
@@ -139,7 +150,7 @@ class Matcher:
                 low, high = (start, start) if low is None else (low, start)
             if best is not None:
                 hits.append((self.ids[k], *best))
-        return sorted(hits)
+        return sorted(hits, key=_by_id)
 
 
 @lru_cache(maxsize=2)
@@ -147,15 +158,16 @@ def _matcher(items: Items) -> Matcher:
     return Matcher(items)
 
 
-def blocks(benchmark: DataFrame, item_id: str = "item_id", text: str = "text"):
-    """The usable items, block by block."""
-    rows = benchmark.select(F.col(f"`{item_id}`").alias("item_id"), F.col(f"`{text}`").alias("text")).dropna().distinct()
+def blocks(benchmark: DataFrame, item_id: str = "item_id", text: str = "text", unnamed: bool = False):
+    """The usable items, block by block; those without an id only if ``unnamed``."""
+    rows = benchmark.select(F.col(f"`{item_id}`").alias("item_id"), F.col(f"`{text}`").alias("text"))
+    rows = rows.dropna(subset=["text"] if unnamed else None).distinct()
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     count = max(1, -(-size // BLOCK_BYTES))
     part = F.pmod(F.xxhash64("item_id", "text"), F.lit(count))
     for k in range(count):
         found = [(r["item_id"], plain(r["text"])) for r in rows.where(part == k).collect()]
-        items = tuple(sorted((i, form) for i, form in found if len(form) >= LEAST))
+        items = tuple(sorted(((i, form) for i, form in found if form), key=_by_id))
         if items:
             yield items
 
@@ -164,17 +176,17 @@ HITS = pa.list_(pa.struct([("item_id", pa.int64()), ("distance", pa.int64()), ("
 
 
 def find_items(df: DataFrame, benchmark: DataFrame, text: str = "text", keep: list[str] | None = None,
-               name: str = "hits") -> DataFrame:
+               name: str = "hits", unnamed: bool = False) -> DataFrame:
     """The frame (or its columns ``keep``) with an array of the items found in each text.
 
-    An entry has item_id, distance, and start and end in the compared form. A column of that name is replaced.
+    With ``unnamed`` items without an id are found too. An entry has item_id, distance, and start and end in the compared form. A column of that name is replaced.
     """
     spark = df.sparkSession
     columns = [c for c in (df.columns if keep is None else keep) if c.lower() != name.lower()]
     source = free_name(df, "_to_match")
     out = df.select(*[F.col(f"`{c}`") for c in columns], F.col(f"`{text}`").alias(source))
     found = []
-    for items in blocks(benchmark):
+    for items in blocks(benchmark, unnamed=unnamed):
         shared = spark.sparkContext.broadcast(items)
 
         def match(texts, shared=shared):
@@ -190,15 +202,15 @@ def find_items(df: DataFrame, benchmark: DataFrame, text: str = "text", keep: li
 
 
 def clean_documents(df: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFrame:
-    """The documents that hold no item."""
+    """The documents that hold no item, with an id or without."""
     name = free_name(df, "_found")
-    return find_items(df, benchmark, text, name=name).where(F.size(name) == 0).drop(name)
+    return find_items(df, benchmark, text, name=name, unnamed=True).where(F.size(name) == 0).drop(name)
 
 
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document that holds a benchmark item, with each item and its distance."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    found = find_items(docs, table(spark, sf_dir, "benchmark"), keep=["doc_id"])
+    found = find_items(docs, table(spark, sf_dir, "benchmark"), keep=["doc_id"], unnamed=True)
     return found.select("doc_id", F.explode("hits").alias("h")).select("doc_id", "h.item_id", "h.distance")
 
 

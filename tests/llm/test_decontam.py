@@ -98,3 +98,22 @@ def test_edges(spark, monkeypatch):
         assert left.columns == docs.columns and sorted(r.doc_id for r in left.collect()) == [1, 2, 6]
     assert find_items(docs, bench.limit(0)).where("size(hits) > 0").count() == 0
     assert find_items(docs.limit(0), bench).count() == 0
+
+
+def test_short_items_match_as_whole_words():
+    matcher = Matcher(((1, plain("Who wrote the Iliad, and when?")), (2, "iliad"), (None, "the"), (3, "x" * 32)))
+    for text, expected in (("He asked: who wrote the ILIAD and when", [(None, 0), (1, 0), (2, 0)]), ("who wrote the iliads and when", [(None, 0)]),
+                           ("xwho wrote the iliad and when", [(None, 0), (2, 0)]), ("who wrote the iliad and whence", [(None, 0), (2, 0)]),
+                           ("iliad", [(2, 0)]), ("iliads other", []), ("a iliads, iliad", [(2, 0)]), ("bathe theme", [])):
+        assert [h[:2] for h in matcher.find(text)] == expected, text
+    form = plain("He asked: who wrote the Iliad and when")
+    assert [form[h[2] : h[3]] for h in matcher.find(form)] == ["the", "who wrote the iliad and when", "iliad"]
+
+
+def test_short_items_and_items_without_id_are_filtered(spark):
+    long = "What is the name of the longest river that flows through the town of stones?"
+    docs = spark.createDataFrame([(1, f"so {long} yes"), (2, "Q: Who wrote the Iliad, and when? A: Homer."), (3, "clean"), (4, None)], "doc_id long, text string")
+    bench = spark.createDataFrame([(None, long), (7, "Who wrote the Iliad and when?"), (8, "?!"), (9, None)], "item_id long, text string")
+    assert sorted(r.doc_id for r in clean_documents(docs, bench).collect()) == [3, 4]
+    got = find_items(docs, bench, unnamed=True).collect()
+    assert {r.doc_id: [(h.item_id, h.distance) for h in r.hits] for r in got} == {1: [(None, 0)], 2: [(7, 0)], 3: [], 4: []}
