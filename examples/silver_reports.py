@@ -128,13 +128,12 @@ def hour_volume_by_type(spark, sf):
 
 
 def rf_predict(spark, sf):
-    """Forest per target on the calls; predictions for every call."""
+    """Forest per target on the calls, as the operator trains it; predictions for every call, averaged by cell."""
     features = profile.feature_table(_calls(spark, sf))
-    models = profile.train_forest(features, targets=["response_time_sec"], trees=25, depth=6)
-    found = profile.predict(models, features)
+    found = profile.predict(profile.train_forest(features), features)
     return found.groupBy(*profile.FEATURES).agg(
-        agg.rows().alias("n"), F.avg("pred_response_time_sec").alias("predicted"),
-        F.avg("response_time_sec").alias("actual"),
+        agg.rows().alias("n"), *[F.avg(f"pred_{c}").alias(f"pred_{c}") for c in profile.TARGETS],
+        *[F.avg(c).alias(f"actual_{c}") for c in profile.TARGETS],
     )
 
 
