@@ -5,8 +5,8 @@ logistic regressions over hashed features that are there or not: the text view s
 and without marks and capitals, and its proportions (marks, capitals, digits, lengths, repeats) in steps; the metadata view sees ``lang``, ``source``, their pair and
 the length in steps. Only features that are significantly more frequent in one class count.
 
-The views learn from a documented, bounded sample: at most about ``LABELLED`` labelled and ``UNLABELLED`` other documents, both
-by a hash of ``doc_id``. In each of ``ROUNDS`` rounds each view gives the other its most confident labels of other
+The views learn from a documented, bounded sample: at most about ``LABELLED`` labels by a hash of ``doc_id``, each
+with one row of its document, and ``UNLABELLED`` other rows by a hash of ``doc_id`` and text, equal rows once. In each of ``ROUNDS`` rounds each view gives the other its most confident labels of other
 documents, up to ``SHARE`` of them and in the proportion of the classes. A quarter of the labels is kept apart: on it the two margins are
 calibrated together, and the limit is set so that at least ``CLEAN_KEPT`` of the good documents stay. All documents are scored
 whole.
@@ -224,9 +224,13 @@ def sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
     draw = F.pmod(F.xxhash64("doc_id"), F.lit(scale))
     chosen = known.where(draw < int(min(1, LABELLED / max(1, n_labels)) * scale)).collect()
     marks = F.broadcast(spark.createDataFrame(chosen, "doc_id long, bad double, toxic double"))
-    other_draw = F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(scale)) < int(min(1, UNLABELLED / max(1, n_docs)) * scale)
+    other_draw = F.pmod(F.xxhash64("doc_id", "text", F.lit(1)), F.lit(scale)) < int(min(1, UNLABELLED / max(1, n_docs)) * scale)
     rows = docs.select("doc_id", "text", "lang", "source", "n_chars").join(marks, "doc_id", "left")
-    rows = rows.where(F.col("bad").isNotNull() | F.col("toxic").isNotNull() | other_draw)
+    labelled = F.col("bad").isNotNull() | F.col("toxic").isNotNull()
+    # A label counts once and so does an equal row, so that repeated ids and rows cannot outgrow the sample.
+    own = F.xxhash64("text", "lang", "source", "n_chars")
+    rows = (rows.where(labelled | other_draw).groupBy("doc_id", F.when(labelled, F.lit(0)).otherwise(own).alias("part"))
+            .agg(F.min_by(F.struct(*rows.columns), own).alias("row")).select("row.*"))
     return map_batches(rows.select("doc_id", "bad", "toxic", "text", "lang", "source", "n_chars"), _extract,
                        "doc_id long, bad double, toxic double, text array<int>, metadata array<int>")
 

@@ -58,3 +58,19 @@ def test_edges(spark):
     assert [r.kept for r in out.collect()] == [True] * 5
     assert classify(docs.limit(0), learn(docs.limit(0), labels.limit(0))).count() == 0
     assert len(text_features(None)) > 0 and len(metadata_features(None, None, None)) == 5
+
+
+def test_null_and_repeated_ids_stay_within_the_sample(spark, monkeypatch):
+    from stratalake.llm import cotrain
+
+    monkeypatch.setattr(cotrain, "LABELLED", 50)
+    monkeypatch.setattr(cotrain, "UNLABELLED", 200)
+    docs = spark.range(6000).selectExpr(
+        "CASE WHEN id % 3 = 0 THEN NULL WHEN id % 3 = 1 THEN 7 ELSE id END AS doc_id", "concat('some text ', id) AS text",
+        "'en' AS lang", "'web' AS source", "20L AS n_chars")
+    docs = docs.union(docs.where("doc_id = 7").limit(1).crossJoin(spark.range(500)).drop("id"))
+    labels = spark.createDataFrame([(7, 1, 0), (8, 0, 1)], "doc_id long, quality int, toxic int")
+    found = cotrain.sample(docs, labels).collect()
+    assert sorted(r.doc_id for r in found if r.bad is not None) == [7, 8]
+    assert 100 < sum(r.bad is None for r in found) < 300
+    assert any(r.doc_id is None for r in found) and any(r.doc_id is not None for r in found if r.bad is None)
