@@ -216,3 +216,12 @@ def shingle_hashes(words: np.ndarray, size: int) -> np.ndarray:
     for k in range(size):
         total = mix(total + words[k : k + n] * _PLACE[k])
     return total
+
+
+def run_hashes(words: np.ndarray, size: int) -> np.ndarray:
+    """Hashes of all runs of ``size`` words, from prefix sums: the cost does not depend on the size."""
+    if len(words) < size:
+        return np.empty(0, dtype=np.uint64)
+    sums = np.zeros(len(words) + 1, dtype=np.uint64)
+    np.cumsum(words * _powers_to(len(words))[: len(words)], out=sums[1:])
+    return mix((sums[size:] - sums[:-size]) * _inverses_to(len(words))[: len(words) - size + 1])

@@ -7,7 +7,8 @@ from importlib import import_module
 
 from pyspark.sql import DataFrame, SparkSession
 
-_MODULES = ("urlfilter", "langid", "secrets", "rules", "neardup", "packing", "tokenfile", "decontam", "htmltext", "cotrain")
+_MODULES = ("urlfilter", "langid", "secrets", "rules", "neardup", "packing", "tokenfile", "decontam", "htmltext", "cotrain",
+            "substrings")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
