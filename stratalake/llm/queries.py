@@ -8,7 +8,7 @@ from importlib import import_module
 from pyspark.sql import DataFrame, SparkSession
 
 _MODULES = ("urlfilter", "langid", "secrets", "rules", "neardup", "packing", "tokenfile", "decontam", "htmltext", "cotrain",
-            "substrings", "whitening")
+            "substrings", "whitening", "spelling")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
