@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from examples.mapping import GATED_CALLS, GATED_INCIDENTS, Query, gold_cte, incidents, raw_calls, star_store, table
+from examples.mapping import (GATED_CALLS, GATED_INCIDENTS, Query, spark_expressions, gold_cte, incidents, raw_calls,
+                              star_store, table)
 from stratalake.functions import casts, times
 from stratalake.operators import aggregates as agg
 from stratalake.plans import bronze, kpi
@@ -266,6 +267,46 @@ def pipeline_full(spark, sf):
     return _monthly(*pipe.warehouse.read("gold.fact_incident", "gold.dim_date"))
 
 
+#: Second drop of ``pipeline_two_drops``: later versions of some rows of the first, moved by a day.
+_LATE_CALLS, _LATE_ORDERS = "l_orderkey % 40 = 0", "o_orderkey % 30 = 0"
+
+
+def _two_drops(spark, sf) -> str:
+    """Two folders of files: the rows up to a key, then the others and later versions of some calls and incidents."""
+    def text(rows, expressions, header):
+        return as_raw_text(rows.selectExpr(*expressions), header)
+
+    def moved(rows, column):
+        return rows.withColumn(column, F.col(column) + F.expr("INTERVAL 1 DAY"))
+
+    path = scratch_path(spark, "drop")
+    for name, key, late, day, expressions, header in (
+        ("calls", "l_orderkey", _LATE_CALLS, "l_shipdate", spark_expressions(GATED_CALLS), CALL_HEADER),
+        ("incidents", "o_orderkey", _LATE_ORDERS, "o_orderdate", spark_expressions(GATED_INCIDENTS), INCIDENT_HEADER),
+    ):
+        rows = table(spark, sf, "lineitem" if name == "calls" else "orders")
+        cut = rows.agg((F.max(key) * F.lit(0.7)).cast("long")).first()[0] or 0
+        early, rest = rows.where(F.col(key) <= cut), rows.where(F.col(key) > cut)
+        csv.write(text(early, expressions, header), f"{path}/1/{name}")
+        csv.write(text(rest.union(moved(early.where(late), day)), expressions, header), f"{path}/2/{name}")
+    return path
+
+
+def pipeline_two_drops(spark, sf):
+    """A second drop with new rows and late versions of old ones changes the parts it touches; ids follow the call number."""
+    pipe = Pipeline(spark, scratch_path(spark, "pipeline"), part_keys=50_000)
+    drop = _two_drops(spark, sf)
+    pipe.run_incremental(f"{drop}/1/*")
+    pipe.run_incremental(f"{drop}/2/*")
+    fact, dates = pipe.warehouse.read("gold.fact_incident", "gold.dim_date")
+    volume, response = pipe.warehouse.read("gold.v_kpi_incident_volume_month", "gold.v_kpi_response_time_month")
+    numbered = kpi.with_dates(fact, dates).groupBy("year", "month").agg(
+        F.sum(F.col("incident_id") * F.pmod(F.col("call_number"), F.lit(97))).alias("id_sum"),
+        F.sum("incident_duration_sec").alias("duration"), F.sum("estimated_property_loss").alias("loss"))
+    rounded = response.select("year", "month", F.round("avg_response_time_sec", 6).alias("avg_resp"), "n_incidents")
+    return numbered.join(volume, ["year", "month"]).join(rounded, ["year", "month"], "left")
+
+
 def export_read(spark, sf):
     """Serve the key figures from the exported copy."""
     store = star_store(spark, sf)
@@ -300,6 +341,21 @@ SELECT year, month, count(*) AS n, round(avg(response_time_sec), 6) AS avg_resp,
        CAST(sum(estimated_property_loss) AS BIGINT) AS loss
 FROM star GROUP BY year, month"""
 
+_TWO_DROPS_SQL = f"""
+WITH {gold_cte(GATED_CALLS, GATED_INCIDENTS)},
+numbered AS (SELECT *, row_number() OVER (ORDER BY call_number) AS incident_id FROM star)
+SELECT year, month, CAST(sum(incident_id * (call_number % 97)) AS BIGINT) AS id_sum,
+       CAST(sum(incident_duration_sec) AS BIGINT) AS duration, CAST(sum(estimated_property_loss) AS BIGINT) AS loss,
+       count(*) AS incident_count, round(avg(response_time_sec), 6) AS avg_resp,
+       CASE WHEN count(response_time_sec) > 0 THEN count(response_time_sec) END AS n_incidents
+FROM numbered GROUP BY year, month""".replace("FROM lineitem)", f"""FROM (
+  SELECT * FROM lineitem UNION ALL SELECT * REPLACE (l_shipdate + INTERVAL 1 DAY AS l_shipdate) FROM lineitem
+  WHERE {_LATE_CALLS} AND l_orderkey <= (SELECT CAST(floor(max(l_orderkey) * 0.7) AS BIGINT) FROM lineitem)) AS lineitem)""").replace(
+    "FROM orders)", f"""FROM (
+  SELECT * FROM orders UNION ALL SELECT * REPLACE (o_orderdate + INTERVAL 1 DAY AS o_orderdate) FROM orders
+  WHERE {_LATE_ORDERS} AND o_orderkey <= (SELECT CAST(floor(max(o_orderkey) * 0.7) AS BIGINT) FROM orders)) AS orders
+  QUALIFY row_number() OVER (PARTITION BY o_orderkey ORDER BY o_orderdate DESC) = 1)""")
+
 QUERIES = {
     "csv_roundtrip": Query(csv_roundtrip, """
 SELECT o_orderkey AS incident_number, CASE WHEN o_custkey % 5 <> 0 THEN o_orderstatus END AS status,
@@ -327,6 +383,7 @@ SELECT CASE WHEN o_orderkey = (SELECT max(o_orderkey) FROM orders) THEN 'AI02' E
        count(*) AS n, CAST(sum(o_orderkey) AS BIGINT) AS keys FROM orders GROUP BY 1"""),
     "pipeline_incremental": Query(pipeline_incremental, _MONTHLY_SQL),
     "pipeline_full": Query(pipeline_full, _MONTHLY_SQL),
+    "pipeline_two_drops": Query(pipeline_two_drops, _TWO_DROPS_SQL),
     "export_read": Query(export_read, f"""
 WITH {gold_cte()} SELECT year, month, count(*) AS incident_count FROM star GROUP BY 1, 2"""),
     "adhoc_select": Query(adhoc_select, f"""

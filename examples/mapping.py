@@ -118,6 +118,11 @@ def _ntz(columns: list[str]) -> list[str]:
     return [c.replace("TIMESTAMP '", "TIMESTAMP_NTZ '") for c in columns]
 
 
+def spark_expressions(columns: dict[str, str]) -> list[str]:
+    """The expressions of some columns for Spark."""
+    return _ntz(_expressions(columns))
+
+
 def raw_calls(spark: SparkSession, sf_dir: str, columns: dict[str, str] = CALLS) -> DataFrame:
     return table(spark, sf_dir, "lineitem").selectExpr(*_ntz(_expressions(columns)))
 

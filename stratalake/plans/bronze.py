@@ -12,6 +12,7 @@ from stratalake.operators import shape
 from stratalake.operators.joins import not_present
 from stratalake.plans.ledger import PENDING, Ledger, utc_now
 from stratalake.sources import csv, lake
+from stratalake.sources.files import existing
 from stratalake.sources.tables import Warehouse, append_rows, ensure_table
 
 # Contents ingested by one job; it bounds the hash list in the scan filter.
@@ -100,7 +101,16 @@ class Bronze:
         aligned.write.mode("append").partitionBy("_source_sha256").parquet(self._path(dataset))
 
     def _held(self, dataset: str, hashes: Sequence[str]) -> DataFrame:
-        return self.read(dataset).filter(F.col("_source_sha256").isin(list(hashes)))
+        return self.contents(dataset, hashes)
+
+    def contents(self, dataset: str, hashes: Sequence[str]) -> DataFrame:
+        """The stored rows of some contents; only their own folders are listed and read."""
+        columns = self.columns(dataset)
+        schema = csv.text_schema([c for c in columns if c != "_source_sha256"] + ["_source_sha256"])
+        folders = existing(self.spark, [f"{self._path(dataset)}/_source_sha256={sha}" for sha in sorted(set(hashes))])
+        if not folders:
+            return self.spark.createDataFrame([], schema).select(*columns)
+        return self.spark.read.schema(schema).option("basePath", self._path(dataset)).parquet(*folders).select(*columns)
 
     @staticmethod
     def _counts(stored: DataFrame) -> dict[str, int]:
@@ -165,19 +175,22 @@ def ingest_pending(spark: SparkSession, ledger: Ledger, bronze: Bronze, lake_roo
                    run_id: str, pipeline: str) -> dict[str, int]:
     """Append the pending contents of a run from the lake to bronze.
 
-    ``rows_held`` counts all rows of these contents, with those of an earlier broken run.
+    ``rows_held`` counts all rows of these contents, with those of an earlier broken run; ``contents`` lists their
+    hashes by dataset.
     """
     pending = _classified(ledger, run_id, pipeline)
     listed = pending.select("dataset", "header", "file_sha256").distinct().collect()
-    result = {"inserted_calls": 0, "inserted_incidents": 0, "files": pending.count(), "rows_held": 0}
+    result = {"inserted_calls": 0, "inserted_incidents": 0, "files": pending.count(), "rows_held": 0,
+              "contents": {"calls": [], "incidents": []}}
     groups: dict[tuple, list[str]] = {}
     for row in listed:
         groups.setdefault((row["dataset"], tuple(row["header"])), []).append(row["file_sha256"])
+        result["contents"][row["dataset"]].append(row["file_sha256"])
     for (dataset, raw_header), hashes in groups.items():
         names = sanitize_names(raw_header)
         for start in range(0, len(hashes), CONTENTS_PER_JOB):
             batch = sorted(hashes[start:start + CONTENTS_PER_JOB])
-            rows = lake.read_landed(spark, lake_root, dataset, names, batch)
+            rows = lake.read_landed(spark, lake_root, dataset, names, batch, ledger.lake_folders(batch))
             lined = shape.with_lineage(
                 rows, F.col("row_number"), F.col("sha256"), F.col("file_path")
             ).select(*names, *shape.LINEAGE_COLUMNS)

@@ -193,6 +193,11 @@ class Ledger:
         events = self._events("log_events").filter(F.col("lake_path").isNotNull())
         return events.groupBy("file_sha256").agg(F.min("lake_path").alias("lake_path"))
 
+    def lake_folders(self, hashes: Sequence[str]) -> list[str]:
+        """The lake folders of some contents, of one job's number."""
+        wanted = self.landed().filter(F.col("file_sha256").isin(list(hashes)))
+        return [row["lake_path"] for row in wanted.collect()]
+
     def to_land(self, files: DataFrame) -> DataFrame:
         """Files whose content is not in the lake yet, one path per content."""
         new = not_present(files, self.landed(), ["file_sha256"])

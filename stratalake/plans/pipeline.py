@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stratalake.plans import bronze, gates, gold, kpi, silver
+from stratalake.plans import bronze, changes, gates, gold, kpi, silver
 from stratalake.plans.ledger import DEFAULT_PIPELINE, FAILED, SUCCESS, Ledger
 from stratalake.session import configure, materialize, side_by_side
 from stratalake.sources import csv, serving
@@ -19,10 +19,12 @@ DIMENSIONS = ("dim_date", "dim_incident_type", "dim_location")
 class Pipeline:
     """Folders of one installation: lake, bronze, warehouse and ledger under one root."""
 
-    def __init__(self, spark: SparkSession, root: str, pipeline: str = DEFAULT_PIPELINE):
+    def __init__(self, spark: SparkSession, root: str, pipeline: str = DEFAULT_PIPELINE,
+                 part_keys: int = changes.PART_KEYS):
         self.spark = configure(spark)
         self.root = root.rstrip("/")
         self.name = pipeline
+        self.part_keys = part_keys
         self.lake_root = f"{self.root}/lake"
         self.bronze = bronze.Bronze(spark, f"{self.root}/bronze")
         self.warehouse = Warehouse(spark, f"{self.root}/warehouse")
@@ -49,10 +51,11 @@ class Pipeline:
             loaded = bronze.ingest_pending(
                 self.spark, self.ledger, self.bronze, self.lake_root, run_id, self.name
             )
+            contents = loaded.pop("contents")
             absent = [name for name in ("calls", "incidents") if not self.bronze.exists(name)]
             refresh = not absent and loaded["rows_held"] > 0
             if refresh:
-                self.refresh(self.bronze.read("calls"), self.bronze.read("incidents"), export_to)
+                self.refresh_changes(contents, export_to)
             if not absent:
                 self.ledger.mark_done(run_id, self.name)
             self.ledger.finish_run(run_id, self.name, SUCCESS)
@@ -78,6 +81,18 @@ class Pipeline:
         )
         return counts
 
+    def refresh_changes(self, contents: Mapping[str, Sequence[str]], export_to: str | None = None) -> dict[str, int]:
+        """Bring silver, gold and the figures up to date with some contents of bronze.
+
+        Without tables in parts to start from, all of bronze is taken in.
+        """
+        start = not changes.Refresh.possible(self.warehouse)
+        rows = [self.bronze.read(name) if start else self.bronze.contents(name, contents[name]) for name in ("calls", "incidents")]
+        touched = changes.Refresh(self.warehouse, self.part_keys).run(*rows)
+        if export_to is not None:
+            serving.export(self.warehouse, export_to, [*kpi.KPI_TABLES, *DIMENSIONS])
+        return touched
+
     def refresh(self, raw_calls: DataFrame, raw_incidents: DataFrame, export_to: str | None = None,
                 details: bool = False) -> None:
         """Silver, gate, gold, gate; all tables are published together at the end."""

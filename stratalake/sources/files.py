@@ -7,7 +7,7 @@ import hashlib
 import io
 import re
 import sys
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -37,6 +37,15 @@ def literal_path(path: str) -> str:
     return re.sub(r"([\\\[\]{}*?])", r"\\\1", path)
 
 
+def existing(spark: SparkSession, paths: Sequence[str]) -> list[str]:
+    """Those of some paths that are there."""
+    if not paths:
+        return []
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    store = hadoop.Path(paths[0]).getFileSystem(spark._jsc.hadoopConfiguration())
+    return [path for path in paths if store.exists(hadoop.Path(path))]
+
+
 def _listing_columns(files: DataFrame) -> DataFrame:
     return files.select(
         source_path().alias("file_path"),

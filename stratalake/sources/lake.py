@@ -13,7 +13,7 @@ from stratalake.functions.times import now_utc
 from stratalake.operators.joins import lookup
 from stratalake.session import materialize, small_frame
 from stratalake.sources.csv import read_text, text_schema
-from stratalake.sources.files import literal_path, source_path
+from stratalake.sources.files import existing, literal_path, source_path
 
 # Where a row stood in its CSV file: start of the read block and position within the task.
 _BLOCK = "_block_start"
@@ -72,10 +72,10 @@ def _land(spark, lake_root, dataset, ingest_date, raw_header, files, multi_line)
 
 
 def read_landed(spark: SparkSession, lake_root: str, dataset: str, columns: Sequence[str],
-                hashes: Sequence[str]) -> DataFrame:
+                hashes: Sequence[str], folders: Sequence[str] | None = None) -> DataFrame:
     """Landed rows of some contents with their row number in the CSV file, from 0.
 
-    Only the folders of these contents are read. The number of a row is the size of the
+    Only the folders of these contents are read; where ``folders`` names them, no other is even listed. The number of a row is the size of the
     earlier blocks of its file plus its place in the block, both stored at landing, so every
     read gives the same numbers.
     """
@@ -85,11 +85,13 @@ def read_landed(spark: SparkSession, lake_root: str, dataset: str, columns: Sequ
         T.StructField(_POSITION, T.LongType()),
         *text_schema(["ingest_date", "sha256"]),
     ])
-    rows = (
-        spark.read.schema(full)
-        .parquet(dataset_path(lake_root, dataset))
-        .filter(F.col("sha256").isin(list(hashes)))
-    )
+    root = dataset_path(lake_root, dataset)
+    if folders is None:
+        rows = spark.read.schema(full).parquet(root).filter(F.col("sha256").isin(list(hashes)))
+    elif there := existing(spark, folders):
+        rows = spark.read.schema(full).option("basePath", root).parquet(*there)
+    else:
+        rows = spark.createDataFrame([], full)
     earlier = Window.partitionBy("sha256").orderBy(_BLOCK).rowsBetween(Window.unboundedPreceding, -1)
     blocks = (
         rows.groupBy("sha256", _BLOCK)

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from stratalake.functions.times import now_utc
 from stratalake.session import small_frame
+from stratalake.sources import parts
 
 VERSIONS = "table_name string, path string, row_count bigint, published_at timestamp_ntz"
 
@@ -71,7 +72,10 @@ class Warehouse:
         missing = [table for table in tables if table not in paths]
         if missing:
             raise LookupError(f"tables {missing} do not exist in {self.root}")
-        return [self.spark.read.parquet(paths[table]) for table in tables]
+        return [self._open(paths[table]) for table in tables]
+
+    def _open(self, path: str) -> DataFrame:
+        return parts.read_parts(self.spark, path) if parts.is_list(path) else self.spark.read.parquet(path)
 
     def read(self, *tables: str) -> DataFrame | list[DataFrame]:
         """One table, or several as of the same moment."""
@@ -80,7 +84,7 @@ class Warehouse:
 
     def read_optional(self, table: str) -> DataFrame | None:
         path = self._paths().get(table)
-        return None if path is None else self.spark.read.parquet(path)
+        return None if path is None else self._open(path)
 
     def stage(self, table: str, df: DataFrame, cluster_by: str | None = None) -> Staged:
         """Write a new version and count its rows on the way.
@@ -96,7 +100,18 @@ class Warehouse:
         return Staged(table, path, int(seen.get["n"]))
 
     def read_staged(self, staged: Staged) -> DataFrame:
-        return self.spark.read.parquet(staged.path)
+        return self._open(staged.path)
+
+    def listed(self, table: str) -> str | None:
+        """The list of parts that is a table's current version, if it is kept in parts."""
+        path = self._paths().get(table)
+        return path if path is not None and parts.is_list(path) else None
+
+    def stage_parts(self, table: str, df: DataFrame, touched: Iterable[int], id_column: str | None = None,
+                    earlier: str | None = None) -> Staged:
+        """Write the touched parts of a table (``_part`` numbers them) as a new version over an earlier list."""
+        path, rows = parts.write_parts(df, self.path(table.replace(".", "/")), earlier, touched, id_column)
+        return Staged(table, path, rows)
 
     def publish(self, *staged: Staged) -> None:
         rows = small_frame(
@@ -114,19 +129,34 @@ class Warehouse:
     def vacuum(self, keep: int = 2) -> int:
         """Delete the files of all but the newest ``keep`` published versions of each table; returns how many.
 
+        Of tables in parts the folders go that no kept version lists.
         Jobs that still read an older version must have ended. The history itself stays.
         """
         if keep < 1:
             raise ValueError("the current version must be kept")
         history = self.spark.read.schema(VERSIONS).parquet(self._history())
         newest = Window.partitionBy("table_name").orderBy(F.col("published_at").desc(), F.col("path").desc())
-        old = history.withColumn("age", F.row_number().over(newest)).where(F.col("age") > keep)
-        removed, conf = 0, self.spark._jsc.hadoopConfiguration()
-        for row in old.select("path").collect():
-            path = self.spark._jvm.org.apache.hadoop.fs.Path(row["path"])
-            removed += bool(path.getFileSystem(conf).delete(path, True))
+        ages = [(r["path"], r["age"] > keep) for r in history.withColumn("age", F.row_number().over(newest)).collect()]
+        lists = [(path, gone) for path, gone in ages if parts.is_list(path) and self._is_there(path)]
+        kept = parts.data_folders(self.spark, [path for path, gone in lists if not gone])
+        unused = parts.data_folders(self.spark, [path for path, gone in lists if gone]) - kept
+        removed = sum(self._delete(path) for path, gone in ages if gone)
+        for path in unused:
+            self._delete(path)
         return removed
 
+    def _hadoop(self, path: str) -> tuple:
+        place = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return place.getFileSystem(self.spark._jsc.hadoopConfiguration()), place
+
+    def _is_there(self, path: str) -> bool:
+        store, place = self._hadoop(path)
+        return bool(store.exists(place))
+
+    def _delete(self, path: str) -> bool:
+        store, place = self._hadoop(path)
+        return bool(store.delete(place, True))
+
     def tables(self, layer: str | None = None) -> DataFrame:
         """(layer, table_name, row_count) of the current tables."""
         parts = F.split("table_name", r"\.")
