@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import csv as python_csv
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
@@ -12,11 +13,15 @@ from pyspark.sql import types as T
 from stratalake.functions.names import sanitize_name
 from stratalake.operators.aggregates import count_where
 from stratalake.operators.shape import clear_null_tokens
-from stratalake.session import small_frame
-from stratalake.sources.files import fingerprint, list_drop, literal_path
+from stratalake.session import materialize, small_frame
+from stratalake.sources.files import literal_path
+from stratalake.sources.records import opens, read_records, text_lines
 
-# Digits after a leading zero are a code, not a number.
-_CODE = r"^\s*[+-]?0[0-9]"
+# Texts that a type writes back as they are: no leading zero, no sign or suffix that would get lost, no trailing zero of a fraction.
+_LONG = r"^(0|-?[1-9][0-9]{0,18})$"
+_DOUBLE = r"^(0(\.0)?|-?(0\.[0-9]*[1-9]|[1-9][0-9]*(\.([0-9]*[1-9]|0))?))$"
+# Digits that a double always keeps.
+_DIGITS = 15
 
 
 def _options(multi_line: bool) -> dict[str, str]:
@@ -59,7 +64,8 @@ def read_text(spark: SparkSession, paths: str | Sequence[str],
     paths = [paths] if isinstance(paths, str) else list(paths)
     if columns is None:
         groups = _file_groups(spark, paths)
-        parts = [_read_group(spark, files, names, breaks if multi_line is None else multi_line)
+        parts = [_read_split(spark, files, names) if (breaks if multi_line is None else multi_line)
+                 else _read_group(spark, [literal_path(f) for f in files], names, False)
                  for (names, breaks), files in sorted(groups.items())]
         if not parts:
             return _read_group(spark, paths, header(spark, paths[0]), bool(multi_line))
@@ -68,15 +74,19 @@ def read_text(spark: SparkSession, paths: str | Sequence[str],
 
 
 def _file_groups(spark: SparkSession, paths: Sequence[str]) -> dict[tuple[tuple[str, ...], bool], list[str]]:
-    """Files by header and by whether quotes hold line breaks; the contents are read by the executors."""
-    found = reduce(DataFrame.union, [fingerprint(list_drop(spark, path, "*")) for path in paths])
+    """Files by header and by whether quotes hold line breaks, from one native scan; a row a file reaches the driver."""
+    lines = text_lines(spark, paths).withColumn("at", F.struct("block", F.monotonically_increasing_id()))
+    filled = F.when(F.trim(F.regexp_replace("line", "\r", "")) != "", F.col("at"))
+    found = lines.groupBy("file").agg(F.min_by("line", filled).alias("first"), F.max(opens(F.col("line"))).alias("breaks"),
+                                      F.max(filled).isNotNull().alias("has_lines"), F.min_by(opens(F.col("line")), filled).alias("cut"))
     groups: dict[tuple[tuple[str, ...], bool], list[str]] = {}
-    for row in found.where("NOT startswith(file_name, '_') AND NOT startswith(file_name, '.')").select(
-            "file_path", "header", "quoted_breaks", "error_message").collect():
-        if row["error_message"]:
-            raise OSError(f"{row['file_path']}: {row['error_message']}")
-        if row["header"]:
-            groups.setdefault((tuple(row["header"]), row["quoted_breaks"]), []).append(literal_path(row["file_path"]))
+    for row in found.where("has_lines").collect():
+        path = literal_path(row["file"])
+        if row["cut"]:  # the header itself holds a line break
+            names = header(spark, path, multi_line=True)
+        else:
+            names = next(python_csv.reader([row["first"].removeprefix("\ufeff").removesuffix("\r")]))
+        groups.setdefault((tuple(names), row["breaks"]), []).append(row["file"])
     return groups
 
 
@@ -85,23 +95,31 @@ def _read_group(spark: SparkSession, paths: Sequence[str], names: Sequence[str],
     return clear_null_tokens(reader.csv(list(paths)))
 
 
+def _read_split(spark: SparkSession, files: Sequence[str], names: Sequence[str]) -> DataFrame:
+    """Files whose quotes hold line breaks, each read by many tasks."""
+    fields = ", ".join("`{}` string".format(name.replace("`", "``")) for name in names)
+    options = {k: v for k, v in _options(True).items() if k != "header"}
+    parsed = read_records(spark, files).select(F.from_csv("record", fields, options).alias("row"))
+    return clear_null_tokens(parsed.select([F.col("row").getField(name).alias(name) for name in names]))
+
+
 def infer_types(text: DataFrame) -> T.StructType:
-    """Narrowest of long, double, boolean and string that fits every row of each column.
+    """Narrowest of long, double, boolean and string that keeps every value of each column.
 
-    A column with digits after a leading zero, such as ``0123`` or ``08``, stays text.
+    A type fits a value only if it writes it back as it was, but for whole numbers between fractions. Codes such as ``0123``, ``12D``,
+    ``+5`` or ``1.10``, numbers with more digits than a type holds, ``NaN`` and ``Infinity`` stay text.
     """
     candidates = ("bigint", "double", "boolean")
     checks = []
     for i, name in enumerate(text.columns):
         value = F.col(f"`{name}`")
         checks.append(count_where(value.isNotNull()).alias(f"c{i}_known"))
-        for dtype in candidates:
-            misfit = value.isNotNull() & value.try_cast(dtype).isNull()
-            if dtype != "boolean":
-                misfit = misfit | value.rlike(_CODE)
-            else:
-                misfit = value.isNotNull() & ~F.lower(value).isin("true", "false")
-            checks.append(count_where(misfit).alias(f"c{i}_{dtype}"))
+        keeps = {
+            "bigint": value.rlike(_LONG) & value.try_cast("bigint").isNotNull(),
+            "double": value.rlike(_DOUBLE) & (F.length(F.regexp_replace(value, "[-.]", "")) <= _DIGITS),
+            "boolean": value.isin("true", "false"),
+        }
+        checks += [count_where(value.isNotNull() & ~keeps[dtype]).alias(f"c{i}_{dtype}") for dtype in candidates]
     found = text.agg(*checks).first()
     types = {"bigint": T.LongType(), "double": T.DoubleType(), "boolean": T.BooleanType()}
     fields = []
@@ -117,7 +135,7 @@ def read_inferred(spark: SparkSession, path: str, overrides: Mapping[str, str] |
 
     A value that does not fit a fixed type becomes NULL; inferred types fit every value.
     """
-    text = read_text(spark, path, multi_line=multi_line)
+    text = materialize(read_text(spark, path, multi_line=multi_line), "csv-text")
     chosen = {field.name: field.dataType.simpleString() for field in infer_types(text)}
     chosen.update(overrides or {})
     return text.select([F.col(f"`{name}`").try_cast(chosen[name]).alias(name) for name in text.columns])

@@ -25,6 +25,8 @@ LISTING = "file_path string, file_name string, file_size_bytes bigint, file_mtim
 FINGERPRINT = f"{LISTING}, file_sha256 string, header array<string>, quoted_breaks boolean, error_message string"
 
 _CHUNK = 8 * 1024 * 1024
+#: Longest header of a file; a longer one is an error of that file.
+HEADER_LIMIT = 1 << 20
 
 
 def source_path() -> Column:
@@ -98,14 +100,22 @@ def _read_header(first_bytes: bytes) -> list[str]:
     return next(csv.reader(io.StringIO(text)), [])
 
 
-def _ends_record(data: bytes) -> bool:
-    """Whether a line break outside quotes ends the first record."""
-    at = data.find(b"\n")
-    while at >= 0:
-        if data.count(b'"', 0, at) % 2 == 0:
-            return True
-        at = data.find(b"\n", at + 1)
-    return False
+class _FirstRecord:
+    """The bytes up to the first line break outside quotes, taken in chunk by chunk; each byte is looked at once."""
+
+    def __init__(self):
+        self.data, self.complete, self._inside = b"", False, False
+
+    def add(self, chunk: bytes) -> None:
+        data = np.frombuffer(chunk[: HEADER_LIMIT + 1], dtype=np.uint8)
+        outside = (np.cumsum(data == 0x22) + self._inside) % 2 == 0
+        ends = np.flatnonzero(outside & (data == 0x0A))
+        self.complete = len(ends) > 0
+        self.data += chunk[: ends[0] + 1] if self.complete else chunk[: HEADER_LIMIT + 1]
+        if not self.complete:
+            self._inside = bool(len(outside)) and not bool(outside[-1])
+            if len(self.data) > HEADER_LIMIT:
+                raise ValueError(f"the header has no end within {HEADER_LIMIT} bytes; a quote may never be closed")
 
 
 def _breaks_in_quotes(chunk: bytes, inside: bool) -> tuple[bool, bool]:
@@ -118,16 +128,15 @@ def _breaks_in_quotes(chunk: bytes, inside: bool) -> tuple[bool, bool]:
 def fingerprint_file(path: str) -> tuple[str, list[str], bool]:
     """SHA-256 of the content, read in chunks, the raw header fields, and whether quotes hold line breaks."""
     digest = hashlib.sha256()
-    first, complete, inside, breaks = b"", False, False, False
+    first, inside, breaks = _FirstRecord(), False, False
     with _open(path) as stream:
         while chunk := stream.read(_CHUNK):
             digest.update(chunk)
             found, inside = _breaks_in_quotes(chunk, inside)
             breaks = breaks or found
-            if not complete:
-                first += chunk
-                complete = _ends_record(first)
-    return digest.hexdigest(), _read_header(first), breaks
+            if not first.complete:
+                first.add(chunk)
+    return digest.hexdigest(), _read_header(first.data), breaks
 
 
 def _fingerprint_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
