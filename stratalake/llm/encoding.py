@@ -4,20 +4,22 @@ The tokenizers of this package never look across a space that stands between a c
 not white space, so a text is cut there, each distinct piece is encoded once by the tokenizer and the ids of the
 text are put together from the pieces. ``split_at_spaces`` makes cuts that change nothing for byte-level
 tokenizers, whose pieces take the space before them, and ``drop_space`` those for tokenizers that
-drop white space.
+drop white space. Added tokens, such as ``<|endoftext|>``, become their own id as in the file, which ends a piece on both sides;
+a text that holds one is encoded whole.
+
+An encoder belongs to one task, and so does what it remembers.
 """
 
 from __future__ import annotations
 
 import os
 import re
-from functools import lru_cache
 from itertools import chain
 
 import numpy as np
 
-#: Pieces a Python worker remembers (some 150 MB); others are encoded once for each group of texts.
-REMEMBERED = 600_000
+#: Pieces a task remembers (some 50 MB); others are encoded once for each group of texts.
+REMEMBERED = 200_000
 #: Characters of text put together at once.
 GROUP_CHARS = 1 << 20
 
@@ -57,7 +59,8 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        added = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
+        self.added = re.compile("|".join(map(re.escape, added))) if added else None
         self.cut = split_at_spaces if keeps_space else drop_space
         self.numbers = _Numbers()
         self.ids = np.empty(1 << 16, dtype=np.uint32)
@@ -97,7 +100,8 @@ class Encoder:
         return out
 
     def _group(self, texts: list[str | None]) -> list[np.ndarray]:
-        cut = [self.cut(t) if t else [] for t in texts]
+        alone = {k for k, t in enumerate(texts) if t and self.added and self.added.search(t)}
+        cut = [self.cut(t) if t and k not in alone else [] for k, t in enumerate(texts)]
         counts = np.fromiter(map(len, cut), dtype=np.int64, count=len(cut))
         which = np.fromiter(map(self.numbers.__getitem__, chain.from_iterable(cut)), dtype=np.int64, count=int(counts.sum()))
         if self.numbers.fresh:
@@ -108,10 +112,7 @@ class Encoder:
         whole = self.ids[np.arange(ends[-1]) + np.repeat(starts - ends[:-1], lengths)]
         edges = ends[np.concatenate(([0], np.cumsum(counts)))]
         self._forget()
-        return [whole[edges[k] : edges[k + 1]] for k in range(len(texts))]
-
+        return [self._whole(texts[k]) if k in alone else whole[edges[k] : edges[k + 1]] for k in range(len(texts))]
 
-@lru_cache(maxsize=4)
-def encoder(path: str, keeps_space: bool) -> Encoder:
-    """The encoder of this Python worker for a file, with what it remembers."""
-    return Encoder(path, keeps_space)
+    def _whole(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=np.uint32)

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratalake.llm.common import Scratch, map_batches, table
-from stratalake.llm.encoding import encoder
+from stratalake.llm.encoding import Encoder
 
 WINDOW = 1024
 END = 0
@@ -92,8 +92,9 @@ def best_fit(lengths: np.ndarray, window: int = WINDOW) -> tuple[np.ndarray, np.
 
 def _cut(path: str, window: int, end: int, keep_ids: bool):
     def work(batches):
+        encoder = Encoder(path, True)
         for batch in batches:
-            ids = encoder(path, True).encode(batch.column(1).to_pylist())
+            ids = encoder.encode(batch.column(1).to_pylist())
             rows, starts, lengths, sums, totals, pieces = [], [], [], [], [], []
             for k, own in enumerate(ids):
                 own = np.append(own, np.uint32(end)).astype("<u4")

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratalake.llm.common import Scratch, map_batches, partitions, table
-from stratalake.llm.encoding import encoder
+from stratalake.llm.encoding import Encoder
 from stratalake.llm.packing import vocabulary
 
 END = 1
@@ -230,8 +230,9 @@ def _write(path: str, end: int):
             waiting, names, size = [], [], 0
             return row
 
+        encoder = Encoder(path, False)
         for batch in batches:
-            for doc_id, ids in zip(batch.column(0).to_pylist(), encoder(path, False).encode(batch.column(1).to_pylist())):
+            for doc_id, ids in zip(batch.column(0).to_pylist(), encoder.encode(batch.column(1).to_pylist())):
                 waiting.append(np.append(ids, np.uint32(end)))
                 names.append(doc_id)
                 size += len(waiting[-1])

@@ -19,16 +19,19 @@ def test_encoder_equals_tokenizer(monkeypatch, name, keeps):
     monkeypatch.setattr(encoding, "REMEMBERED", 50)
     monkeypatch.setattr(encoding, "GROUP_CHARS", 300)
     plain = Tokenizer.from_file(vocabulary(name))
-    plain.encode_special_tokens = True
     rng = random.Random(3)
     texts = ["".join(rng.choices(ALPHABET, k=rng.randint(0, 30))) for _ in range(3000)]
     texts += ["don't  'll  x's\n\n y ", "<|endoftext|> a <|startoftext|>", "", "word " * 500, " lead", "trail "]
+    for token in ("<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>"):
+        texts += [f"hello {token} world", f"hello{token}world", f"a  {token}  b", f"{token}\n", f" {token}{token} ", f"'s{token}'s"]
     mine = Encoder(vocabulary(name), keeps)
     for low in range(0, len(texts), 97):
         part = texts[low : low + 97]
         expected = [e.ids for e in plain.encode_batch(part, add_special_tokens=False)]
         assert [x.tolist() for x in mine.encode(part)] == expected
     assert mine.encode([None, ""])[0].tolist() == []
+    if keeps:
+        assert mine.encode(["hello <|endoftext|> world"])[0].tolist() == [31373, 220, 50256, 995]
 
 
 @given(st.text(alphabet=ALPHABET, max_size=40))
@@ -66,7 +69,6 @@ def test_best_fit_equals_plain_search():
 
 def check(rows, texts):
     plain = Tokenizer.from_file(vocabulary("byte_bpe_50k.json"))
-    plain.encode_special_tokens = True
     ids = {i: e.ids + [0] for i, e in zip(texts, plain.encode_batch([t or "" for t in texts.values()], add_special_tokens=False))}
     by_doc, by_sequence = {}, {}
     for r in rows:
@@ -99,7 +101,7 @@ def test_query(spark):
 
 
 def test_edges(spark):
-    texts = {1: None, 2: "", 3: "a", 4: "word " * 1024, 5: "x" * 40_000, 6: " \n "}
+    texts = {1: None, 2: "", 3: "a", 4: "word " * 1024, 5: "x" * 40_000, 6: " \n ", 7: "hello <|endoftext|> world"}
     docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string").selectExpr("*", "1 AS uid", "2 AS Start")
     path = vocabulary("byte_bpe_50k.json")
     packed = pack(docs, path, keep_ids=True).cache()
