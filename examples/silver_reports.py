@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import functions as F
 
 from examples.mapping import SILVER_CTE, Query, star_store, table
 from stratalake.functions import times
 from stratalake.operators import aggregates as agg
-from stratalake.plans import profile, reports
+from stratalake.plans import forest, profile, reports
 from stratalake.plans.reports import CallFilter, Health
+from stratalake.session import materialize, scratch_path
 
 _CHOSEN = CallFilter("1995-01-01", "1999-12-31", groups=["A", "R"], battalions=["B1", "B2", "B3", "B4"])
 _WHERE = (
@@ -137,6 +141,18 @@ def rf_predict(spark, sf):
     )
 
 
+def forest_cells(spark, sf):
+    """A forest from cell statistics, stored and loaded: rows, actual averages, and whether predictions lie in their target's range."""
+    statistics = materialize(forest.cell_statistics(profile.feature_table(_calls(spark, sf)), "call_number"), "cell-statistics")
+    folder = scratch_path(spark, "forest-model")
+    forest.store_forest(forest.grow_forest(statistics), folder)
+    found = forest.predict_cells(forest.load_forest(spark, folder), forest.cells(statistics))
+    ranges = statistics.agg(*[f(f"{n}_{t}").alias(f"{n}_{t}") for t in profile.TARGETS for n, f in (("min", F.min), ("max", F.max))]).first()
+    within = [F.col(f"pred_{t}").between(ranges[f"min_{t}"] - 1e-6, ranges[f"max_{t}"] + 1e-6) for t in profile.TARGETS]
+    return found.select(*profile.FEATURES, "n", *[F.round(f"actual_{t}", 6).alias(f"actual_{t}") for t in profile.TARGETS],
+                        reduce(and_, within).alias("within"))
+
+
 def _silver_sql(select: str) -> str:
     return f"WITH {SILVER_CTE}, chosen AS (SELECT * FROM calls WHERE {_WHERE}),\n" \
            f"keys AS (SELECT DISTINCT incident_number FROM chosen WHERE incident_number IS NOT NULL),\n" \
@@ -231,6 +247,14 @@ SELECT call_number, CAST(extract(hour FROM received_ts) AS INTEGER) AS hour,
   CAST(final_priority AS DOUBLE) AS y_final_priority
 FROM calls WHERE received_ts IS NOT NULL AND dispatch_delay_sec IS NOT NULL AND travel_time_sec IS NOT NULL
   AND response_time_sec IS NOT NULL AND number_of_alarms IS NOT NULL AND final_priority IS NOT NULL""")),
+    "forest_cells": Query(forest_cells, _silver_sql(f"""
+, rows AS (SELECT CAST(extract(hour FROM received_ts) AS INTEGER) AS hour, CAST(extract(isodow FROM received_ts) - 1 AS INTEGER) AS dow,
+    CAST(extract(month FROM received_ts) AS INTEGER) AS month,
+    CAST(CASE WHEN extract(isodow FROM received_ts) IN (6, 7) THEN 1 ELSE 0 END AS INTEGER) AS is_weekend, {", ".join(profile.TARGETS)}
+  FROM calls WHERE {" AND ".join(f"{c} IS NOT NULL" for c in ("received_ts", *profile.TARGETS))})
+SELECT {", ".join(profile.FEATURES)}, count(*) AS n,
+  {", ".join(f"round(avg({c}), 6) AS actual_{c}" for c in profile.TARGETS)}, TRUE AS within
+FROM rows GROUP BY ALL""").replace("GROUP BY ALL", "GROUP BY hour, dow, month, is_weekend")),
     "derive_parent_min": Query(derive_parent_min, """
 SELECT CAST(l_orderkey AS VARCHAR) AS "IncidentNumber",
   min(CAST(l_orderkey * 10 + l_linenumber AS VARCHAR)) AS "CallNumber",
