@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from examples import ingest, scalars, silver_reports, star
+from examples import ingest, scalars, shown, silver_reports, star
 from examples.mapping import Query
 
-_MODULES = (star, scalars, silver_reports, ingest)
+_MODULES = (star, scalars, silver_reports, ingest, shown)
 
 
 def all_queries() -> dict[str, Query]:

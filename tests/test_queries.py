@@ -9,7 +9,7 @@ from tools.check_oracle import compare, connect
 # The file round trips and whole pipelines have tests of their own.
 SLOW = {
     "pipeline_incremental", "pipeline_full", "pipeline_two_drops", "bronze_twice", "stream_drop", "lake_roundtrip",
-    "rf_predict", "stream_to_gold", "bronze_insert_counts", "ledger_lake_paths",
+    "rf_predict", "stream_to_gold", "bronze_insert_counts", "ledger_lake_paths", "empty_run", "forest_cells",
 }
 # The corpus operators, which may be absent, are tested beside them.
 OWN = registry.all_queries()
