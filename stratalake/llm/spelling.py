@@ -1,18 +1,19 @@
 """Spelling variants: words one edit apart, found by a relational frontier over a trie.
 
-1. The corpus is counted to words. Every prefix of a word is a node of a trie, named by a hash of its letters; nodes are
-   counted in Spark, and chains without a branch or a word's end are compacted to one edge with a label of several
-   letters (``paths.py``), so the number of levels is that of branching nodes, not of letters.
+1. The corpus is counted to words. An edit leaves one half of a word alone, so words are followed from their middle on, over the trie
+   of all words and once more over that of all words reversed. Prefixes are nodes, named by a hash of their letters and counted in
+   Spark; chains without a branch are compacted to one edge with a label of several letters (``paths.py``), so the number of
+   levels is that of branching nodes, not of letters.
 2. The edge table (node, label, child) stays distributed. The frontier holds states (word, position, node, edits), first every word at
-   the root. Level by level it is joined with the edges on the node: a state without an edit tries all edges of its
-   node and takes each label as it is, with one letter replaced, one more or one less; a state with its edit made follows only the
-   edge that begins with its next letter.
+   the node of its first half. Level by level it is joined with the edges on the node: a state that may still make its edit tries all
+   edges of its node and takes each label as it is, with one letter replaced, one more or one less; the others follow only the
+   edge that begins with their next letter. A state whose next letter cannot follow is not kept.
 3. A state that ends where a word ends, with its one edit, is a neighbour. Pairs are compared once more as words, so two prefixes
    with one hash cost time, never a result.
 4. Each word's form is its most frequent neighbour, if at least twice as frequent; forms are followed to the last by pointer doubling in
    joins. Frequencies double at each step, so there is no cycle.
 
-All states start at the root, so nodes that many words pass are salted: a node with a share s of the words has its edges ``64 s`` times,
+Nodes that many words pass are salted: a node with a share s of the words, more than one in 64, has its edges ``64 s`` times,
 and its states are dealt over them by word. A word has at most some 90 neighbours for each of its letters.
 
 Defined results: a null or empty text has no words. A null ``doc_id`` is written as nothing in the rule that deletes letters. Repeated rows
@@ -21,6 +22,8 @@ count again. An empty table gives no rows. Extra columns are not used; the resul
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -34,7 +37,7 @@ LEAST_LETTERS = 5
 LEAST_COUNT = 3
 #: One run in so many loses a letter (by hash), which plants variants.
 DELETE = 97
-#: Salts of a node that all words pass.
+#: Salts of a node that all words pass; a smaller share has fewer.
 SALTS = 64
 ROOT = 0
 
@@ -55,102 +58,148 @@ def corpus_words(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     return words.groupBy("word").agg(F.count("*").alias("n")).where(F.col("n") >= LEAST_COUNT)
 
 
+def _hashes(word: str) -> np.ndarray:
+    """A hash of each prefix of a word, from the empty one on."""
+    codes = np.frombuffer(word.encode("utf-32-le"), np.uint32).astype(np.uint64) + np.uint64(1)
+    sums = np.cumsum(codes * np.multiply.accumulate(np.full(len(codes), _STEP)))
+    own = mix(sums ^ mix(np.arange(1, len(codes) + 1, dtype=np.uint64))).view(np.int64)
+    return np.concatenate((np.array([ROOT]), own))
+
+
+def _anchors(batches):
+    """Each word with the node of the letters that stay as they are."""
+    for batch in batches:
+        nodes = [_hashes(word)[exact] for word, exact in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())]
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(nodes, pa.int64())], names=["id", "word", "exact", "node"])
+
+
 def _prefixes(batches):
-    """A row for each letter of each word: the prefixes before and after it, by hash, and whose end it is."""
+    """A row for each letter of each word behind the fixed ones, and one for the node where they end (no letter)."""
     for batch in batches:
-        before, after, letters, ends = [], [], [], []
-        for number, word in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            codes = np.frombuffer(word.encode("utf-32-le"), np.uint32).astype(np.uint64)
-            powers = np.full(len(codes), _STEP)
-            places = np.arange(1, len(codes) + 1, dtype=np.uint64)
-            nodes = mix(np.cumsum((codes + np.uint64(1)) * np.multiply.accumulate(powers)) ^ mix(places)).view(np.int64)
-            after.append(nodes)
-            before.append(np.concatenate(([ROOT], nodes[:-1])))
-            letters += word
-            ends += [None] * (len(word) - 1) + [number]
-        none = [np.empty(0, np.int64)]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.concatenate(before or none)), pa.array(np.concatenate(after or none)), pa.array(letters, pa.string()),
-             pa.array(ends, pa.int64())], names=["parent", "node", "letter", "ends"])
-
-
-def _salts(below, total: int):
-    return F.ceil(below * SALTS / F.lit(max(total, 1))).cast("int")
-
-
-def trie_edges(words: DataFrame, total: int, scratch: Scratch) -> DataFrame:
-    """(node, salt, first, label, size, child, child_salts, ends, inner) of the compacted trie of ``words`` (id, word)."""
-    rows = map_batches(words.select("id", "word"), _prefixes, "parent long, node long, letter string, ends long")
-    nodes = scratch.write(rows.groupBy("node").agg(
-        F.first("parent").alias("parent"), F.first("letter").alias("letter"), F.max("ends").alias("ends"),
-        F.count("*").alias("below")), "nodes")
-    children = scratch.write(nodes.groupBy(F.col("parent").alias("node")).agg(
-        F.count("*").alias("children"), F.min("node").alias("child")), "children")
-    through = nodes.where("ends IS NULL").join(children.where("children = 1"), "node")
-    links = scratch.write(through.select(F.col("node").alias("id"), F.col("child").alias("next"), F.lit(1).cast("long").alias("size")), "links")
+        ids, depths, parents, nodes, letters, last = [], [], [], [], [], []
+        for number, word, exact in zip(*[c.to_pylist() for c in batch.columns]):
+            own = _hashes(word)
+            n = len(word) - exact + 1
+            ids.append(np.full(n, number))
+            depths.append(np.arange(exact, len(word) + 1))
+            parents.append(own[np.maximum(0, np.arange(exact - 1, len(word)))])
+            nodes.append(own[exact:])
+            letters += [None, *word[exact:]]
+            last += [False] * (n - 1) + [True]
+        join = lambda parts: pa.array(np.concatenate(parts or [np.empty(0)]).astype(np.int64))
+        yield pa.RecordBatch.from_arrays([join(ids), join(depths), join(parents), join(nodes), pa.array(letters, pa.string()),
+                                          pa.array(last, pa.bool_())], names=["id", "depth", "parent", "node", "letter", "last"])
+
+
+def _nodes(words: DataFrame, scratch: Scratch) -> DataFrame:
+    """The nodes of all words behind their fixed letters: by how many words they are reached, and who ends there."""
+    rows = map_batches(words.select("id", "word", "exact"), _prefixes, "id long, depth long, parent long, node long, letter string, last boolean")
+    passes = F.col("letter").isNotNull()
+    return scratch.write(rows.groupBy("node").agg(
+        F.min(F.when(passes, F.col("parent"))).alias("parent"), F.min("letter").alias("letter"), F.min("depth").alias("depth"),
+        F.max(F.when(F.col("last"), F.col("id"))).alias("ends"), F.max(F.when(passes, F.col("id"))).alias("some"),
+        F.count("letter").alias("below"), F.count("*").alias("passed"), F.max((~passes).cast("int")).alias("stops")), "nodes")
+
+
+def trie_edges(words: DataFrame, heavy: DataFrame, nodes: DataFrame, scratch: Scratch) -> DataFrame:
+    """(node, salt, first, label, size, child, child_salts, letters, ends) of the compacted trie of ``words`` (id, word, exact).
+
+    ``letters`` are those that can follow the child. Nodes where words begin (behind their fixed letters) stay nodes.
+    """
+    inside, is_thin = nodes.where("below > 0"), (F.col("below") == 1) & (F.col("stops") == 0)
+    # Nodes of one word only, down to its end, are its tail: one edge.
+    step = F.struct("depth", "parent", "node", "letter")
+    thin = inside.where(is_thin).groupBy(F.col("some").alias("id")).agg(F.sort_array(F.collect_list(step), asc=False).alias("steps"))
+    thin = thin.join(words.select("id", "word"), "id")
+    run = F.size(F.filter("steps", lambda x, i: x["depth"] + i == F.length("word")))
+    thin = scratch.write(thin.withColumn("run", run), "thin")
+    tails = thin.where("run > 0").select(
+        F.element_at("steps", F.col("run"))["parent"].alias("node"), F.element_at("steps", F.lit(1))["node"].alias("child"),
+        F.col("id").alias("ends"), F.substring("word", F.length("word") - F.col("run") + 1, F.col("run")).alias("label"))
+    others = thin.where(F.size("steps") > F.col("run")).select(F.explode(F.slice("steps", F.col("run") + 1, F.size("steps"))).alias("x"))
+    others = others.select("x.node", "x.parent", "x.letter", F.lit(None).cast("bigint").alias("ends"), F.lit(1).cast("bigint").alias("below"),
+                           F.lit(0).alias("stops"))
+    thick = scratch.write(inside.where(~is_thin).select("node", "parent", "letter", "ends", "below", "stops").union(others), "thick")
+    above = thick.where("stops = 0 AND ends IS NULL").select(F.col("node").alias("id"), F.col("below").alias("all_below"))
+    links = thick.join(above, F.col("parent") == F.col("id")).where("below = all_below")
+    links = scratch.write(links.select("id", F.col("node").alias("next"), F.lit(1).cast("long").alias("size")), "links")
     on_path = compact(links, scratch, "chains").withColumnRenamed("id", "node")
-    placed = nodes.join(on_path, "node", "left").withColumn("path", F.coalesce("path", "node"))
-    placed = placed.withColumn("offset", F.coalesce("offset", F.lit(0)))
+    placed = thick.join(on_path, "node", "left").withColumn("path", F.coalesce("path", "node")).withColumn("offset", F.coalesce("offset", F.lit(0)))
     chain = F.sort_array(F.collect_list(F.struct("offset", "letter")))
-    edges = placed.groupBy("path").agg(
+    chains = placed.groupBy("path").agg(
         F.min_by("parent", "offset").alias("node"), F.max_by("node", "offset").alias("child"), F.max("ends").alias("ends"),
-        F.min("below").alias("below"), F.array_join(F.transform(chain, lambda c: c["letter"]), "").alias("label"))
-    inner = children.select(F.col("node").alias("child"), F.lit(True).alias("inner"))
-    edges = scratch.write(edges.join(inner, "child", "left").drop("path"), "edges")
-    passed = edges.select(F.col("child").alias("node"), F.col("below").alias("passed"))
-    edges = edges.join(passed, "node", "left").withColumn("passed", F.coalesce("passed", F.lit(total)))
-    return scratch.write(edges.select(
-        "node", F.explode(F.sequence(F.lit(0), _salts(F.col("passed"), total) - 1)).alias("salt"),
-        F.substring("label", 1, 1).alias("first"), "label", F.length("label").alias("size"), "child",
-        _salts(F.col("below"), total).alias("child_salts"), "ends", F.coalesce("inner", F.lit(False)).alias("inner")), "salted")
+        F.array_join(F.transform(chain, lambda c: c["letter"]), "").alias("label"))
+    edges = scratch.write(tails.unionByName(chains.drop("path")).withColumn("first", F.substring("label", 1, 1)), "edges")
+    letters = edges.groupBy(F.col("node").alias("child")).agg(F.array_join(F.collect_set("first"), "").alias("letters"))
+    edges = edges.join(letters, "child", "left")
+    edges = edges.join(F.broadcast(heavy), "node", "left").withColumn("salt", F.explode(F.sequence(F.lit(0), F.coalesce("salts", F.lit(1)) - 1)))
+    child = F.broadcast(heavy.select(F.col("node").alias("child"), F.col("salts").alias("child_salts")))
+    return scratch.write(edges.join(child, "child", "left").select(
+        "node", "salt", "first", "label", F.length("label").alias("size"), "child", F.coalesce("child_salts", F.lit(1)).alias("child_salts"),
+        F.coalesce("letters", F.lit("")).alias("letters"), "ends"), "salted")
 
 
 def _advance(frontier: DataFrame, edges: DataFrame) -> DataFrame:
-    """The states that the frontier reaches over one edge."""
-    rest = F.length("word") - F.col("at")
-    to = ["id", "word", "child", "child_salts", "ends", "inner"]
+    """The states that the frontier reaches over one edge and that can end there or go on."""
+    rest, size = F.length("word") - F.col("at"), F.col("size")
+    to = ["id", "word", "child", "child_salts", "letters", "ends"]
 
-    def taken(size):
-        return F.substring("word", F.col("at") + 1, size)
+    def taken(n):
+        return F.substring("word", F.col("at") + 1, n)
 
-    whole = frontier.where("edits = 0").join(edges, ["node", "salt"])
-    size = F.col("size")
     moves = [(0, size, F.col("label") == taken(size))]
     moves += [(1, n, F.levenshtein("label", taken(n), 1) == 1) for n in (size, size + 1, size - 1)]
     options = F.array(*[F.when((rest >= n) & fits, F.struct((F.col("at") + n).alias("at"), F.lit(e).alias("edits"))) for e, n, fits in moves])
-    open_states = whole.select(*to, F.explode(F.filter(options, lambda o: o.isNotNull())).alias("s")).select(*to, "s.at", "s.edits")
+    whole = frontier.where("edits = 0").join(edges, ["node", "salt"])
+    whole = whole.select(*to, F.explode(F.filter(options, lambda o: o.isNotNull())).alias("s")).select(*to, "s.at", "s.edits")
     spent = frontier.where("edits = 1").withColumn("first", F.substring("word", F.col("at") + 1, F.lit(1)))
-    closed = spent.join(edges, ["node", "salt", "first"]).where(F.col("label") == taken(size))
-    return open_states.union(closed.select(*to, (F.col("at") + size).alias("at"), "edits"))
-
-
-def _states(found: DataFrame) -> DataFrame:
-    """States that can go on, each with its salt at its node."""
-    goes_on = F.col("inner") & ((F.col("edits") == 0) | (F.col("at") < F.length("word")))
-    return found.where(goes_on).select("id", "word", "at", F.col("child").alias("node"), "edits",
-                                       F.pmod(F.xxhash64("id"), F.col("child_salts")).cast("int").alias("salt")).distinct()
+    spent = spent.join(edges, ["node", "salt", "first"]).where(F.col("label") == taken(size)).select(*to, (F.col("at") + size).alias("at"), "edits")
+    follows = F.contains("letters", F.substring("word", F.col("at") + 1, F.lit(1))) & (F.col("at") < F.length("word"))
+    goes_on = (F.col("letters") != "") & ((F.col("edits") == 0) | follows)
+    return whole.union(spent).withColumn("ended", F.col("ends").isNotNull() & (F.length("word") - F.col("at") + F.col("edits") == 1)).withColumn(
+        "goes_on", goes_on).where("ended OR goes_on")
+
+
+def _reached(words: DataFrame, total: int, scratch: Scratch, way: str) -> DataFrame:
+    """(id, near): where ``words`` (id, word, exact) end with one edit that leaves their first ``exact`` letters alone."""
+    nodes = _nodes(words, scratch)
+    # Less than SALTS nodes of each depth.
+    heavy = nodes.where(F.col("passed") * SALTS > total).select("node", F.ceil(F.col("passed") * SALTS / total).cast("int").alias("salts"))
+    edges = trie_edges(words, heavy, nodes, scratch)
+    begin = map_batches(words.select("id", "word", "exact"), _anchors, "id long, word string, exact int, node long")
+    frontier = begin.join(F.broadcast(heavy), "node", "left").select(
+        "id", "word", F.col("exact").alias("at"), "node", F.lit(0).alias("edits"),
+        F.pmod(F.xxhash64("id"), F.coalesce("salts", F.lit(1))).cast("int").alias("salt"))
+    # Words of one letter more than the fixed ones are near a word that ends at their node.
+    short = begin.where(F.length("word") == F.col("exact") + 1).join(nodes.where("ends IS NOT NULL").select("node", "ends"), "node")
+    parts, level = [short.select("id", F.col("ends").alias("near"))], 0
+    while level == 0 or not frontier.isEmpty():
+        found = scratch.write(_advance(frontier, edges), f"{way}-{level}")
+        parts.append(found.where("ended").select("id", F.col("ends").alias("near")))
+        frontier, level = found.where("goes_on").select(
+            "id", "word", "at", F.col("child").alias("node"), "edits",
+            F.pmod(F.xxhash64("id"), F.col("child_salts")).cast("int").alias("salt")), level + 1
+    pairs = scratch.write(reduce(DataFrame.union, parts).distinct(), f"reached-{way}")
+    scratch.drop("nodes", "thin", "thick", "links", "edges", "salted", *[f"{way}-{k}" for k in range(level)])
+    return pairs
 
 
 def neighbours(words: DataFrame, scratch: Scratch) -> DataFrame:
-    """(id, near): all pairs of ``words`` (id, word) that one inserted, deleted or replaced letter tells apart, both ways."""
+    """(id, near): all pairs of ``words`` (id, word) that one inserted, deleted or replaced letter tells apart, both ways.
+
+    An edit leaves the first or the second half of a word alone, so the words are followed from the middle to the end over
+    the trie of all words, and from the middle to the begin over that of all words reversed.
+    """
     total = words.count()
-    edges = trie_edges(words, total, scratch)
-    frontier = words.select("id", "word", F.lit(0).alias("at"), F.lit(ROOT).cast("long").alias("node"), F.lit(0).alias("edits"),
-                            F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int").alias("salt"))
-    pairs, level = None, 0
-    while total and (level == 0 or not frontier.isEmpty()):
-        found = scratch.write(_advance(frontier, edges), f"level-{level}")
-        ended = F.length("word") - F.col("at") + F.col("edits") == 1
-        here = found.where(ended & F.col("ends").isNotNull()).select("id", "word", F.col("ends").alias("near"))
-        pairs = here if pairs is None else pairs.union(here)
-        frontier, level = _states(found), level + 1
-    if pairs is None:
-        return words.select("id", F.col("id").alias("near")).where("false")
-    near = words.select(F.col("id").alias("near"), F.col("word").alias("near_word"))
-    pairs = pairs.distinct().join(near, "near").where(F.levenshtein("word", "near_word", 1) == 1)
-    pairs = scratch.write(pairs.select("id", "near"), "pairs")
-    scratch.drop(*[f"level-{k}" for k in range(level)])
-    return pairs
+    if not total:
+        return words.select("id", F.col("id").alias("near"))
+    half = F.floor(F.length("word") / 2).cast("int")
+    onward = words.select("id", "word", half.alias("exact"))
+    back = words.select("id", F.reverse("word").alias("word"), (F.length("word") - half).alias("exact"))
+    pairs = _reached(onward, total, scratch, "onward").union(_reached(back, total, scratch, "back")).distinct()
+    own, near = words.select("id", "word"), words.select(F.col("id").alias("near"), F.col("word").alias("near_word"))
+    pairs = pairs.join(own, "id").join(near, "near").where(F.levenshtein("word", "near_word", 1) == 1)
+    return scratch.write(pairs.select("id", "near"), "pairs")
 
 
 def _roots(forms: DataFrame, scratch: Scratch) -> DataFrame:
