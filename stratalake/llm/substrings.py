@@ -39,6 +39,8 @@ from stratalake.llm.common import (Scratch, add_columns, free_name, map_batches,
 from stratalake.llm.paths import compact, nonbranching
 
 WINDOW = 35
+#: Anchors with more than this part (one in so many) of all repeated anchors are split.
+HOT = 1000
 _PRINT = np.uint64(0x2545F4914F6CDD1D)
 
 
@@ -135,11 +137,19 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, text: str = "text", sc
     texts = docs.where(F.col(f"`{text}`").isNotNull()).select(text_key(text).alias("key"), F.col(f"`{text}`").alias("text"))
 
     counted = map_batches(texts.select("text"), _anchors(window), "anchor long, n long")
-    again = scratch.write(counted.groupBy("anchor").agg(F.sum("n").alias("n")).where("n > 1").select("anchor"), "anchors")
+    again = scratch.write(counted.groupBy("anchor").agg(F.sum("n").alias("n")).where("n > 1"), "anchors")
     found = map_batches(texts, _stretches(window), "key binary, start long, anchor long, prints array<int>")
-    # Rows of one anchor lie together after the join, so copies of a text are counted there before they travel on.
-    found = found.join(again, "anchor", "left_semi").groupBy("key", "start", "anchor", "prints").agg(F.count("*").alias("copies"))
-    places = scratch.write(found.withColumn("mark", F.xxhash64("prints")), "places")
+    # An anchor with more than one part in ``HOT`` of all is dealt over several tasks; there are less than ``HOT`` of them.
+    total = again.agg(F.sum("n")).first()[0] or 1
+    hot = again.where(F.col("n") * HOT > total).select("anchor", F.ceil(F.col("n") * HOT / total).cast("int").alias("salts"))
+    hot = F.broadcast(hot)
+    salt = F.pmod(F.xxhash64("key", "start"), F.coalesce("salts", F.lit(1))).cast("int")
+    found = found.join(hot, "anchor", "left").withColumn("salt", salt)
+    again = again.join(hot, "anchor", "left").select("anchor", F.explode(F.sequence(F.lit(0), F.coalesce("salts", F.lit(1)) - 1)).alias("salt"))
+    # Rows of one anchor and salt lie together after the join, so copies of a text are counted there before they travel on.
+    found = found.join(again, ["anchor", "salt"], "left_semi").groupBy("key", "start", "anchor", "salt", "prints").agg(
+        F.count("*").alias("copies"))
+    places = scratch.write(found.drop("salt").withColumn("mark", F.xxhash64("prints")), "places")
 
     distinct = places.groupBy("anchor", "mark", "prints").agg(F.sum("copies").alias("copies"))
     distinct = scratch.write(distinct.select(F.monotonically_increasing_id().alias("stretch"), "*"), "stretches")
