@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import zipfile
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 import numpy as np
@@ -47,12 +49,76 @@ def ship(spark: SparkSession) -> None:
         _shipped.add(context.applicationId)
 
 
+def release_memory() -> None:
+    """Give what a finished task has freed back to the system, so that a reused worker does not grow from stage to stage."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):
+        pass
+
+
+_kept: dict = {"label": None, "things": {}}
+
+
+def begin_task(label: str) -> None:
+    """Drop what tasks of another kind have left in this worker."""
+    if _kept["label"] != label:
+        _kept["label"], things = label, _kept.pop("things")
+        _kept["things"] = {}
+        if things:
+            del things
+            release_memory()
+
+
+def kept(key, make: Callable):
+    """What ``make`` returns, kept in this worker for the next tasks of the same kind and dropped before any other."""
+    things = _kept["things"]
+    if key not in things:
+        things[key] = make()
+    return things[key]
+
+
 def map_batches(df: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
                 schema: str | T.StructType) -> DataFrame:
-    """``mapInArrow`` with bounded batches."""
+    """``mapInArrow`` with bounded batches.
+
+    What ``work`` holds is its task's own and is given back when the task ends; what is to stay for the next one goes through ``kept``.
+    """
     bounded_batches(df.sparkSession)
     ship(df.sparkSession)
-    return df.mapInArrow(work, schema)
+    label = f"{work.__module__}.{work.__qualname__}"
+
+    def run(batches):
+        begin_task(label)
+        try:
+            yield from work(batches)
+        finally:
+            release_memory()
+
+    return df.mapInArrow(run, schema)
+
+
+_shared: list = []
+
+
+def share(spark: SparkSession, value):
+    """A broadcast variable that ``shared_within`` releases."""
+    made = spark.sparkContext.broadcast(value)
+    _shared.append(made)
+    return made
+
+
+@contextmanager
+def shared_within():
+    """Release the broadcast variables made inside, whose frames must be stored by then."""
+    before = len(_shared)
+    try:
+        yield
+    finally:
+        for made in _shared[before:]:
+            made.destroy()
+        del _shared[before:]
 
 
 def free_name(df: DataFrame, wanted: str) -> str:
@@ -64,6 +130,14 @@ def free_name(df: DataFrame, wanted: str) -> str:
     return name
 
 
+def free_prefix(df: DataFrame, wanted: str) -> str:
+    """A prefix that no column of the frame begins with, in any letter case."""
+    prefix = wanted
+    while any(name.lower().startswith(prefix.lower()) for name in df.columns):
+        prefix = "_" + prefix
+    return prefix
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -73,11 +147,12 @@ def partitions(df: DataFrame) -> int:
 
 
 def add_columns(df: DataFrame, source: str, fields: dict[str, pa.DataType],
-                compute: Callable[[list], list], keep: list[str] | None = None) -> DataFrame:
+                compute: Callable, keep: list[str] | None = None, per_task: bool = False) -> DataFrame:
     """``keep`` (all columns by default) and new ``fields`` that ``compute`` makes from ``source``.
 
-    ``compute`` takes the values of one bounded batch and returns one list or array a field. Kept
-    columns named like a field, in any letter case, are replaced by it.
+    ``compute`` takes the values of one bounded batch and returns one list or array a field. With ``per_task`` it takes
+    nothing and returns such a function, which lives as long as its task. Kept columns named like a field, in any letter
+    case, are replaced by it.
     """
     new = {name.lower() for name in fields}
     kept = [c for c in (df.columns if keep is None else keep) if c.lower() not in new]
@@ -86,8 +161,9 @@ def add_columns(df: DataFrame, source: str, fields: dict[str, pa.DataType],
     names = kept + list(fields)
 
     def work(batches):
+        use = compute() if per_task else compute
         for batch in batches:
-            made = compute(batch.column(len(kept)).to_pylist())
+            made = use(batch.column(len(kept)).to_pylist())
             arrays = [batch.column(k) for k in range(len(kept))]
             arrays += [pa.array(values, kind) for values, kind in zip(made, fields.values())]
             yield pa.RecordBatch.from_arrays(arrays, names=names)
@@ -150,32 +226,24 @@ _BYTE_CODE = _rng.integers(0, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.u
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
-_powers: np.ndarray = np.ones(1, dtype=np.uint64)
+_INVERSE = np.uint64(pow(int(_STEP), -1, 2**64))
+#: Bytes or words hashed at once; the tables of powers are no longer, unless one word is.
+BLOCK = 1 << 16
 
 
-def _powers_to(n: int) -> np.ndarray:
-    """Powers of an odd step modulo 2**64; odd, so each has an inverse."""
-    global _powers
-    if len(_powers) < n:
-        size = max(n, 1 << 16)
-        grown = np.full(size, _STEP, dtype=np.uint64)
-        grown[0] = 1
-        _powers = np.multiply.accumulate(grown)
-    return _powers
+def _series(step: np.uint64, n: int) -> np.ndarray:
+    """Powers 0 to n - 1 modulo 2**64 of an odd number; odd, so each has an inverse."""
+    steps = np.full(n, step, dtype=np.uint64)
+    steps[:1] = 1
+    return np.multiply.accumulate(steps)
 
 
-_INVERSE = np.uint64(pow(int(_STEP), -1, 2**64))
-_inverses: np.ndarray = np.ones(1, dtype=np.uint64)
+_POWERS, _INVERSES = _series(_STEP, BLOCK), _series(_INVERSE, BLOCK)
 
 
-def _inverses_to(n: int) -> np.ndarray:
-    global _inverses
-    if len(_inverses) < n:
-        size = max(n, 1 << 16)
-        grown = np.full(size, _INVERSE, dtype=np.uint64)
-        grown[0] = 1
-        _inverses = np.multiply.accumulate(grown)
-    return _inverses
+def _powers_to(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers and their inverses; beyond a block made anew and not kept."""
+    return (_POWERS, _INVERSES) if n <= BLOCK else (_series(_STEP, n), _series(_INVERSE, n))
 
 
 def word_bounds(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -191,16 +259,23 @@ def word_hashes(raw: bytes) -> np.ndarray:
     """A 64-bit hash of each word of a text, equal words having equal hashes.
 
     The bytes form one polynomial; a word is a difference of two prefix sums brought back to
-    exponent zero, so no word is cut out of the text.
+    exponent zero, so no word is cut out of the text. Long texts are hashed in blocks of whole words.
     """
     data = np.frombuffer(raw, dtype=np.uint8)
     starts, ends = word_bounds(data)
-    if not len(starts):
-        return np.empty(0, dtype=np.uint64)
-    sums = np.zeros(len(data) + 1, dtype=np.uint64)
-    np.cumsum(_BYTE_CODE[data] * _powers_to(len(data))[: len(data)], out=sums[1:])
-    own = (sums[ends] - sums[starts]) * _inverses_to(len(data))[starts]
-    return mix(own ^ (ends - starts).astype(np.uint64))
+    out = np.empty(len(starts), dtype=np.uint64)
+    low = 0
+    while low < len(starts):
+        first = starts[low]
+        high = max(low + 1, int(np.searchsorted(ends, first + BLOCK, side="right")))
+        own = data[first : ends[high - 1]]
+        powers, inverses = _powers_to(len(own))
+        sums = np.zeros(len(own) + 1, dtype=np.uint64)
+        np.cumsum(_BYTE_CODE[own] * powers[: len(own)], out=sums[1:])
+        here, there = starts[low:high] - first, ends[low:high] - first
+        out[low:high] = mix((sums[there] - sums[here]) * inverses[here] ^ (there - here).astype(np.uint64))
+        low = high
+    return out
 
 
 _PLACE = _rng.integers(0, 2**63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -220,8 +295,12 @@ def shingle_hashes(words: np.ndarray, size: int) -> np.ndarray:
 
 def run_hashes(words: np.ndarray, size: int) -> np.ndarray:
     """Hashes of all runs of ``size`` words, from prefix sums: the cost does not depend on the size."""
-    if len(words) < size:
-        return np.empty(0, dtype=np.uint64)
-    sums = np.zeros(len(words) + 1, dtype=np.uint64)
-    np.cumsum(words * _powers_to(len(words))[: len(words)], out=sums[1:])
-    return mix((sums[size:] - sums[:-size]) * _inverses_to(len(words))[: len(words) - size + 1])
+    out = np.empty(max(0, len(words) - size + 1), dtype=np.uint64)
+    step = max(1, BLOCK - size)
+    for low in range(0, len(out), step):
+        own = words[low : low + step + size - 1]
+        powers, inverses = _powers_to(len(own))
+        sums = np.zeros(len(own) + 1, dtype=np.uint64)
+        np.cumsum(own * powers[: len(own)], out=sums[1:])
+        out[low : low + step] = mix((sums[size:] - sums[:-size]) * inverses[: len(own) - size + 1])
+    return out

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratalake.llm.common import add_columns, map_batches, table, word_hashes
+from stratalake.llm.common import add_columns, free_name, map_batches, share, table, word_hashes
 
 LABELLED = 6_000
 UNLABELLED = 6_000
@@ -258,7 +258,7 @@ FIELDS = {"p_bad": pa.float64(), "p_toxic": pa.float64(), "score": pa.float64(),
 
 def classify(docs: DataFrame, judges: dict[str, Judge | None], keep: list[str] | None = None) -> DataFrame:
     """The frame (or its columns ``keep``) with p_bad, p_toxic, score (chance to be good) and kept."""
-    shared = docs.sparkSession.sparkContext.broadcast(judges)
+    shared = share(docs.sparkSession, judges)
 
     def work(rows):
         out = []
@@ -269,12 +269,9 @@ def classify(docs: DataFrame, judges: dict[str, Judge | None], keep: list[str] |
             out.append((*chances, (1 - chances[0]) * (1 - chances[1]), kept))
         return [list(c) for c in zip(*out)] or [[], [], [], []]
 
-    columns = docs.columns
     row = F.struct("text", "lang", "source", F.col("n_chars").cast("long").alias("n_chars"))
-    name = "_row"
-    while name in columns:
-        name += "_"
-    return add_columns(docs.withColumn(name, row), name, FIELDS, work, columns if keep is None else keep)
+    name = free_name(docs, "_row")
+    return add_columns(docs.withColumn(name, row), name, FIELDS, work, docs.columns if keep is None else keep)
 
 
 def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -18,13 +18,12 @@ reported with a null id on request; repeated rows are matched row by row.
 from __future__ import annotations
 
 import string
-from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratalake.llm.common import add_columns, free_name, table
+from stratalake.llm.common import add_columns, free_name, share, table
 
 PIECE = 16
 LEAST = 32
@@ -153,11 +152,6 @@ class Matcher:
         return sorted(hits, key=_by_id)
 
 
-@lru_cache(maxsize=2)
-def _matcher(items: Items) -> Matcher:
-    return Matcher(items)
-
-
 def blocks(benchmark: DataFrame, item_id: str = "item_id", text: str = "text", unnamed: bool = False):
     """The usable items, block by block; those without an id only if ``unnamed``."""
     rows = benchmark.select(F.col(f"`{item_id}`").alias("item_id"), F.col(f"`{text}`").alias("text"))
@@ -187,15 +181,15 @@ def find_items(df: DataFrame, benchmark: DataFrame, text: str = "text", keep: li
     out = df.select(*[F.col(f"`{c}`") for c in columns], F.col(f"`{text}`").alias(source))
     found = []
     for items in blocks(benchmark, unnamed=unnamed):
-        shared = spark.sparkContext.broadcast(items)
+        shared = share(spark, items)
 
-        def match(texts, shared=shared):
-            matcher = _matcher(shared.value)
+        def matching(shared=shared):
+            matcher = Matcher(shared.value)
             keys = ("item_id", "distance", "start", "end")
-            return [[[dict(zip(keys, hit)) for hit in matcher.find(t)] for t in texts]]
+            return lambda texts: [[[dict(zip(keys, hit)) for hit in matcher.find(t)] for t in texts]]
 
         found.append(free_name(out, f"_hits{len(found)}"))
-        out = add_columns(out, source, {found[-1]: HITS}, match)
+        out = add_columns(out, source, {found[-1]: HITS}, matching, per_task=True)
     empty = F.array().cast("array<struct<item_id:bigint,distance:bigint,start:bigint,end:bigint>>")
     hits = F.concat(*[F.col(f) for f in found]) if found else empty
     return out.select(*[F.col(f"`{c}`") for c in columns], hits.alias(name))

@@ -7,7 +7,7 @@ tokenizers, whose pieces take the space before them, and ``drop_space`` those fo
 drop white space. Added tokens, such as ``<|endoftext|>``, become their own id as in the file, which ends a piece on both sides;
 a text that holds one is encoded whole.
 
-An encoder belongs to one task, and so does what it remembers.
+A worker keeps its encoder for the tasks of one stage and drops it before tasks of any other kind.
 """
 
 from __future__ import annotations
@@ -18,8 +18,10 @@ from itertools import chain
 
 import numpy as np
 
-#: Pieces a task remembers (some 50 MB); others are encoded once for each group of texts.
-REMEMBERED = 200_000
+from stratalake.llm.common import kept
+
+#: Pieces a Python worker remembers (some 150 MB); others are encoded once for each group of texts.
+REMEMBERED = 600_000
 #: Characters of text put together at once.
 GROUP_CHARS = 1 << 20
 
@@ -116,3 +118,8 @@ class Encoder:
 
     def _whole(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=np.uint32)
+
+
+def encoder(path: str, keeps_space: bool) -> Encoder:
+    """The encoder of this Python worker for a file, with what it remembers."""
+    return kept((path, keeps_space), lambda: Encoder(path, keeps_space))

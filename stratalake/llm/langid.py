@@ -26,7 +26,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratalake.llm.common import add_columns, crc32_mod3, free_name, map_batches, table
+from stratalake.llm.common import add_columns, crc32_mod3, free_name, map_batches, share, table
 
 ORDER = 4
 TRAIN_DOCS = 200
@@ -196,7 +196,7 @@ FIELDS = {"lang_pred": pa.string(), "score": pa.float64(), "bits_per_byte": pa.f
 
 def identify(df: DataFrame, model: Model, text: str = "text", keep: list[str] | None = None) -> DataFrame:
     """The frame (or its columns ``keep``) with ``lang_pred``, ``score`` and ``bits_per_byte``."""
-    shared = df.sparkSession.sparkContext.broadcast(model)
+    shared = share(df.sparkSession, model)
     return add_columns(df, text, FIELDS, lambda texts: shared.value.predict(texts), keep)
 
 
@@ -207,7 +207,7 @@ def accepted_documents(df: DataFrame, model: Model, text: str = "text") -> DataF
     those that cost more than ``MOST_BITS`` a byte in every language.
     """
     grown = model.nodes >= LEAST_NODES
-    shared = df.sparkSession.sparkContext.broadcast(model)
+    shared = share(df.sparkSession, model)
     name = free_name(df, "_accepted")
 
     def accept(texts):

@@ -39,7 +39,8 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratalake.llm.common import Scratch, map_batches, partitions, shingle_hashes, table, text_bytes, word_hashes
+from stratalake.llm.common import (Scratch, free_name, map_batches, partitions, shingle_hashes, table, text_bytes,
+                                   word_hashes)
 from stratalake.llm.components import components
 
 COORDINATES = 64
@@ -348,22 +349,23 @@ def one_of_each(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame
     found = near_duplicates(docs, words, percent)
     rank = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")
     least = found.where("`group` IS NOT NULL").groupBy("group").agg(F.min(rank).alias("m"))
-    stays = least.select(F.col("m.doc_id").alias("_id"), F.col("m.text_key").alias("_key"), F.lit(True).alias("_one"))
+    one = free_name(docs, "_one")
+    stays = least.select(F.col("m.doc_id").alias("_id"), F.col("m.text_key").alias("_key"), F.lit(True).alias(one))
     bare = found.where("`group` IS NULL").select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")).distinct()
     scratch = Scratch(docs.sparkSession)
-    chosen = scratch.write(stays.union(bare.withColumn("_one", F.lit(False))), "chosen")
+    chosen = scratch.write(stays.union(bare.withColumn(one, F.lit(False))), "chosen")
     columns = [F.col(f"d.`{c}`") for c in docs.columns]
     same = F.col("d.doc_id").eqNullSafe(F.col("c._id")) & (F.xxhash64(F.col("d.text")) == F.col("c._key"))
     joined = docs.alias("d").join(chosen.alias("c"), same)
     repeated = scratch.write(found.groupBy("doc_id", "text_key").count().where("count > 1").select("doc_id", "text_key"), "repeated")
     again = F.col("d.doc_id").eqNullSafe(F.col("r.doc_id")) & (F.xxhash64(F.col("d.text")) == F.col("r.text_key"))
-    single = joined.select(*columns, F.col("c._one")).alias("d").join(repeated.alias("r"), again, "left_anti").select(*columns)
+    own = [F.col(f"`{c}`") for c in docs.columns]
+    single = joined.select(*columns, F.col(f"c.`{one}`")).alias("d").join(repeated.alias("r"), again, "left_anti").select(*columns)
     if repeated.isEmpty():
         return single
-    bare_rows = F.col("d._one") == F.lit(False)
-    several = joined.select(*columns, F.col("c._one")).alias("d").join(repeated.alias("r"), again, "left_semi")
-    one = several.where(~bare_rows).dropDuplicates(["doc_id", "text"]).select(*[F.col(f"`{c}`") for c in docs.columns])
-    return single.union(one).union(several.where(bare_rows).select(*[F.col(f"`{c}`") for c in docs.columns]))
+    several = joined.select(*columns, F.col(f"c.`{one}`")).alias("d").join(repeated.alias("r"), again, "left_semi")
+    kept = several.where(F.col(one)).dropDuplicates(["doc_id", "text"]).select(*own)
+    return single.union(kept).union(several.where(~F.col(one)).select(*own))
 
 
 def op1_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
