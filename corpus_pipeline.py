@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratalake.llm import decontam, langid, neardup, packing, secrets
-from stratalake.llm.common import Scratch, table
+from stratalake.llm.common import Scratch, shared_within, table
 
 SHINGLE_WORDS = 5
 SIMILAR_PERCENT = 80
@@ -65,7 +65,8 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     scratch = Scratch(spark)
     docs = table(spark, sf_dir, "documents")
     for k, (name, stage) in enumerate(STAGES[:-1]):
-        docs = scratch.write(stage(spark, docs, sf_dir), f"stage-{k}-{name}")
+        with shared_within():
+            docs = scratch.write(stage(spark, docs, sf_dir), f"stage-{k}-{name}")
         if k:
             scratch.drop(f"stage-{k - 1}-{STAGES[k - 1][0]}")
     return STAGES[-1][1](spark, docs, sf_dir)
