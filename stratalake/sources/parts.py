@@ -10,7 +10,7 @@ import json
 import uuid
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -38,8 +38,22 @@ def part_numbers(df: DataFrame) -> set[int]:
     return {row[PART] for row in df.select(PART).distinct().collect()}
 
 
-def _entries(spark: SparkSession, path: str | None) -> list:
-    return [] if path is None else spark.read.schema(LISTED).parquet(path).collect()
+#: Lists read lately by their path; a list never changes. The oldest goes first.
+_KNOWN_LISTS = 64
+_known: dict[str, list[Row]] = {}
+
+
+def _remember(path: str, entries: list[Row]) -> list[Row]:
+    _known[path] = entries
+    while len(_known) > _KNOWN_LISTS:
+        _known.pop(next(iter(_known)))
+    return entries
+
+
+def _entries(spark: SparkSession, path: str | None) -> list[Row]:
+    if path is None:
+        return []
+    return _known[path] if path in _known else _remember(path, spark.read.schema(LISTED).parquet(path).collect())
 
 
 def write_parts(df: DataFrame, folder: str, earlier: str | None, touched: Iterable[int],
@@ -60,7 +74,9 @@ def write_parts(df: DataFrame, folder: str, earlier: str | None, touched: Iterab
             for e in _entries(spark, earlier) if e["part"] is not None and e["part"] not in touched]
     rows += [(r[PART], f"{data}/{PART}={r[PART]}", r["count"], *known) for r in written]
     path = f"{folder}/{_PREFIX}{uuid.uuid4().hex}"
-    small_frame(spark, sorted(rows) or [(None, None, 0, *known)], LISTED).coalesce(1).write.parquet(path)
+    rows = sorted(rows) or [(None, None, 0, *known)]
+    small_frame(spark, rows, LISTED).coalesce(1).write.parquet(path)
+    _remember(path, [Row(part=r[0], path=r[1], row_count=r[2], table_schema=r[3], id_column=r[4]) for r in rows])
     return path, sum(r[2] for r in rows)
 
 
