@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import ctypes
+import gc
 import tempfile
 import zipfile
 from collections.abc import Callable, Iterator
@@ -119,6 +120,9 @@ def shared_within():
         for made in _shared[before:]:
             made.destroy()
         del _shared[before:]
+        # What the driver learned from samples is let go as well, before the next stage begins.
+        gc.collect()
+        release_memory()
 
 
 def free_name(df: DataFrame, wanted: str) -> str:
