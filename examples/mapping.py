@@ -12,6 +12,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from stratalake.operators import dedup
 from stratalake.plans import gold, silver
 from stratalake.plans.pipeline import stage_star
 from stratalake.session import configure, scratch_path, side_by_side
@@ -127,8 +128,21 @@ def raw_calls(spark: SparkSession, sf_dir: str, columns: dict[str, str] = CALLS)
     return table(spark, sf_dir, "lineitem").selectExpr(*_ntz(_expressions(columns)))
 
 
+#: Columns of ``lineitem`` that the calls are made of, and the call columns that rank the rows of a call.
+_LINE_COLUMNS = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_shipdate",
+                 "l_returnflag", "l_linestatus")
+_RANKED_BY = ("received_ts", "ingested_ts", "rowid")
+
+
 def calls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return silver.with_durations(silver.latest_calls(raw_calls(spark, sf_dir)))
+    """The latest row of each call; the winners are found on the narrow rows of the table, and only they are spelled out."""
+    def made(*names):
+        return _ntz(_expressions({name: CALLS[name] for name in names}))
+
+    lines = table(spark, sf_dir, "lineitem").select(*_LINE_COLUMNS).selectExpr("*", *made("call_number"))
+    dealt = dedup.by_key(lines, ["call_number"])
+    latest = silver.latest_calls(dealt.selectExpr("*", *made(*_RANKED_BY)), dealt=True)
+    return silver.with_durations(latest.selectExpr(*made(*CALLS)))
 
 
 def incidents(spark: SparkSession, sf_dir: str, columns: dict[str, str] = INCIDENTS) -> DataFrame:
