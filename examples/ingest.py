@@ -200,8 +200,8 @@ def ledger_lake_paths(spark, sf):
             (F.max("files") - F.min("files")).alias("uneven"), F.max("paths").alias("paths")).withColumn("rows", F.lit(rows).cast("long"))
 
 
-def copy_files(spark, folder: str, prefix: str, to: str | None = None) -> None:
-    """Copy the CSV files of a folder under other names."""
+def copy_files(spark, folder: str, prefix: str, to: str | None = None, move: bool = False) -> None:
+    """Copy, or move, the CSV files of a folder under other names."""
     hadoop = spark._jvm.org.apache.hadoop.fs
     conf = spark._jsc.hadoopConfiguration()
     target = hadoop.Path(to or folder)
@@ -210,7 +210,7 @@ def copy_files(spark, folder: str, prefix: str, to: str | None = None) -> None:
     for status in store.listStatus(hadoop.Path(folder)):
         name = status.getPath().getName()
         if name.endswith(".csv"):
-            hadoop.FileUtil.copy(store, status.getPath(), store, hadoop.Path(target, prefix + name), False, conf)
+            hadoop.FileUtil.copy(store, status.getPath(), store, hadoop.Path(target, prefix + name), move, conf)
 
 
 def stream_drop(spark, sf):
@@ -229,7 +229,7 @@ def stream_to_gold(spark, sf):
     drop, state = scratch_path(spark, "drop"), scratch_path(spark, "stream-state")
     for part, text in (("calls", raw_call_text(spark, sf)), ("incidents", raw_incident_text(spark, sf))):
         csv.write(text, f"{drop}-{part}")
-        copy_files(spark, f"{drop}-{part}", f"{part}-", drop)
+        copy_files(spark, f"{drop}-{part}", f"{part}-", drop, move=True)
         ingest_new_files(pipe, drop, state)
     if pipe.run_incremental(drop)["pending"]:
         raise RuntimeError("the stream left contents pending")

@@ -1,5 +1,7 @@
 """What the star build sends and stores: wide rows are sorted once, numbered tables are written once."""
 
+from pathlib import Path
+
 from pyspark.sql import functions as F
 
 from stratalake.operators import dedup
@@ -40,3 +42,22 @@ def test_numbered_versions_store_each_row_once(spark, rows):
     assert rows(store.read("gold.names"), "id", "name") == rows(
         spark.range(500).select((F.col("id") + 1).alias("id"), F.format_string("n%04d", "id").alias("name")))
     assert sorted(r.id for r in store.read("gold.plain").collect()) == list(range(1, 501))
+
+
+def test_a_run_leaves_no_intermediate_tables(spark, tmp_path):
+    """Bronze, silver and gold stay; copies made on the way go, and moved files leave nothing behind."""
+    from examples import ingest
+    from stratalake.plans.pipeline import Pipeline
+    from stratalake.session import _own_scratch
+
+    def scratch():
+        found = {p.name for p in Path(_own_scratch(spark)).glob("*")}
+        return {name for name in found if name.split("-")[0] in ("changes", "members", "matched", "csv")}
+
+    before = scratch()
+    drop = ingest._drop_calls_and_incidents(spark, "/root/testdata/sf0.001")
+    pipe = Pipeline(spark, str(tmp_path / "pipe"))
+    pipe.run_incremental(f"{drop}/*")
+    assert scratch() == before
+    ingest.copy_files(spark, f"{drop}/calls", "moved-", str(tmp_path / "to"), move=True)
+    assert not list(Path(drop, "calls").glob("*.csv")) and list((tmp_path / "to").glob("moved-*.csv"))
