@@ -134,11 +134,11 @@ def hour_volume_by_type(spark, sf):
 def rf_predict(spark, sf):
     """Forest per target on the calls, as the operator trains it; predictions for every call, averaged by cell."""
     features = profile.feature_table(_calls(spark, sf))
-    found = profile.predict(profile.train_forest(features), features)
-    return found.groupBy(*profile.FEATURES).agg(
-        agg.rows().alias("n"), *[F.avg(f"pred_{c}").alias(f"pred_{c}") for c in profile.TARGETS],
-        *[F.avg(c).alias(f"actual_{c}") for c in profile.TARGETS],
-    )
+    # Calls of a cell have the same inputs and so one prediction.
+    cells = features.groupBy(*profile.FEATURES).agg(
+        agg.rows().alias("n"), *[F.avg(c).alias(f"actual_{c}") for c in profile.TARGETS])
+    found = profile.predict(profile.train_forest(features), cells)
+    return found.select(*profile.FEATURES, "n", *[f"pred_{c}" for c in profile.TARGETS], *[f"actual_{c}" for c in profile.TARGETS])
 
 
 def forest_cells(spark, sf):

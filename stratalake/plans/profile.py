@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from stratalake.functions import casts, times
 from stratalake.operators import aggregates as agg
 from stratalake.operators import filters, sampling, shape
+from stratalake.session import materialize, remove_path, scratch_path
 
 # Features, targets and categories of the call profile, and the model settings.
 FEATURES = ("hour", "dow", "month", "is_weekend")
@@ -23,6 +24,9 @@ CATEGORIES = (
 )
 TREES = 250
 MIN_LEAF = 3
+#: Groups of the rows of one combination of inputs, and the tasks that trees are grown by.
+GROUPS = 32
+GROW_TASKS = 8
 SEED = 33
 
 
@@ -73,19 +77,35 @@ def distribution_profile(features: DataFrame, ts: str = "received_ts",
 
 def train_forest(features: DataFrame, targets: Sequence[str] = TARGETS,
                  inputs: Sequence[str] = FEATURES, trees: int = TREES, depth: int = 10) -> Mapping:
-    """One random forest per target, trained on the cluster."""
+    """One random forest per target, trained on the cluster.
+
+    All rows count, but trees are grown from groups of equal inputs: a split depends on the rows of each
+    combination of inputs only through their number and average. A combination is split once more by a hash of the row into
+    ``GROUPS`` groups, which a tree's bootstrap draws or leaves out together; with fewer rows a group is about a row. Leaves hold ``MIN_LEAF`` rows
+    at least, by their weight. So the work of growing does not grow with the rows.
+    """
     from pyspark.ml import Pipeline
     from pyspark.ml.feature import VectorAssembler
     from pyspark.ml.regression import RandomForestRegressor
 
+    group = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in features.columns]), F.lit(GROUPS))
+    grouped = features.groupBy(*inputs, group.alias("_group")).agg(
+        F.count(F.lit(1)).cast("double").alias("_rows"), *[F.avg(t).alias(t) for t in targets])
+    path = scratch_path(features.sparkSession, "forest-groups")
+    # A fixed order, so that the same rows give the same forest.
+    stored = materialize(grouped.repartitionByRange(GROW_TASKS, *inputs, "_group").sortWithinPartitions(*inputs, "_group"),
+                         "forest-groups", path)
+    total = stored.agg(F.sum("_rows")).first()[0] or 1.0
     models = {}
     for target in targets:
         forest = RandomForestRegressor(
-            featuresCol="_features", labelCol=target, predictionCol=f"pred_{target}",
-            numTrees=trees, minInstancesPerNode=MIN_LEAF, maxDepth=depth, seed=SEED,
+            featuresCol="_features", labelCol=target, predictionCol=f"pred_{target}", weightCol="_rows",
+            numTrees=trees, minInstancesPerNode=1, minWeightFractionPerNode=min(MIN_LEAF / total, 0.499),
+            maxDepth=depth, seed=SEED,
         )
         vector = VectorAssembler(inputCols=list(inputs), outputCol="_features")
-        models[target] = Pipeline(stages=[vector, forest]).fit(features)
+        models[target] = Pipeline(stages=[vector, forest]).fit(stored)
+    remove_path(features.sparkSession, path)
     return models
 
 
