@@ -9,8 +9,7 @@ sum over its words and pairs of ``log(p_trusted / p_raw)``, divided by their num
 millionths, so the sum is exact in any order. A document stays if its score is at least the threshold:
 the score below which ``TRUSTED_LOSS`` of the trusted documents that were not counted lie.
 
-Trusted documents are labelled with quality 1; if there are more than ``TRUSTED_DOCS``, those with
-the least hashes of their id are taken (their ids are broadcast, which the parameter bounds). By the hash two thirds of
+Trusted documents are all that are labelled with quality 1 and not toxic. By a hash of the id two thirds of
 them are counted and the others set the threshold, so it fits documents that the ratios have not seen. Corpus counts
 cover every document.
 
@@ -26,10 +25,10 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratalake.llm.common import free_prefix, table
+from stratalake.llm.common import Scratch, free_prefix, table
+from stratalake.operators.joins import BROADCAST_ROWS
 
 BUCKETS = 4096
-TRUSTED_DOCS = 20_000
 TRUSTED_LOSS = 0.01
 LEAST_WORDS = 10
 MOST_REPEATED = 20
@@ -116,10 +115,10 @@ class Weights:
         return F.when(F.size(hashes) > 0, total / (2 * F.size(hashes) - 1) / UNIT)
 
 
-def trusted_ids(labels: DataFrame, limit: int = TRUSTED_DOCS) -> DataFrame:
-    """At most ``limit`` ids of documents labelled good, by hash; small enough to broadcast."""
+def trusted_ids(labels: DataFrame) -> DataFrame:
+    """The ids of all documents labelled good."""
     good = labels.where((F.col("quality") == 1) & (F.coalesce("toxic", F.lit(0)) == 0) & F.col("doc_id").isNotNull())
-    return good.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)
+    return good.select(F.col("doc_id").cast("long").alias("doc_id")).distinct()
 
 
 def apart(doc_id: str) -> Column:
@@ -129,28 +128,26 @@ def apart(doc_id: str) -> Column:
 
 def learn(docs: DataFrame, labels: DataFrame) -> Weights:
     """Ratios over the whole corpus, and the threshold from the trusted documents."""
-    spark = docs.sparkSession
-    ids = [r["doc_id"] for r in trusted_ids(labels).collect()]
-    if not ids:
+    scratch = Scratch(docs.sparkSession)
+    ids = scratch.write(trusted_ids(labels).withColumn("apart", apart("doc_id")), "trusted-ids")
+    found = ids.count()
+    if not found:
         return Weights([0] * BUCKETS, float("-inf"))
-    marks = spark.createDataFrame([(i,) for i in ids], "trusted_id long").withColumn("apart", apart("trusted_id"))
-    marks = F.broadcast(marks)
-    rows = docs.select("doc_id", "text").join(marks, F.col("doc_id") == F.col("trusted_id"), "left")
-    hashed = _with_hashes(rows, "text", "hashes")
-    counts = (hashed.select(F.coalesce(~F.col("apart"), F.lit(False)).alias("trusted"),
-                            F.explode(F.concat("hashes", _pairs(F.col("hashes")))).alias("h"))
-              .groupBy("trusted", _bucket(F.col("h")).alias("bucket")).count().collect())
+    # Both joins give the same rows; only ids that were counted are broadcast.
+    marks = F.broadcast(ids) if found <= BROADCAST_ROWS else ids
+    hashed = _with_hashes(docs.select("doc_id", "text"), "text", "hashes")
+    good = scratch.write(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(marks, "doc_id")
+                         .transform(lambda d: _with_hashes(d, "text", "hashes")).select("apart", "hashes"), "trusted-words")
     raw, trusted = [1] * BUCKETS, [1] * BUCKETS
-    for is_trusted, bucket, n in counts:
-        raw[bucket] += n
-        if is_trusted:
-            trusted[bucket] += n
+    for counts, rows in ((raw, hashed), (trusted, good.where(~F.col("apart")))):
+        values = rows.select(F.explode(F.concat("hashes", _pairs(F.col("hashes")))).alias("h"))
+        for bucket, n in values.groupBy(_bucket(F.col("h")).alias("bucket")).count().collect():
+            counts[bucket] += n
     whole = math.log(sum(raw) / sum(trusted))
     weights = Weights([round((math.log(t / r) + whole) * UNIT) for t, r in zip(trusted, raw)], float("-inf"))
-    scored = (docs.select("doc_id", "text").join(marks.where("apart"), F.col("doc_id") == F.col("trusted_id"), "left_semi")
-              .transform(lambda d: _with_hashes(d, "text", "hashes"))
-              .select(F.floor(weights.score(F.col("hashes")) * _STEPS_PER_UNIT).alias("step")))
+    scored = good.where("apart").select(F.floor(weights.score(F.col("hashes")) * _STEPS_PER_UNIT).alias("step"))
     steps = sorted((r["step"], r["count"]) for r in scored.groupBy("step").count().collect() if r["step"] is not None)
+    scratch.drop("trusted-ids", "trusted-words")
     allowed = TRUSTED_LOSS * sum(n for _, n in steps)
     below = 0
     for step, n in steps:

@@ -2,6 +2,7 @@ import math
 import re
 
 import xxhash
+from pyspark.sql import functions as F
 
 from stratalake.llm.rules import BUCKETS, UNIT, Weights, judge, learn, op5_quality_rules, trusted_ids
 
@@ -94,3 +95,19 @@ def test_nothing_trusted(spark):
     assert learn(docs, labels).threshold == float("-inf")
     more = labels.union(labels.selectExpr("5L", "1", "0")).union(labels.selectExpr("5L", "1", "0"))
     assert [r.doc_id for r in trusted_ids(more).collect()] == [5]
+
+
+def test_all_trusted_documents_count(spark):
+    """No document labelled good is left out, however many there are."""
+    labels = spark.range(20_500).select(F.col("id").alias("doc_id"), F.lit(1).alias("quality"), F.lit(0).alias("toxic"))
+    assert trusted_ids(labels).count() == 20_500
+
+
+def test_trusted_ids_that_are_not_broadcast_give_the_same_weights(spark, monkeypatch):
+    docs = spark.range(400).select(F.col("id").alias("doc_id"), F.concat_ws(" ", *[
+        F.concat(F.lit("w"), F.pmod(F.xxhash64("id", F.lit(k)), F.lit(50)).cast("string")) for k in range(20)]).alias("text"))
+    labels = docs.where("doc_id % 4 = 0").select("doc_id", F.lit(1).alias("quality"), F.lit(0).alias("toxic"))
+    whole = learn(docs, labels)
+    monkeypatch.setattr("stratalake.llm.rules.BROADCAST_ROWS", 0)
+    dealt = learn(docs, labels)
+    assert (dealt.values, dealt.threshold) == (whole.values, whole.threshold) and any(whole.values)
