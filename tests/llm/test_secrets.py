@@ -147,3 +147,17 @@ def test_rows_without_id_are_sampled(spark, monkeypatch):
     docs = spark.range(2000).selectExpr("CAST(NULL AS BIGINT) AS doc_id", "concat('plain text ', id) AS text")
     learn(docs, train_docs=400)
     assert 300 < rows[0] < 500
+
+
+def test_all_documents_are_learned_from(spark, monkeypatch):
+    """Every row is labelled, windows of several shards train one network, and it finds new keys."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    rows, real = [], secrets.map_batches
+    monkeypatch.setattr(secrets, "map_batches", lambda df, work, schema: rows.append((work.__name__, df)) or real(df, work, schema))
+    monkeypatch.setattr(secrets, "SHARD_ROWS", 1_500)
+    net = learn(docs)
+    assert rows[0][0] == "label_windows" and rows[0][1].count() == docs.where("text IS NOT NULL").count()
+    shards = [df for name, df in rows if name == "one_pass"]
+    assert len(shards) == secrets.EPOCHS
+    found = scan([f"set the key\n{k} and go on" for k in new_keys(11)], net)
+    assert sum(map(bool, found)) >= 0.5 * 160
