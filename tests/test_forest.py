@@ -37,7 +37,7 @@ def test_forests_grow_from_groups_of_rows(spark, monkeypatch):
         ((F.col("id") % 4) * 10 + F.col("id") % 3).cast("double").alias("response_time_sec"))
     seen, fit = [], Pipeline.fit
     monkeypatch.setattr(Pipeline, "fit", lambda self, frame: seen.append(frame.agg(F.count("*"), F.sum("_rows")).first()) or fit(self, frame))
-    models = profile.train_forest(rows, targets=["response_time_sec"], trees=5, depth=3)
+    models = profile.train_forest(rows, targets=["response_time_sec"], inputs=["hour"], trees=5, depth=3)
     assert seen[0][0] <= 4 * profile.GROUPS and seen[0][1] == 60_000
     cells = rows.select(*profile.FEATURES).distinct()
     for row in profile.predict(models, cells).collect():

@@ -61,3 +61,14 @@ def test_a_run_leaves_no_intermediate_tables(spark, tmp_path):
     assert scratch() == before
     ingest.copy_files(spark, f"{drop}/calls", "moved-", str(tmp_path / "to"), move=True)
     assert not list(Path(drop, "calls").glob("*.csv")) and list((tmp_path / "to").glob("moved-*.csv"))
+
+
+def test_narrow_rows_give_the_winners_of_spelled_out_calls(spark, rows, tmp_path):
+    """Rows without a key rank alike; the same one is kept whether calls are spelled out before or after."""
+    from examples import mapping
+
+    lines = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet").limit(400)
+    keyless = lines.withColumns({"l_orderkey": F.lit(None).cast("bigint"), "l_partkey": F.lit(None).cast(lines.schema["l_partkey"].dataType)})
+    lines.unionByName(keyless).write.parquet(str(tmp_path / "lineitem.parquet"))
+    spelled = silver.with_durations(silver.latest_calls(mapping.raw_calls(spark, str(tmp_path))))
+    assert rows(mapping.calls(spark, str(tmp_path))) == rows(spelled)
