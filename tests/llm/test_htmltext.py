@@ -88,6 +88,27 @@ def test_edges(spark, monkeypatch):
     assert main_text(pages.limit(0)).count() == 0
 
 
+def test_hosts_are_judged_whole(spark, monkeypatch):
+    """The size of a chunk has no influence: runs in more than the share of a host's different pages go, others stay."""
+    often, seldom = "this often seen notice has nine words in all", "that seldom seen notice has nine words in all"
+    rows = []
+    for k in range(40):
+        words = " ".join(f"w{k}x{i}" for i in range(20))
+        tag = "article" if k % 4 == 0 else "p"
+        rows.append((k, "http://a.b/x", f"<{tag}>{words} {often if k % 3 == 0 else ''} {seldom if k % 4 == 1 else ''} t{k}</{tag}>"))
+    rows += [(100 + k, "http://a.b/x", rows[1][2]) for k in range(30)]  # copies of a page with the seldom notice
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    results = []
+    for size in (10**6, 2000, 500, 10):
+        monkeypatch.setattr(htmltext, "CHUNK_BYTES", size)
+        results.append({r.page_id: r.text for r in main_text(pages).collect()})
+    assert results[1:] == results[:1] * 3
+    whole = boilerplate([page_blocks(h) for _, _, h in rows], [h.startswith("<article>") for _, _, h in rows])
+    assert results[0] == {r[0]: t for r, t in zip(rows, whole)}
+    assert all((often in t) == (k % 12 == 0) and (seldom in t) == (k % 4 == 1) for k, t in results[0].items() if k < 40)
+    assert seldom in results[0][100]
+
+
 def test_hosts_equal_the_url_filter(spark):
     urls = [None, "", "abc", "http://A.Com", "http://a.com?x/y", "x://y://z", "h://É.com/A#", "a://", "://b/c", "http://u@A.b:80/x#y"]
     rows = spark.createDataFrame([(u,) for u in urls], "url string").select("url", host_of("url").alias("h")).collect()
