@@ -7,6 +7,10 @@ tokenizers, whose pieces take the space before them, and ``drop_space`` those fo
 drop white space. Added tokens, such as ``<|endoftext|>``, become their own id as in the file, which ends a piece on both sides;
 a text that holds one is encoded whole.
 
+Most pieces are words of letters with marks or line ends behind them. The byte-level tokenizers of this package make one token run of each
+part of such a piece, so its words go to the tokenizer's model at once, without its normalizer and its patterns. Whether a
+tokenizer does so is tried on ``_PROBES`` when it is loaded; all other pieces go through the whole tokenizer.
+
 A worker keeps its encoder for the tasks of one stage and drops it before tasks of any other kind.
 """
 
@@ -27,6 +31,20 @@ GROUP_CHARS = 1 << 20
 
 _UNSAFE = re.compile(r" (?=\s|\Z)")
 _CUT = re.compile(r" (?=\S)")
+_WORDS = re.compile(r"( ?[A-Za-zÀ-ÖØ-öø-ÿ]+)[.,;:!?]*(?:\n[A-Za-zÀ-ÖØ-öø-ÿ]+[.,;:!?]*)*")
+_PARTS = re.compile(r" ?[A-Za-zÀ-ÖØ-öø-ÿ]+|[.,;:!?]+|\n")
+#: Pieces on which a tokenizer shows whether its words can go to its model at once.
+_PROBES = ["word", "Words,", "ÉTÉ", "Straße...\nöÿÞx?!", "iNTERNATIONALisation", "s", "ll", "D:\nd\nre"]
+
+
+def _byte_letters() -> dict[int, int]:
+    """The letters that byte-level tokenizers write bytes with; a line end stays, since words have none."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: 256 + k for k, b in enumerate(hidden) if b != 10}
+
+
+_BYTE_LETTERS = _byte_letters()
 
 
 def split_at_spaces(text: str) -> list[str]:
@@ -67,10 +85,42 @@ class Encoder:
         self.numbers = _Numbers()
         self.ids = np.empty(1 << 16, dtype=np.uint32)
         self.starts = np.zeros(1 << 16, dtype=np.int64)
+        self.model = self.tokenizer.model
+        normalizer = self.tokenizer.normalizer
+        self.lowers = normalizer is not None and normalizer.normalize_str("ÉTÉ") == "été"
+        probes = _PROBES + [" " + p for p in _PROBES] * keeps_space
+        self.cuts_words = self._by_parts(probes) == self._by_tokenizer(probes)
+
+    def _by_tokenizer(self, pieces: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
+
+    def _by_model(self, words: list[str]) -> list[list[int]]:
+        """The ids of words of letters."""
+        joined = "\n".join(words)
+        written = (joined.lower() if self.lowers else joined).encode().decode("latin-1").translate(_BYTE_LETTERS)
+        tokenize = self.model.tokenize
+        return [[t.id for t in tokenize(word)] for word in written.split("\n")] if words else []
+
+    def _by_parts(self, pieces: list[str]) -> list[list[int]]:
+        """The ids of pieces, those of words with marks and line ends put together from their parts."""
+        words, others, cut = {}, {}, {}
+        for piece in pieces:
+            match = _WORDS.fullmatch(piece)
+            if match is None:
+                others[piece] = None
+            elif match.end(1) == len(piece):
+                words[piece] = None
+            else:
+                cut[piece] = parts = _PARTS.findall(piece)
+                for part in parts:
+                    (others if part[0] in ".,;:!?\n" else words)[part] = None
+        ids = dict(zip(words, self._by_model(list(words))))
+        ids |= zip(others, self._by_tokenizer(list(others)))
+        return [[i for part in cut[p] for i in ids[part]] if p in cut else ids[p] for p in pieces]
 
     def _add_fresh(self) -> None:
         """Encode the pieces that were met for the first time."""
-        encoded = [e.ids for e in self.tokenizer.encode_batch_fast(self.numbers.fresh, add_special_tokens=False)]
+        encoded = (self._by_parts if self.cuts_words else self._by_tokenizer)(self.numbers.fresh)
         lengths = np.fromiter(map(len, encoded), dtype=np.int64, count=len(encoded))
         last = len(self.numbers)
         first = last - len(encoded)
