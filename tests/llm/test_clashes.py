@@ -1,5 +1,9 @@
 """Columns of the input that are named like columns an operator makes on its way."""
 
+import gc
+import weakref
+
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from stratalake.llm import common, cotrain, neardup, rules
@@ -30,6 +34,18 @@ def test_row_of_the_classifier(spark):
     assert row["_ROW"] == "mine" and row["kept"] and row["score"] == 1.0
 
 
+def test_shared_values_live_as_long_as_their_frames(spark):
+    """Outside of a scope nothing but frames holds a value, so it does not stay from stage to stage."""
+    made = common.share(spark, [1, 2, 3])
+    frame = common.add_columns(spark.range(2), "id", {"n": pa.int64()}, lambda ids, made=made: [[len(made.value)] * len(ids)])
+    gone = weakref.ref(made)
+    del made
+    gc.collect()
+    assert gone() is None
+    spark._jvm.java.lang.System.gc()
+    assert [r.n for r in frame.collect()] == [3, 3]
+
+
 def test_shared_values_are_released(spark):
     with common.shared_within():
         made = common.share(spark, [1, 2, 3])
