@@ -34,6 +34,17 @@ def test_encoder_equals_tokenizer(monkeypatch, name, keeps):
         assert mine.encode(["hello <|endoftext|> world"])[0].tolist() == [31373, 220, 50256, 995]
 
 
+@pytest.mark.parametrize("name, keeps", [("byte_bpe_50k.json", True), ("word_bpe_49k.json", False)])
+def test_words_by_parts_equal_tokenizer(name, keeps):
+    mine = Encoder(vocabulary(name), keeps)
+    rng = random.Random(5)
+    pieces = ["".join(rng.choices("abSÉßÿ×÷µªºΣ.,;:!?'\n)² ", k=rng.randint(1, 12))) for _ in range(4000)]
+    pieces += [" Word.\nNext", "a.Σ", "ÀÉ,", " été!?\nd:", "x\ny\nz."]
+    if not keeps:  # its pieces hold no spaces
+        pieces = [p.replace(" ", "") or "x" for p in pieces]
+    assert mine.cuts_words and mine._by_parts(pieces) == mine._by_tokenizer(pieces)
+
+
 @given(st.text(alphabet=ALPHABET, max_size=40))
 @settings(max_examples=300, deadline=None)
 def test_cuts_keep_the_text(text):
