@@ -16,7 +16,10 @@
    ``min(a, b)`` of the pivot's and the shingles both have beside it. So pairs of one pivot are only made where
    they share shingles outside it (an inverted join on those) or where ``min(a, b)`` is enough by itself. The bound
    holds for any set in the pivot's place, so what many members share beside the pivot is added to it first, and
-   members are compared once more, with the one that has most of this widened pivot.
+   members are compared once more, with the one that has most of this widened pivot. What a member lacks of its pivot is kept as
+   ``BITS`` bits, so that ``min(a, b)`` is lowered by what one of two members lacks and the other has.
+   Texts that share a passage are near one pivot only by chance, so nodes whose lists hold members of a larger pivot are
+   compared with that one as well (regroup). So they are told by their shingles, not by pairs of those that only resemble each other.
    Pairs of different pivots, in different components, are made from the lists that hold both (skip); those with
    ``COLLISIONS`` common postings and ``t`` equal coordinates count. All are confirmed on the full sets.
 6. Components are found with small tables of ids; a document's component is the least ``doc_id`` in it.
@@ -50,6 +53,10 @@ MISS = 1e-6
 GROUP = 256
 #: A shingle beside the pivot that so many of its members have counts as the pivot's.
 POPULAR = 16
+#: Bits that tell which shingles of its pivot a member lacks.
+BITS = 256
+#: A pivot of a larger group is taken if a node has such a part of its own shingles in common with it.
+COVERED = 1 / 3
 
 _rng = np.random.default_rng(64)
 _XOR = _rng.integers(0, 2**32, COORDINATES, dtype=np.uint32)[:, None]
@@ -106,13 +113,20 @@ def _sign(size: int):
     return work
 
 
-PAIR = "a long, b long, alike boolean, common long, n_a long, n_b long, rest array<long>"
+PAIR = "a long, b long, alike boolean, common long, n_a long, n_b long, rest array<long>, lost array<long>"
+
+
+def lost_bits(shingles: np.ndarray) -> np.ndarray:
+    """A set as ``BITS`` bits; their number is never more than the size of the set."""
+    bits = np.zeros(BITS, dtype=bool)
+    bits[shingles % np.uint64(BITS)] = True
+    return np.packbits(bits).view(np.int64)
 
 
 def _compare(size: int, percent: int, with_rest: bool):
     """Stream texts sorted by anchor; the anchor comes first, then those to compare with it.
 
-    ``rest`` holds the shingles of b that a has not.
+    ``rest`` holds the shingles of b that a has not, ``lost`` those of a that b has not, as bits.
     """
 
     def work(batches):
@@ -128,11 +142,12 @@ def _compare(size: int, percent: int, with_rest: bool):
                     outside = np.setdiff1d(other, own, assume_unique=True)
                     both = len(other) - len(outside)
                     alike = 100 * both >= percent * (len(own) + len(outside))
-                    rows.append((a, b, alike, both, len(own), len(other), outside.view(np.int64) if with_rest else []))
-            columns = list(zip(*rows)) or [()] * 7
-            types = [pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64())]
+                    lost = lost_bits(np.setdiff1d(own, other, assume_unique=True)) if with_rest else []
+                    rows.append((a, b, alike, both, len(own), len(other), outside.view(np.int64) if with_rest else [], lost))
+            columns = list(zip(*rows)) or [()] * 8
+            types = [pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64())]
             yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, types)],
-                                             names=["a", "b", "alike", "common", "n_a", "n_b", "rest"])
+                                             names=["a", "b", "alike", "common", "n_a", "n_b", "rest", "lost"])
 
     return work
 
@@ -211,21 +226,46 @@ class _Join:
                  .select("a", F.col("id").alias("b")).distinct())
         return self.confirm(self._matching(pairs, min(self.least, COORDINATES // 2)), "star", with_rest=True)
 
-    def pivots(self, compared: DataFrame, found: DataFrame) -> DataFrame:
+    def pivots(self, compared: DataFrame, found: DataFrame, label: str = "members") -> DataFrame:
         """Each node's pivot: of the nodes it was compared with the one with most others, or the node if it is one."""
         weight = compared.groupBy("a").agg(F.count("*").alias("members"))
         of = compared.join(weight, "a").select(
             F.col("b").alias("id"), F.struct("members", "common", (-F.col("a")).alias("a")).alias("best"),
-            "alike", F.col("n_b").alias("n"), "rest")
-        best = of.groupBy("id").agg(F.max_by(F.struct("best", "alike", "n", "rest"), "best").alias("x")).select(
+            "alike", F.col("n_b").alias("n"), F.col("n_a").alias("whole"), "rest", "lost")
+        best = of.groupBy("id").agg(F.max_by(F.struct("best", "alike", "n", "whole", "rest", "lost"), "best").alias("x")).select(
             "id", (-F.col("x.best.a")).alias("pivot"), F.col("x.best.members").alias("members"),
-            F.col("x.best.common").alias("common"), "x.alike", "x.n", "x.rest")
+            F.col("x.best.common").alias("common"), "x.alike", "x.n", "x.whole", "x.rest", "x.lost")
         own = compared.groupBy(F.col("a").alias("id")).agg(F.max("n_a").alias("n"), F.count("*").alias("members")).select(
             "id", F.col("id").alias("pivot"), "members", F.col("n").alias("common"), F.lit(True).alias("alike"), "n",
-            F.array().cast("array<long>").alias("rest"))
+            F.col("n").alias("whole"), F.array().cast("array<long>").alias("rest"),
+            F.array_repeat(F.lit(0).cast("long"), BITS // 64).alias("lost"))
         both = best.union(own).groupBy("id").agg(
-            F.max_by(F.struct("pivot", "common", "alike", "n", "rest"), F.struct("members", "common")).alias("x")).select("id", "x.*")
-        return self.scratch.write(both.join(found, "id", "left").withColumn("c", F.coalesce("component", "id")).drop("component"), "members")
+            F.max_by(F.struct("pivot", "members", "common", "alike", "n", "whole", "rest", "lost"), F.struct("members", "common")).alias("x")).select("id", "x.*")
+        return self.scratch.write(both.join(found, "id", "left").withColumn("c", F.coalesce("component", "id")).drop("component"), label)
+
+    def regroup(self, members: DataFrame, found: DataFrame) -> DataFrame:
+        """Nodes of lists with several pivots and components compared with the pivot of most members there.
+
+        Such a pivot only groups: pairs in it are told by ``beside``, others by ``across``, whichever a node gets. A node is compared
+        at most once for each of its postings.
+        """
+        labelled = self.scratch.write(self._mixed_lists(members, found, "regroup"), "regroup-lists")
+        weight = members.groupBy(F.col("pivot").alias("p")).agg(F.max("members").alias("members"))
+        heads = labelled.select("token", "p").distinct().join(weight, "p").groupBy("token").agg(
+            F.max(F.struct("members", (-F.col("p")).alias("p"))).alias("head")).select("token", (-F.col("head.p")).alias("a"))
+        pairs = (labelled.join(self.scratch.write(heads, "regroup-heads"), "token").where((F.col("id") != F.col("a")) & (F.col("p") != F.col("a")))
+                 .groupBy("a", F.col("id").alias("b")).count().where(F.col("count") >= COLLISIONS).select("a", "b"))
+        compared = self.confirm(pairs, "regroup", with_rest=True)
+        return compared.where(F.col("alike") | (F.col("common") >= F.col("n_b") * COVERED))
+
+    def _mixed_lists(self, members: DataFrame, found: DataFrame, label: str) -> DataFrame:
+        """The lists that hold nodes of different pivots and components, with both."""
+        labelled = (self.postings.join(members.select("id", "pivot"), "id", "left").join(found, "id", "left").select(
+            "token", "id", "n", F.coalesce("pivot", "id").alias("p"), F.coalesce("component", "id").alias("c")))
+        labelled = self.scratch.write(labelled, f"{label}-labelled")
+        mixed = labelled.groupBy("token").agg(
+            F.min("c").alias("low"), F.max("c").alias("high"), F.min("p").alias("first"), F.max("p").alias("last"))
+        return labelled.join(mixed.where("low < high AND first < last").select("token"), "token", "left_semi")
 
     def _enough(self, common, total):
         """Whether so many common shingles suffice for sets of this total size."""
@@ -244,7 +284,8 @@ class _Join:
                                      .where(F.col("held") >= POPULAR).select("pivot", "shingle"), "popular")
         gained = outside.join(popular, ["pivot", "shingle"]).groupBy("id").agg(F.count("*").alias("gained"))
         self.outside = self.scratch.write(outside.join(popular, ["pivot", "shingle"], "left_anti"), "outside")
-        wide = group.drop("rest").join(gained, "id", "left").withColumn("common", F.col("common") + F.coalesce("gained", F.lit(0))).drop("gained")
+        wide = group.drop("rest").join(gained, "id", "left").withColumn("gained", F.coalesce("gained", F.lit(0)))
+        wide = wide.withColumn("common", F.col("common") + F.col("gained"))
         return self.scratch.write(wide, "wide")
 
     def second_star(self, wide: DataFrame) -> DataFrame:
@@ -274,24 +315,21 @@ class _Join:
         several = group.groupBy("pivot").agg(F.min("c").alias("low"), F.max("c").alias("high"), F.max_by("c", "common").alias("main"))
         main = self.scratch.write(several.where("low < high").select("pivot", "main"), "main-components")
         outsiders = group.join(main, "pivot").where("c <> main").select("pivot", F.col("id").alias("a"), F.col("c").alias("c_a"),
-                                                        F.col("n").alias("n_a"), F.col("common").alias("common_a"))
+                                                        F.col("n").alias("n_a"), F.col("common").alias("common_a"),
+                                                        F.col("gained").alias("gained_a"), F.col("lost").alias("lost_a"), "whole")
         sizes = group.groupBy("pivot", "n").agg(F.max("common").alias("top"))
         fits = self._enough(F.least("common_a", "top"), F.col("n_a") + F.col("n")) & self._close(F.col("n_a"), F.col("n"))
         possible = self.scratch.write(outsiders.join(sizes, "pivot").where(fits).drop("top"), "possible")
-        near = (possible.join(group.select("pivot", "n", F.col("id").alias("b"), "c", "common"), ["pivot", "n"])
-                .where((F.col("a") != F.col("b")) & (F.col("c_a") != F.col("c"))
-                       & self._enough(F.least("common_a", "common"), F.col("n_a") + F.col("n")))
+        lacking = sum((F.bit_count(F.col("lost_a")[k].bitwiseOR(F.col("lost")[k])) for k in range(BITS // 64)), F.lit(0))
+        most = F.least("common_a", "common", F.col("whole") - lacking + F.least("gained_a", "gained"))
+        near = (possible.join(group.select("pivot", "n", F.col("id").alias("b"), "c", "common", "gained", "lost"), ["pivot", "n"])
+                .where((F.col("a") != F.col("b")) & (F.col("c_a") != F.col("c")) & self._enough(most, F.col("n_a") + F.col("n")))
                 .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
         return shared.union(near)
 
     def across(self, members: DataFrame, found: DataFrame) -> DataFrame:
         """Pairs of different pivots and components that some lists hold together."""
-        labelled = (self.postings.join(members.select("id", "pivot"), "id", "left").join(found, "id", "left").select(
-            "token", "id", "n", F.coalesce("pivot", "id").alias("p"), F.coalesce("component", "id").alias("c")))
-        labelled = self.scratch.write(labelled, "labelled")
-        mixed = labelled.groupBy("token").agg(
-            F.min("c").alias("low"), F.max("c").alias("high"), F.min("p").alias("first"), F.max("p").alias("last"))
-        lists = self.scratch.write(labelled.join(mixed.where("low < high AND first < last").select("token"), "token", "left_semi"), "lists")
+        lists = self.scratch.write(self._mixed_lists(members, found, "across"), "lists")
         groups = lists.select("token", "p").distinct()
         two = (groups.join(groups.withColumnRenamed("p", "q"), "token").where("p < q"))
         a = lists.select("token", "p", F.col("id").alias("a"), F.col("n").alias("n_a"), F.col("c").alias("c_a"))
@@ -308,6 +346,13 @@ class _Join:
         links = self.scratch.write(compared.where("alike").select("a", "b"), "links")
         found = self.scratch.write(components(links, self.scratch, "star"), "found")
         members = self.pivots(compared, found)
+        again = self.regroup(members, found)
+        if not again.isEmpty():
+            alike = again.where("alike").select("a", "b")
+            if not alike.isEmpty():
+                links = self.scratch.write(links.union(alike), "links-1")
+                found = self.scratch.write(components(links, self.scratch, "regroup"), "found-1")
+            members = self.pivots(compared.union(again), found, "members-1")
         wide = self.widen(members)
         second = self.second_star(wide)
         if not second.isEmpty():
@@ -321,9 +366,10 @@ class _Join:
             "key", "doc_id", F.coalesce("component", "id").alias("group"))
         least = groups.groupBy("group").agg(F.min("doc_id").alias("component_id"))
         classes = self.scratch.write(groups.join(least, "group").select("key", "group", "component_id"), "classes")
-        self.scratch.drop("nodes", "postings", "heads", "star-compared", "members", "mixed-pivots", "outside-all",
+        self.scratch.drop("nodes", "postings", "heads", "star-compared", "members", "regroup-labelled", "regroup-lists", "regroup-heads",
+                          "regroup-compared", "members-1", "links-1", "found-1", "mixed-pivots", "outside-all",
                           "popular", "outside", "outside-now", "outside-lists", "wide", "wide-now", "second-pivots", "second-compared",
-                          "main-components", "possible", "labelled", "lists", "more-compared", "links", "links-2", "found", "found-2")
+                          "main-components", "possible", "across-labelled", "lists", "more-compared", "links", "links-2", "found", "found-2")
         named = self.rows.where("key IS NOT NULL").join(classes, "key").select(
             "doc_id", "text_key", "n_shingles", "group", "component_id")
         bare = self.rows.where("key IS NULL").select(

@@ -2,6 +2,7 @@ import re
 
 import numpy as np
 
+from stratalake.llm import neardup
 from stratalake.llm.neardup import (match_threshold, near_duplicates, one_of_each, op1_near_duplicates, shingle_set,
                                     signature)
 
@@ -130,3 +131,41 @@ def test_signature_estimates():
     assert abs(np.mean(errors)) < 0.03
     assert 30 < match_threshold(80) < match_threshold(85) < 45
     assert len(shingle_set(b"a b c d a b c d", 3)) == 4
+
+
+def test_pairs_do_not_grow_with_the_square_of_a_group(spark, monkeypatch):
+    """Edited copies of one text, and texts that share a passage: few pairs are compared besides those with a pivot."""
+    compared = {}
+    confirm = neardup._Join.confirm
+
+    def counted(self, pairs, label, with_rest=False):
+        out = confirm(self, pairs, label, with_rest)
+        compared[label] = out.count()
+        return out
+
+    monkeypatch.setattr(neardup._Join, "confirm", counted)
+    for many in (200, 400):
+        rng = np.random.default_rng(3)
+        base = [f"w{k}" for k in rng.integers(0, 5000, 150)]
+        texts = {}
+        for i in range(many):
+            mine = list(base)
+            for k in rng.choice(150, rng.integers(1, 6), replace=False):
+                mine[k] = f"x{rng.integers(10**9)}"
+            texts[i] = " ".join(mine)
+        passage = [f"p{k}" for k in range(60)]
+        for i in range(1000, 1000 + many):
+            own = [f"q{rng.integers(10**9)}" for _ in range(rng.integers(10, 60))]
+            texts[i] = " ".join(own[:5] + passage + own[5:])
+        docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+        got = {r.doc_id: (r.n_shingles, r.component_id) for r in near_duplicates(docs, 5, 80).collect()}
+        assert got == brute(texts, 5, 80)
+        assert compared["more"] <= len(texts) // 2, compared
+
+
+def test_bits_never_count_more_than_a_set_has():
+    rng = np.random.default_rng(8)
+    for n in (0, 1, 40, 5000):
+        bits = neardup.lost_bits(rng.integers(0, 2**63, n, dtype=np.uint64))
+        count = sum(int(b).bit_count() for b in bits.view(np.uint64))
+        assert len(bits) == neardup.BITS // 64 and min(n, 1) <= count <= n
