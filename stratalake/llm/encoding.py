@@ -2,7 +2,7 @@
 
 The tokenizers of this package never look across a space that stands between a character and another that is
 not white space, so a text is cut there, each distinct piece is encoded once by the tokenizer and the ids of the
-text are put together from the pieces. ``split_at_spaces`` makes cuts that change nothing for byte-level
+text are put together from the pieces. ``at_spaces`` makes cuts that change nothing for byte-level
 tokenizers, whose pieces take the space before them, and ``drop_space`` those for tokenizers that
 drop white space. Added tokens, such as ``<|endoftext|>``, become their own id as in the file, which ends a piece on both sides;
 a text that holds one is encoded whole.
@@ -21,13 +21,15 @@ import re
 from itertools import chain
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 from stratalake.llm.common import kept
 
 #: Pieces a Python worker remembers (some 150 MB); others are encoded once for each group of texts.
 REMEMBERED = 600_000
 #: Characters of text put together at once.
-GROUP_CHARS = 1 << 20
+GROUP_CHARS = 1 << 22
 
 _UNSAFE = re.compile(r" (?=\s|\Z)")
 _CUT = re.compile(r" (?=\S)")
@@ -45,6 +47,7 @@ def _byte_letters() -> dict[int, int]:
 
 
 _BYTE_LETTERS = _byte_letters()
+_HIDDEN = re.compile("[\x80-\xa0\xad]")
 
 
 def split_at_spaces(text: str) -> list[str]:
@@ -53,9 +56,22 @@ def split_at_spaces(text: str) -> list[str]:
     return parts[:1] + [" " + p for p in parts[1:]]
 
 
-def drop_space(text: str) -> list[str]:
-    """Pieces between spaces and line ends."""
-    return [p for p in text.replace("\n", " ").split(" ") if p]
+def _listed(pieces: list[list[str]]) -> tuple[np.ndarray, pa.Array]:
+    counts = np.fromiter(map(len, pieces), dtype=np.int64, count=len(pieces))
+    return counts, pa.array(list(chain.from_iterable(pieces)), pa.large_string())
+
+
+def at_spaces(texts: list[str]) -> tuple[np.ndarray, pa.Array]:
+    """``split_at_spaces`` of several texts: the number of pieces of each, and all pieces."""
+    return _listed([split_at_spaces(t) if t else [] for t in texts])
+
+
+def drop_space(texts: list[str]) -> tuple[np.ndarray, pa.Array]:
+    """Pieces of several texts between spaces and line ends: the number of each, and all pieces."""
+    parts = pc.split_pattern(pc.replace_substring(pa.array(texts, pa.large_string()), "\n", " "), " ")
+    full = pc.binary_length(parts.values).to_numpy() > 0
+    before = np.concatenate(([0], np.cumsum(full)))
+    return np.diff(before[parts.offsets.to_numpy()]), parts.values.filter(pa.array(full))
 
 
 class _Numbers(dict):
@@ -81,7 +97,7 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         added = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
         self.added = re.compile("|".join(map(re.escape, added))) if added else None
-        self.cut = split_at_spaces if keeps_space else drop_space
+        self.cut = at_spaces if keeps_space else drop_space
         self.numbers = _Numbers()
         self.ids = np.empty(1 << 16, dtype=np.uint32)
         self.starts = np.zeros(1 << 16, dtype=np.int64)
@@ -97,7 +113,8 @@ class Encoder:
     def _by_model(self, words: list[str]) -> list[list[int]]:
         """The ids of words of letters."""
         joined = "\n".join(words)
-        written = (joined.lower() if self.lowers else joined).encode().decode("latin-1").translate(_BYTE_LETTERS)
+        written = (joined.lower() if self.lowers else joined).encode().decode("latin-1")
+        written = _HIDDEN.sub(lambda m: chr(_BYTE_LETTERS[ord(m[0])]), written).replace(" ", chr(_BYTE_LETTERS[32]))
         tokenize = self.model.tokenize
         return [[t.id for t in tokenize(word)] for word in written.split("\n")] if words else []
 
@@ -105,6 +122,9 @@ class Encoder:
         """The ids of pieces, those of words with marks and line ends put together from their parts."""
         words, others, cut = {}, {}, {}
         for piece in pieces:
+            if piece.isascii() and piece.isalpha():
+                words[piece] = None
+                continue
             match = _WORDS.fullmatch(piece)
             if match is None:
                 others[piece] = None
@@ -153,13 +173,16 @@ class Encoder:
 
     def _group(self, texts: list[str | None]) -> list[np.ndarray]:
         alone = {k for k, t in enumerate(texts) if t and self.added and self.added.search(t)}
-        cut = [self.cut(t) if t and k not in alone else [] for k, t in enumerate(texts)]
-        counts = np.fromiter(map(len, cut), dtype=np.int64, count=len(cut))
-        which = np.fromiter(map(self.numbers.__getitem__, chain.from_iterable(cut)), dtype=np.int64, count=int(counts.sum()))
+        counts, cut = self.cut(["" if t is None or k in alone else t for k, t in enumerate(texts)])
+        # Each distinct piece of the group is looked up once.
+        distinct = cut.dictionary_encode()
+        pieces = distinct.dictionary.to_numpy(zero_copy_only=False).tolist()
+        numbers = np.fromiter(map(self.numbers.__getitem__, pieces), dtype=np.int64, count=len(pieces))
+        which = distinct.indices.to_numpy()
         if self.numbers.fresh:
             self._add_fresh()
-        starts = self.starts[which]
-        lengths = self.starts[which + 1] - starts
+        first = self.starts[numbers]
+        starts, lengths = first[which], (self.starts[numbers + 1] - first)[which]
         ends = np.concatenate(([0], np.cumsum(lengths)))
         whole = self.ids[np.arange(ends[-1]) + np.repeat(starts - ends[:-1], lengths)]
         edges = ends[np.concatenate(([0], np.cumsum(counts)))]

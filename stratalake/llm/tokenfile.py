@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratalake.llm.common import Scratch, map_batches, partitions, table
-from stratalake.llm.encoding import encoder
+from stratalake.llm.encoding import GROUP_CHARS, encoder
 from stratalake.llm.packing import vocabulary
 
 END = 1
@@ -212,6 +212,20 @@ class Segment:
 SEGMENTS = "file int, segment int, before long, n_tokens long, doc_ids array<long>, content binary"
 
 
+def _together(batches):
+    """Ids and texts of several batches, so that a piece is looked up and encoded once for all of them."""
+    doc_ids, texts, size = [], [], 0
+    for batch in batches:
+        doc_ids += batch.column(0).to_pylist()
+        texts += batch.column(1).to_pylist()
+        size += batch.column(1).nbytes
+        if size >= GROUP_CHARS:
+            yield doc_ids, texts
+            doc_ids, texts, size = [], [], 0
+    if doc_ids:
+        yield doc_ids, texts
+
+
 def _write(path: str, end: int):
     def work(batches):
         file = TaskContext.get().partitionId()
@@ -230,8 +244,8 @@ def _write(path: str, end: int):
             waiting, names, size = [], [], 0
             return row
 
-        for batch in batches:
-            for doc_id, ids in zip(batch.column(0).to_pylist(), encoder(path, False).encode(batch.column(1).to_pylist())):
+        for doc_ids, texts in _together(batches):
+            for doc_id, ids in zip(doc_ids, encoder(path, False).encode(texts)):
                 waiting.append(np.append(ids, np.uint32(end)))
                 names.append(doc_id)
                 size += len(waiting[-1])

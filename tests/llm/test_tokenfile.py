@@ -1,10 +1,11 @@
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
-from stratalake.llm import tokenfile
+from stratalake.llm import encoding, tokenfile
 from stratalake.llm.packing import vocabulary
 from stratalake.llm.tokenfile import (CHECKPOINT, LANES, PRECISION, CorruptFile, Segment, frequencies, op8_token_files,
                                       read_tokens, write_segment, write_tokens)
@@ -84,3 +85,23 @@ def test_edges(spark, monkeypatch):
         got = sorted((tuple(r) for r in read_tokens(spark, folder).collect()), key=lambda r: r[1])
         assert got == expected(data)
     assert tokenfile.SEGMENT > tokenfile.BLOCK
+
+
+def test_pieces_are_looked_up_once_for_several_batches():
+    class Counted(encoding._Numbers):
+        asked = 0
+
+        def __getitem__(self, piece):
+            self.asked += 1
+            return super().__getitem__(piece)
+
+    plain = Tokenizer.from_file(vocabulary("word_bpe_49k.json"))
+    texts = ["Tea, tea\n tea", None, "", " \n", "é tea é\u00a0x Åå", "a\tb <|endoftext|> tea", "1.2 $$x\u0085y tea,\n"] * 40
+    batches = [pa.record_batch([pa.array(range(7)), pa.array(texts[:7])], names=["doc_id", "text"])] * 40
+    ((ids, together),) = tokenfile._together(batches)
+    assert (ids, together) == (list(range(7)) * 40, texts) and not list(tokenfile._together([]))
+    encoder = encoding.Encoder(vocabulary("word_bpe_49k.json"), False)
+    encoder.numbers = Counted()
+    got = [x.tolist() for x in encoder.encode(texts)]
+    assert got == [e.ids for e in plain.encode_batch([t or "" for t in texts], add_special_tokens=False)]
+    assert encoder.numbers.asked == len(encoder.numbers) < 20
