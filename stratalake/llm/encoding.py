@@ -7,6 +7,10 @@ tokenizers, whose pieces take the space before them, and ``drop_space`` those fo
 drop white space. Added tokens, such as ``<|endoftext|>``, become their own id as in the file, which ends a piece on both sides;
 a text that holds one is encoded whole.
 
+The byte-level tokenizers never look across the place between a letter and a mark either, nor past a single line end between characters
+that are not white space. ``at_spaces`` cuts there as well, where the tokenizer shows on probes that it is so, so that a
+word is remembered and encoded once, not once with each mark behind it.
+
 Most pieces are words of letters with marks or line ends behind them. The byte-level tokenizers of this package make one token run of each
 part of such a piece, so its words go to the tokenizer's model at once, without its normalizer and its patterns. Whether a
 tokenizer does so is tried on ``_PROBES`` when it is loaded; all other pieces go through the whole tokenizer.
@@ -18,7 +22,8 @@ from __future__ import annotations
 
 import os
 import re
-from itertools import chain
+from functools import partial
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -56,14 +61,71 @@ def split_at_spaces(text: str) -> list[str]:
     return parts[:1] + [" " + p for p in parts[1:]]
 
 
-def _listed(pieces: list[list[str]]) -> tuple[np.ndarray, pa.Array]:
-    counts = np.fromiter(map(len, pieces), dtype=np.int64, count=len(pieces))
-    return counts, pa.array(list(chain.from_iterable(pieces)), pa.large_string())
-
-
-def at_spaces(texts: list[str]) -> tuple[np.ndarray, pa.Array]:
-    """``split_at_spaces`` of several texts: the number of pieces of each, and all pieces."""
-    return _listed([split_at_spaces(t) if t else [] for t in texts])
+def _white_codes() -> np.ndarray:
+    """White space beyond ASCII, the first three bytes of each (the third is 0 after two) as one number."""
+    wide = [chr(c).encode() for c in range(128, 0x3001) if chr(c).isspace()]
+    return np.array([int.from_bytes(b.ljust(3, b"\0"), "big") for b in wide])
+
+
+_WIDE_WHITE = _white_codes()
+_BYTES = np.arange(256)
+_IS_WHITE = np.array([chr(b).isspace() for b in range(128)] + [False] * 128)
+_LEADS_WHITE = np.isin(_BYTES, _WIDE_WHITE >> 16)
+_IS_LETTER = np.array([b < 128 and chr(b).isalpha() for b in range(256)])
+_IS_SHOWN = (_BYTES > 32) & (_BYTES < 127)
+_IS_MARK = _IS_SHOWN & ~_IS_LETTER & ~np.isin(_BYTES, list(b"0123456789"))
+_MARKS = bytes(_BYTES[_IS_MARK].tolist()).decode()
+
+
+def _space_cuts(data: np.ndarray) -> np.ndarray:
+    """Places of spaces before a character that is not white space; three bytes more follow the texts."""
+    at = np.flatnonzero(data[:-3] == 32)
+    after = data[at + 1]
+    at, after = at[~_IS_WHITE[after]], after[~_IS_WHITE[after]]
+    wide = np.flatnonzero(_LEADS_WHITE[after])
+    if len(wide):
+        b = data[at[wide, None] + [1, 2, 3]].astype(np.int64)
+        code = (b[:, 0] << 16) + (b[:, 1] << 8) + np.where(b[:, 0] < 0xE0, 0, b[:, 2])
+        at = np.delete(at, wide[np.isin(code, _WIDE_WHITE)])
+    return at
+
+
+def _mark_cuts(data: np.ndarray) -> np.ndarray:
+    """Places of ASCII marks after a letter, and both sides of a single line end between characters that are not white space."""
+    letter = _IS_LETTER[data]
+    # The second byte of a letter from U+00C0 to U+00FF.
+    letter[1:] |= (data[:-1] == 0xC3) & (data[1:] != 0x97) & (data[1:] != 0xB7)
+    cut = np.zeros(len(data), dtype=bool)
+    cut[1:] = letter[:-1] & _IS_MARK[data[1:]]
+    ends = np.flatnonzero(data[1:-1] == 10) + 1
+    ends = ends[_IS_SHOWN[data[ends - 1]] | letter[ends - 1]]
+    cut[ends] = True
+    after = data[ends + 1]
+    cut[ends[_IS_SHOWN[after] | (after == 0xC3)] + 1] = True
+    return np.flatnonzero(cut)
+
+
+def at_spaces(texts: list[str], at_marks: bool = False) -> tuple[np.ndarray, pa.Array]:
+    """The cuts of ``split_at_spaces`` in several texts: the number of pieces of each, and all pieces, none of them empty.
+
+    With ``at_marks`` words of letters are also cut from the marks and the line end behind them. The pieces are views of
+    the texts.
+    """
+    joined = pa.array(texts, pa.large_string())
+    _, places, raw = joined.buffers()
+    offsets = np.frombuffer(places, np.int64, len(texts) + 1) if len(texts) else np.zeros(1, np.int64)
+    data = np.zeros(offsets[-1] + 3, dtype=np.uint8)
+    if offsets[-1]:
+        data[:-3] = np.frombuffer(raw, np.uint8, offsets[-1])
+    edge = np.zeros(len(data), dtype=bool)
+    edge[_space_cuts(data)] = True
+    edge[offsets[1:] - 1] = False  # a space that ends a text
+    if at_marks:
+        edge[_mark_cuts(data)] = True
+    edge[offsets] = True
+    bounds = np.flatnonzero(edge[: offsets[-1] + 1])
+    pieces = pa.LargeStringArray.from_buffers(len(bounds) - 1, pa.py_buffer(bounds), pa.py_buffer(data))
+    return np.diff(np.searchsorted(bounds, offsets)), pieces
 
 
 def drop_space(texts: list[str]) -> tuple[np.ndarray, pa.Array]:
@@ -106,6 +168,16 @@ class Encoder:
         self.lowers = normalizer is not None and normalizer.normalize_str("ÉTÉ") == "été"
         probes = _PROBES + [" " + p for p in _PROBES] * keeps_space
         self.cuts_words = self._by_parts(probes) == self._by_tokenizer(probes)
+        if keeps_space and self._cuts_at_marks():
+            self.cut = partial(at_spaces, at_marks=True)
+
+    def _cuts_at_marks(self) -> bool:
+        """Whether the tokenizer never looks across the cuts at marks and line ends."""
+        probes = [f"{p}{m}{q}" for m in _MARKS for p, q in (("a", ""), (" É", "b"), ("it", "s 1"), ("we", f"{m}ll.\nA"))]
+        probes += _PROBES + ["1\n2", "a\n\nb", "a.\n É", "x,\n\n", "ÿ\nß"]
+        counts, pieces = at_spaces(probes, at_marks=True)
+        encoded = iter(self._by_tokenizer(pieces.to_pylist()))
+        return [list(chain.from_iterable(islice(encoded, n))) for n in counts] == self._by_tokenizer(probes)
 
     def _by_tokenizer(self, pieces: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]

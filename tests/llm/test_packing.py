@@ -45,6 +45,32 @@ def test_words_by_parts_equal_tokenizer(name, keeps):
     assert mine.cuts_words and mine._by_parts(pieces) == mine._by_tokenizer(pieces)
 
 
+def test_words_are_encoded_once_whatever_marks_follow():
+    words = ["Tea", "tea", "crème", "été", "ÿa"]
+    ends = [".", ",", "...", "!?", "###", ").", ".\nTea", "\nété", ""]
+    texts = [" ".join(w + e for w in words) for e in ends] + ["\n".join(words)]
+    mine = Encoder(vocabulary("byte_bpe_50k.json"), True)
+    encoded, by_model = [], mine._by_model
+    mine._by_model = lambda words: encoded.extend(words) or by_model(words)
+    plain = Tokenizer.from_file(vocabulary("byte_bpe_50k.json"))
+    got = [x.tolist() for text in texts for x in mine.encode([text])]
+    assert got == [e.ids for e in plain.encode_batch(texts, add_special_tokens=False)]
+    # With and without the space before them.
+    assert len(encoded) == len(set(encoded)) <= 2 * len(words)
+    assert len(mine.numbers) <= 2 * len(words) + len(ends)
+
+
+@given(st.lists(st.text(alphabet=ALPHABET + "É×ª$-\r\x00\u2003“", max_size=30), max_size=6))
+@settings(max_examples=300, deadline=None)
+def test_cuts_of_several_texts(texts):
+    counts, pieces = encoding.at_spaces(texts)
+    expected = [[p for p in split_at_spaces(t) if p] for t in texts]
+    assert counts.tolist() == [len(e) for e in expected] and pieces.to_pylist() == sum(expected, [])
+    counts, pieces = encoding.at_spaces(texts, at_marks=True)
+    ends = np.cumsum(counts)
+    assert ["".join(pieces.to_pylist()[e - n : e]) for n, e in zip(counts, ends)] == texts
+
+
 @given(st.text(alphabet=ALPHABET, max_size=40))
 @settings(max_examples=300, deadline=None)
 def test_cuts_keep_the_text(text):
