@@ -209,7 +209,7 @@ def copy_files(spark, folder: str, prefix: str, to: str | None = None, move: boo
     store.mkdirs(target)
     for status in store.listStatus(hadoop.Path(folder)):
         name = status.getPath().getName()
-        if name.endswith(".csv"):
+        if name.endswith((".csv", ".csv.gz")):
             hadoop.FileUtil.copy(store, status.getPath(), store, hadoop.Path(target, prefix + name), move, conf)
 
 
@@ -228,7 +228,7 @@ def stream_to_gold(spark, sf):
     pipe = Pipeline(spark, scratch_path(spark, "stream"))
     drop, state = scratch_path(spark, "drop"), scratch_path(spark, "stream-state")
     for part, text in (("calls", raw_call_text(spark, sf)), ("incidents", raw_incident_text(spark, sf))):
-        csv.write(text, f"{drop}-{part}")
+        csv.write(text, f"{drop}-{part}", compressed=True)
         copy_files(spark, f"{drop}-{part}", f"{part}-", drop, move=True)
         ingest_new_files(pipe, drop, state)
     if pipe.run_incremental(drop)["pending"]:
@@ -238,8 +238,8 @@ def stream_to_gold(spark, sf):
 
 def _drop_calls_and_incidents(spark, sf):
     path = scratch_path(spark, "drop")
-    csv.write(raw_call_text(spark, sf), f"{path}/calls")
-    csv.write(raw_incident_text(spark, sf), f"{path}/incidents")
+    csv.write(raw_call_text(spark, sf), f"{path}/calls", compressed=True)
+    csv.write(raw_incident_text(spark, sf), f"{path}/incidents", compressed=True)
     return path
 
 
@@ -287,8 +287,8 @@ def _two_drops(spark, sf) -> str:
         rows = table(spark, sf, "lineitem" if name == "calls" else "orders")
         cut = rows.agg((F.max(key) * F.lit(0.7)).cast("long")).first()[0] or 0
         early, rest = rows.where(F.col(key) <= cut), rows.where(F.col(key) > cut)
-        csv.write(text(early, expressions, header), f"{path}/1/{name}")
-        csv.write(text(rest.union(moved(early.where(late), day)), expressions, header), f"{path}/2/{name}")
+        csv.write(text(early, expressions, header), f"{path}/1/{name}", compressed=True)
+        csv.write(text(rest.union(moved(early.where(late), day)), expressions, header), f"{path}/2/{name}", compressed=True)
     return path
 
 

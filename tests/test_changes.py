@@ -111,3 +111,33 @@ def test_vacuum_keeps_listed_folders(spark, tmp_path):
     assert len(list((tmp_path / "house" / "gold" / "t").glob("data=*"))) == 3
     empty = store.stage_parts("gold.t", df.where("false"), range(6), earlier=store.listed("gold.t"))
     assert store.read_staged(empty).columns == ["id"] and store.read_staged(empty).count() == 0
+
+
+def test_refresh_in_runs_equals_a_rebuild(spark, tmp_path, monkeypatch):
+    """Each run of parts is stored by itself, with the rows of its own parts, and nothing is left of what lay between the steps."""
+    monkeypatch.setattr(parts, "RUN_ROWS", 25)
+    rng = random.Random(4)
+    calls = [call(rng, n, "2020-03-01 00:00:00") for n in [*range(1, 121), *range(1, 121, 7)]] + [call(rng, 0, "2020-03-01 00:00:00")]
+    incidents = [incident(rng, n, "2020-03-01 00:00:00") for n in [*range(1, 90, 2), *range(1, 90, 9)]]
+    calls = [(None if number == "0" else number, *others) for number, *others in calls]
+    given = spark.createDataFrame(calls, CALLS), spark.createDataFrame(incidents, INCIDENTS)
+    monkeypatch.setattr(changes.gates, "check_silver", lambda *tables: None)
+    store = Warehouse(spark, str(tmp_path / "house"))
+    refresh = changes.Refresh(store, 10)
+    refresh.run(*given)
+    for table in (changes.CALLS, changes.MATCHED, changes.FACT):
+        entries = parts._entries(spark, store.listed(table))
+        assert len({e["path"].rsplit("/", 1)[0] for e in entries}) >= 4
+    assert len(refresh.matched) >= 4 and not any(store._is_there(path) for path, _ in refresh.matched)
+    silver_frames, wanted = rebuilt(spark, str(tmp_path / "again"), *given)
+    found = store.read(*STAR, *[f"gold.{n}" for n in kpi.KPI_TABLES])
+    assert star_content(found) == star_content(wanted)
+    for mine, other in zip(store.read("silver.calls_clean", "silver.incidents_clean"), silver_frames):
+        assert mine.exceptAll(other).isEmpty() and mine.count() == other.count()
+
+
+def test_runs_hold_neighbouring_parts(monkeypatch):
+    monkeypatch.setattr(parts, "RUN_ROWS", 10)
+    assert parts.runs({}) == [[]]
+    assert parts.runs({3: 4, -1: 5, 7: 4, 8: 30, 9: 1}, 100) == [[-1, 3], [7], [8], [9]]
+    assert parts.runs({n: 10 for n in range(100)}, 4) == [[*range(a, a + 25)] for a in (0, 25, 50, 75)]
