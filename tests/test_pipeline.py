@@ -1,9 +1,11 @@
+import gzip
 import shutil
 from datetime import date, datetime
 
 import pytest
 from pyspark.sql import functions as F
 
+from stratalake import session
 from stratalake.operators.quality import GateError
 from stratalake.plans import bronze, gates, gold, kpi, profile, reports, silver
 from stratalake.plans.ledger import Ledger
@@ -177,6 +179,37 @@ def test_full_refresh(pipe, drop, rows):
     assert rows(pipe.warehouse.read("gold.v_kpi_incident_volume_month")) == [(2020, 1, 3)]
 
 
+def test_full_refresh_in_slices(pipe, drop, rows, monkeypatch):
+    """Slices of two rows give the tables of one."""
+    names = ["silver.calls_clean", "silver.incidents_clean", "gold.dim_location", "gold.v_kpi_incident_volume_month"]
+    pipe.run_full(str(drop / "fire_calls.csv"), str(drop / "fire_incidents.csv"))
+    whole = [rows(f.drop("location_id")) for f in pipe.warehouse.read(*names)]
+    facts = rows(pipe.warehouse.read("gold.fact_incident").drop("incident_id", "location_id"))
+    monkeypatch.setattr(session, "SLICE_ROWS", 2)
+    assert session.slice_count(5) == 3
+    pipe.run_full(str(drop / "fire_calls.csv"), str(drop / "fire_incidents.csv"))
+    assert [rows(f.drop("location_id")) for f in pipe.warehouse.read(*names)] == whole
+    fact = pipe.warehouse.read("gold.fact_incident")
+    assert rows(fact.drop("incident_id", "location_id")) == facts
+    assert rows(fact, "incident_id") == [(1,), (2,), (3,)]
+
+
+def test_compressed_files_are_taken_in(pipe, drop, tmp_path):
+    """A compressed file counts as its text: the same rows, and the same content as the plain file."""
+    for name in ("fire_calls", "fire_incidents"):
+        plain = drop / f"{name}.csv"
+        (drop / f"{name}.csv.gz").write_bytes(gzip.compress(plain.read_bytes()))
+        plain.unlink()
+    found = pipe.run_incremental(str(drop))
+    assert (found["pending"], found["inserted_calls"], found["inserted_incidents"]) == (2, 5, 3)
+    assert pipe.warehouse.read("gold.fact_incident").count() == 3
+    fill(tmp_path / "plain")
+    again = pipe.run_incremental(str(tmp_path / "plain"))
+    assert (again["pending"], again["skipped"]) == (0, 2)
+    ingest_new_files(pipe, str(drop), str(tmp_path / "state"))
+    assert pipe.bronze.read("calls").count() == 5
+
+
 def test_streaming_ingestion(pipe, drop, tmp_path):
     state = str(tmp_path / "state")
     ingest_new_files(pipe, str(drop), state)
